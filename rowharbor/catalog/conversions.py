@@ -42,7 +42,7 @@ def sql_date(c: str) -> str:
 
 
 def sql_items(c: str) -> str:
-    return f"LIST_FILTER(LIST_TRANSFORM(STRING_SPLIT({c}, ','), x -> TRIM(x)), x -> x <> '')"
+    return f"[TRIM(x) FOR x IN STRING_SPLIT({c}, ',') IF TRIM(x) <> '']"
 
 
 def sql_json_list(c: str) -> str:
@@ -219,7 +219,7 @@ QUOTED_LISTS = """SELECT p_partkey, CASE p_partkey % 5
     FROM quoted q JOIN part p ON q.p_partkey = p.p_partkey""",
 )
 def _repair_json(spark, d):
-    quoted = spark.sql(QUOTED_LISTS.replace("''", "\\'").replace("FROM part", "FROM {part}"), part=table(spark, d, "part"))
+    quoted = spark.sql(QUOTED_LISTS.replace("FROM part", "FROM {part}"), part=table(spark, d, "part"))
     return quoted.select("p_partkey", repair_json(F.col("raw")).alias("v"))
 
 

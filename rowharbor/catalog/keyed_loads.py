@@ -43,8 +43,8 @@ def _classify(spark, d):
 @query(
     "change_counts",
     CLASSES
-    + """ SELECT COUNT_IF(change = 'inserted') AS inserted, COUNT_IF(change = 'updated') AS updated,
-    COUNT_IF(change = 'unchanged') AS unchanged FROM classes""",
+    + """ SELECT COUNT(*) FILTER (WHERE change = 'inserted') AS inserted, COUNT(*) FILTER (WHERE change = 'updated') AS updated,
+    COUNT(*) FILTER (WHERE change = 'unchanged') AS unchanged FROM classes""",
 )
 def _counts(spark, d):
     return U.change_counts(*sides(spark, d), KEY)

@@ -78,7 +78,7 @@ def _fk_many_valid(spark, d):
     "fk_all_reasons",
     MANY
     + """ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, COALESCE(r1, r2, r3) AS rejection_reason,
-    LIST_FILTER([r1, r2, r3], x -> x IS NOT NULL) AS all_reasons FROM flagged""",
+    [x FOR x IN [r1, r2, r3] IF x IS NOT NULL] AS all_reasons FROM flagged""",
 )
 def _fk_all(spark, d):
     lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
@@ -142,9 +142,9 @@ CASCADE_FKS = {
     """WITH c AS (SELECT *, c_nationkey % 5 <> 0 AS ok FROM customer),
     o AS (SELECT orders.*, c.ok FROM orders JOIN c ON o_custkey = c_custkey),
     l AS (SELECT o.ok FROM lineitem JOIN o ON l_orderkey = o_orderkey)
-    SELECT 'customer' AS "table", COUNT_IF(ok) AS n_valid, COUNT_IF(NOT ok) AS n_rejected FROM c
-    UNION ALL SELECT 'orders', COUNT_IF(ok), COUNT_IF(NOT ok) FROM o
-    UNION ALL SELECT 'lineitem', COUNT_IF(ok), COUNT_IF(NOT ok) FROM l""",
+    SELECT 'customer' AS "table", COUNT(*) FILTER (WHERE ok) AS n_valid, COUNT(*) FILTER (WHERE NOT ok) AS n_rejected FROM c
+    UNION ALL SELECT 'orders', COUNT(*) FILTER (WHERE ok), COUNT(*) FILTER (WHERE NOT ok) FROM o
+    UNION ALL SELECT 'lineitem', COUNT(*) FILTER (WHERE ok), COUNT(*) FILTER (WHERE NOT ok) FROM l""",
 )
 def _cascade(spark, d):
     tables = [("nation", table(spark, d, "nation_subset"))] + [
@@ -215,7 +215,7 @@ def _lookup_keep(spark, d):
 @query(
     "lookup_coverage",
     NATION_SQL
-    + """ SELECT COUNT_IF(n_nationkey IS NOT NULL) AS mapped, COUNT_IF(nation = 'ATLANTIS') AS unmapped,
+    + """ SELECT COUNT(*) FILTER (WHERE n_nationkey IS NOT NULL) AS mapped, COUNT(*) FILTER (WHERE nation = 'ATLANTIS') AS unmapped,
     COUNT(DISTINCT CASE WHEN nation = 'ATLANTIS' THEN nation END) AS distinct_unmapped
     FROM t LEFT JOIN nation ON TRIM(t.nation) = n_name""",
 )

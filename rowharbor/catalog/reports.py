@@ -12,7 +12,7 @@ from rowharbor.functions import messages as G
 from rowharbor.operators import keys as K
 from rowharbor.operators import metrics as M
 from rowharbor.operators import references as R
-from rowharbor.operators.coerce import type_reason
+from rowharbor.operators.coerce import REASON, check_types
 from rowharbor.operators.validate import pk_reason
 
 LINE_ORDER = [
@@ -75,18 +75,18 @@ STATUS_SQL = f"""CASE WHEN order_id IN ('', 'nan') THEN 'rejected_pk'
 METRICS_SQL = (
     with_fixtures("raw_orders")
     + f""", s AS (SELECT 'orders_' || status AS "table", {STATUS_SQL} AS st FROM raw_orders),
-  metrics AS (SELECT "table", COUNT(*) AS read_rows, COUNT_IF(st NOT LIKE 'rejected%') AS valid_rows,
-    COUNT_IF(st LIKE 'rejected%') AS rejected_rows, CAST(0 AS BIGINT) AS deduplicated, COUNT_IF(st = 'inserted') AS inserted,
-    COUNT_IF(st = 'updated') AS updated, COUNT_IF(st = 'unchanged') AS unchanged FROM s GROUP BY ALL)"""
+  metrics AS (SELECT "table", COUNT(*) AS read_rows, COUNT(*) FILTER (WHERE st NOT LIKE 'rejected%') AS valid_rows,
+    COUNT(*) FILTER (WHERE st LIKE 'rejected%') AS rejected_rows, CAST(0 AS BIGINT) AS deduplicated, COUNT(*) FILTER (WHERE st = 'inserted') AS inserted,
+    COUNT(*) FILTER (WHERE st = 'updated') AS updated, COUNT(*) FILTER (WHERE st = 'unchanged') AS unchanged FROM s GROUP BY ALL)"""
 )
 
 
 def metrics_of_orders(spark, d):
     """Metrics of the raw orders, one table per order status."""
-    raw = table(spark, d, "raw_orders")
+    raw = check_types(table(spark, d, "raw_orders"), COERCE_TYPES)
     status = (
         F.when(pk_reason(["order_id"]).isNotNull(), "rejected_pk")
-        .when(type_reason(raw.columns, COERCE_TYPES).isNotNull(), "rejected_type")
+        .when(F.col(REASON).isNotNull(), "rejected_type")
         .when(F.col("row_seq") % 10 < 3, "inserted")
         .when(F.col("row_seq") % 10 < 6, "updated")
         .otherwise("unchanged")
@@ -170,7 +170,7 @@ def _notes(spark, d):
     with_fixtures("run_records")
     + """, a AS (SELECT *, read_rows + inserted + updated + rejected_rows AS act FROM run_records),
     best AS (SELECT * FROM a QUALIFY ROW_NUMBER() OVER (PARTITION BY sheet, "table" ORDER BY act DESC, seq) = 1),
-    tied AS (SELECT a.sheet, a."table", LIST_REDUCE(LIST(a.notes ORDER BY a.seq), (acc, x) -> CASE
+    tied AS (SELECT a.sheet, a."table", LIST_REDUCE(LIST(a.notes ORDER BY a.seq), LAMBDA acc, x: CASE
         WHEN CONTAINS(acc, x) THEN acc WHEN acc = '' THEN x ELSE acc || '; ' || x END) AS notes
       FROM a JOIN best b ON a.sheet = b.sheet AND a."table" = b."table" AND a.act = b.act GROUP BY ALL)
     SELECT b.seq, b.sheet, b."table", b.read_rows, b.valid_rows, b.rejected_rows, b.inserted, b.updated, t.notes

@@ -90,8 +90,8 @@ COUNTS_SQL = """(SELECT COUNT(*) FROM raw_orders) AS read_rows, (SELECT COUNT(*)
     LOAD_SQL
     + f""" SELECT 'orders' AS "table", {COUNTS_SQL} + (SELECT COUNT(*) FROM bad) AS rejected_rows,
     (SELECT COUNT(*) FROM passed) - (SELECT COUNT(*) FROM kept) AS deduplicated,
-    COUNT_IF(change = 'inserted') AS inserted, COUNT_IF(change = 'updated') AS updated,
-    COUNT_IF(change = 'unchanged') AS unchanged FROM classes""",
+    COUNT(*) FILTER (WHERE change = 'inserted') AS inserted, COUNT(*) FILTER (WHERE change = 'updated') AS updated,
+    COUNT(*) FILTER (WHERE change = 'unchanged') AS unchanged FROM classes""",
 )
 def _load_metrics(spark, d):
     return orders_load(spark, d).metrics()
@@ -212,10 +212,10 @@ lo AS (SELECT l.*, o.ok FROM l JOIN o ON l_orderkey = o_orderkey),
 m AS (
 SELECT 'nation' AS "table", COUNT(*) AS read_rows, COUNT(*) AS valid_rows, CAST(0 AS BIGINT) AS rejected_rows,
   CAST(0 AS BIGINT) AS deduplicated, COUNT(*) AS inserted FROM nation WHERE n_nationkey % 5 <> 0
-UNION ALL SELECT 'customer', COUNT(*), COUNT(*), COUNT_IF(NOT ok), 0, COUNT_IF(ok) FROM c
-UNION ALL SELECT 'orders', COUNT(*), COUNT(*), COUNT_IF(NOT ok), 0, COUNT_IF(ok) FROM o
-UNION ALL SELECT 'lineitem', (SELECT COUNT(*) FROM lineitem), COUNT(*), COUNT_IF(NOT ok),
-  (SELECT COUNT(*) FROM lineitem) - COUNT(*), COUNT_IF(ok) FROM lo)"""
+UNION ALL SELECT 'customer', COUNT(*), COUNT(*), COUNT(*) FILTER (WHERE NOT ok), 0, COUNT(*) FILTER (WHERE ok) FROM c
+UNION ALL SELECT 'orders', COUNT(*), COUNT(*), COUNT(*) FILTER (WHERE NOT ok), 0, COUNT(*) FILTER (WHERE ok) FROM o
+UNION ALL SELECT 'lineitem', (SELECT COUNT(*) FROM lineitem), COUNT(*), COUNT(*) FILTER (WHERE NOT ok),
+  (SELECT COUNT(*) FROM lineitem) - COUNT(*), COUNT(*) FILTER (WHERE ok) FROM lo)"""
 
 
 @query("load_all_metrics", STAR_SQL + " SELECT * FROM m")

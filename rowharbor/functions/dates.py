@@ -15,7 +15,7 @@ _CLOCK = (
     r"[ T]+([01]?[0-9]|2[0-3]):([0-5]?[0-9])(?::([0-5]?[0-9])(?:\.([0-9]+))?)?"
     r"(?: ?([AaPp])[Mm])?(?: ?(?:Z|UTC|GMT|[+-][0-9]{2}:?[0-9]{2}))?$"
 )
-_ISO = r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})$"
+_ISO = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 _YEAR_FIRST = r"^([0-9]{4})[-/.]([0-9]{1,2})[-/.]([0-9]{1,2})$"
 _COMPACT = r"^([0-9]{4})([0-9]{2})([0-9]{2})$"
 _NUMERIC = r"^([0-9]{1,2})[-/.]([0-9]{1,2})[-/.]([0-9]{4}|[0-9]{2})$"
@@ -54,52 +54,57 @@ def _month_number(name: Column) -> Column:
     return ((index + 2) / 3).cast("int").cast("string")
 
 
-def _parse_day(text: Column) -> Column:
-    """Date of a text without a clock part, else NULL."""
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once; keeps the generated code small."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _numeric_day(text: Column) -> Column:
+    """Date of a text made of digits and separators."""
     g = F.regexp_extract
     a, b, y = g(text, _NUMERIC, 1), g(text, _NUMERIC, 2), _full_year(g(text, _NUMERIC, 3))
     month_first = a.try_cast("int") <= 12
-    numeric = F.when(month_first, _ymd(y, a, b)).otherwise(_ymd(y, b, a))
-    named = F.regexp_replace(F.lower(text), _WEEKDAY, "")
     return (
-        F.when(text.rlike(_ISO), text.try_cast("date"))
-        .when(text.rlike(_YEAR_FIRST), _ymd(g(text, _YEAR_FIRST, 1), g(text, _YEAR_FIRST, 2), g(text, _YEAR_FIRST, 3)))
-        .when(text.rlike(_NUMERIC), numeric)
+        F.when(text.rlike(_YEAR_FIRST), _ymd(g(text, _YEAR_FIRST, 1), g(text, _YEAR_FIRST, 2), g(text, _YEAR_FIRST, 3)))
+        .when(text.rlike(_NUMERIC), F.when(month_first, _ymd(y, a, b)).otherwise(_ymd(y, b, a)))
         .when(text.rlike(_COMPACT), _ymd(g(text, _COMPACT, 1), g(text, _COMPACT, 2), g(text, _COMPACT, 3)))
         .when(text.rlike(_YEAR_MONTH), _ymd(g(text, _YEAR_MONTH, 1), g(text, _YEAR_MONTH, 2), F.lit("1")))
         .when(text.rlike(_MONTH_YEAR), _ymd(g(text, _MONTH_YEAR, 2), g(text, _MONTH_YEAR, 1), F.lit("1")))
         .when(text.rlike(_YEAR), _ymd(text, F.lit("1"), F.lit("1")))
-        .when(
-            named.rlike(_DAY_NAME_YEAR),
-            _ymd(
-                _full_year(g(named, _DAY_NAME_YEAR, 3)),
-                _month_number(g(named, _DAY_NAME_YEAR, 2)),
-                g(named, _DAY_NAME_YEAR, 1),
-            ),
-        )
-        .when(
-            named.rlike(_NAME_DAY_YEAR),
-            _ymd(
-                _full_year(g(named, _NAME_DAY_YEAR, 3)),
-                _month_number(g(named, _NAME_DAY_YEAR, 1)),
-                g(named, _NAME_DAY_YEAR, 2),
-            ),
-        )
-        .when(
-            named.rlike(_YEAR_NAME_DAY),
-            _ymd(
-                g(named, _YEAR_NAME_DAY, 1), _month_number(g(named, _YEAR_NAME_DAY, 2)), g(named, _YEAR_NAME_DAY, 3)
-            ),
-        )
-        .when(
-            named.rlike(_NAME_YEAR),
-            _ymd(g(named, _NAME_YEAR, 2), _month_number(g(named, _NAME_YEAR, 1)), F.lit("1")),
-        )
     )
 
 
+def _named_day(text: Column) -> Column:
+    """Date of a lower-case text that names the month."""
+    g = F.regexp_extract
+    layouts = (
+        (_DAY_NAME_YEAR, 3, 2, 1),
+        (_NAME_DAY_YEAR, 3, 1, 2),
+        (_YEAR_NAME_DAY, 1, 2, 3),
+        (_NAME_YEAR, 2, 1, None),
+    )
+    days = [
+        F.when(
+            text.rlike(p),
+            _ymd(_full_year(g(text, p, y)), _month_number(g(text, p, m)), g(text, p, d) if d else F.lit("1")),
+        )
+        for p, y, m, d in layouts
+    ]
+    return F.coalesce(*days)
+
+
+def _parse_day(text: Column) -> Column:
+    """Date of a text with or without a clock part, else NULL."""
+
+    def by_family(bare: Column) -> Column:
+        lowered = F.regexp_replace(F.lower(bare), _WEEKDAY, "")
+        return F.when(bare.rlike("[A-Za-z]"), _let(lowered, _named_day)).otherwise(_numeric_day(bare))
+
+    return _let(F.regexp_replace(text, _CLOCK, ""), by_family)
+
+
 def _in_range(day: Column) -> Column:
-    return F.when((F.year(day) <= LAST_YEAR) & (day >= F.lit(FIRST_DAY).cast("date")), day)
+    return (F.year(day) <= LAST_YEAR) & (day >= F.lit(FIRST_DAY).cast("date"))
 
 
 def to_date(c: Column) -> Column:
@@ -110,13 +115,13 @@ def to_date(c: Column) -> Column:
     first, or day first when ``a`` is above 12.
     """
     text = strip(c)
-    day = F.when(text.rlike(_ISO), text.try_cast("date")).otherwise(
-        _parse_day(F.regexp_replace(text, _CLOCK, ""))
-    )
+    other = F.get(F.filter(F.array(_parse_day(text)), _in_range), F.lit(0))
     return (
         F.when(is_missing(c, VALUE_TOKENS), F.lit(None).cast("date"))
         .when(F.contains(c, F.lit(END_OF_TIME)), F.lit(END_OF_TIME).cast("date"))
-        .otherwise(_in_range(day))
+        # The common layout needs no parsing beyond the cast; its texts sort like its days.
+        .when(text.rlike(_ISO), F.when(text.between(FIRST_DAY, f"{LAST_YEAR}-12-31"), text.try_cast("date")))
+        .otherwise(other)
     )
 
 

@@ -7,21 +7,25 @@ from pyspark.sql import Column, functions as F
 from rowharbor.functions.text import VALUE_TOKENS, is_missing, list_items
 
 _STRICT = {"allowSingleQuotes": "false"}
-#: A JSON text can only start with one of these; anything else skips the parser.
-_JSON_START = r'^[ \t\r\n]*[\[{"\-0-9tfnNI]'
+#: A number, literal or string of JSON with blanks around it; such texts need no parser.
+_SCALAR = (
+    r"^[ \t\r\n]*(-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?|true|false|null|NaN|-?Infinity"
+    r'|"([^"\\\x00-\x1f]|\\(["\\/bfnrt]|u[0-9a-fA-F]{4}))*")[ \t\r\n]*$'
+)
+_NESTED = r"^[ \t\r\n]*[\[{]"
 
 
 def is_json(c: Column) -> Column:
     """True when the whole text is one JSON value.
 
-    A parse alone would accept trailing text, so the value is parsed once as the
-    only item of a list and once as the only field of an object: text after the
-    value breaks at least one of the two.
+    A parse alone would accept trailing text, so a list or object is parsed once as
+    the only item of a list and once as the only field of an object: text after it
+    breaks at least one of the two.
     """
     as_item = F.from_json(F.concat(F.lit("["), c, F.lit("]")), "array<string>", _STRICT)
     as_field = F.from_json(F.concat(F.lit('{"v":'), c, F.lit("}")), "v string", _STRICT)
-    whole = (F.size(as_item) == 1) & (as_field["v"].isNotNull() | (F.trim(c) == "null"))
-    return F.coalesce(c.rlike(_JSON_START) & whole, F.lit(False))
+    nested = (F.size(as_item) == 1) & as_field["v"].isNotNull()
+    return F.coalesce(F.when(c.rlike(_NESTED), nested).otherwise(c.rlike(_SCALAR)), F.lit(False))
 
 
 def csv_to_array(c: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from rowharbor.functions.text import VALUE_TOKENS, is_missing, strip
+from rowharbor.functions.text import VALUE_TOKENS, null_if_token, strip
 
 #: Plain decimal or exponent notation. Narrower than a cast, which also takes '12d'.
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
@@ -18,59 +18,58 @@ NAN_INT = "cannot convert float NaN to integer"
 TOO_LARGE_INT = "integer out of range"
 
 
-def _digits(c: Column) -> Column:
-    return strip(F.replace(c, F.lit(","), F.lit("")))
+def digits(c: Column) -> Column:
+    """The text a number is read from: no thousands commas, no outer blanks; NULL when missing."""
+    return strip(F.replace(null_if_token(c, VALUE_TOKENS), F.lit(","), F.lit("")))
 
 
-def _quoted(c: Column) -> Column:
-    has_single = F.contains(c, F.lit("'"))
-    has_double = F.contains(c, F.lit('"'))
-    single = F.concat(F.lit("'"), F.replace(c, F.lit("'"), F.lit("\\'")), F.lit("'"))
-    return F.when(has_single & ~has_double, F.concat(F.lit('"'), c, F.lit('"'))).otherwise(single)
+def quoted(c: Column) -> Column:
+    """The text in quotes, double ones where it holds single quotes only."""
+    in_double = F.contains(c, F.lit("'")) & ~F.contains(c, F.lit('"'))
+    in_single = F.concat(F.lit("'"), F.replace(c, F.lit("'"), F.lit("\\'")), F.lit("'"))
+    return F.when(in_double, F.concat(F.lit('"'), c, F.lit('"'))).otherwise(in_single)
 
 
-def parse_number(c: Column) -> Column:
-    """Double of a text in plain number notation, else NULL. Does not touch commas."""
-    t = strip(c)
+def parse_number(t: Column) -> Column:
+    """Double of a trimmed text in plain number notation, else NULL."""
     return F.when(t.rlike(NUMBER), t.try_cast("double"))
 
 
-def parse_float(c: Column) -> Column:
+def parse_int(t: Column) -> Column:
+    """Whole number of a trimmed text, truncated toward zero, else NULL."""
+    return parse_number(t).try_cast("bigint")
+
+
+def parse_float(t: Column) -> Column:
     """As :func:`parse_number`, also reading infinity and not-a-number words."""
-    t = strip(c)
-    negative = t.startswith("-")
+    infinity = F.when(t.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
     return (
         F.when(t.rlike(NUMBER), t.try_cast("double"))
-        .when(t.rlike(INFINITY), F.when(negative, F.lit(float("-inf"))).otherwise(F.lit(float("inf"))))
+        .when(t.rlike(INFINITY), infinity)
         .when(t.rlike(NOT_A_NUMBER), F.lit(float("nan")))
     )
 
 
-def to_int(c: Column) -> Column:
-    """Whole number truncated toward zero; NULL when missing or unreadable."""
-    return F.when(~is_missing(c, VALUE_TOKENS), parse_number(_digits(c)).try_cast("bigint"))
-
-
-def int_error(c: Column) -> Column:
-    """Why ``to_int`` cannot read the text, or NULL."""
-    t = _digits(c)
-    return F.when(
-        ~is_missing(c, VALUE_TOKENS),
-        F.when(t.rlike(NUMBER), F.when(t.try_cast("double").try_cast("bigint").isNull(), F.lit(TOO_LARGE_INT)))
+def int_problem(t: Column) -> Column:
+    """Why a trimmed text that :func:`parse_int` could not read is not a whole number."""
+    return (
+        F.when(t.rlike(NUMBER), F.lit(TOO_LARGE_INT))
         .when(t.rlike(INFINITY), F.lit(INFINITE_INT))
         .when(t.rlike(NOT_A_NUMBER), F.lit(NAN_INT))
-        .otherwise(F.concat(F.lit(NOT_NUMERIC), _quoted(t))),
+        .otherwise(float_problem(t))
     )
 
 
-def to_float(c: Column) -> Column:
-    """Double with thousands commas removed; NULL when missing or unreadable."""
-    return F.when(~is_missing(c, VALUE_TOKENS), parse_float(_digits(c)))
+def float_problem(t: Column) -> Column:
+    """Why a trimmed text that :func:`parse_float` could not read is not a number."""
+    return F.concat(F.lit(NOT_NUMERIC), quoted(t))
 
 
-def float_error(c: Column) -> Column:
-    """Why ``to_float`` cannot read the text, or NULL."""
-    t = F.replace(c, F.lit(","), F.lit(""))
-    return F.when(
-        ~is_missing(c, VALUE_TOKENS) & parse_float(t).isNull(), F.concat(F.lit(NOT_NUMERIC), _quoted(t))
-    )
+def to_int(c: Column) -> Column:
+    """Whole number truncated toward zero; NULL when missing or unreadable."""
+    return parse_int(digits(c))
+
+
+def to_float(c: Column) -> Column:
+    """Double with thousands commas removed; NULL when missing or unreadable."""
+    return parse_float(digits(c))

@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from rowharbor.functions.numbers import parse_float
 from rowharbor.functions.text import list_items, null_if_token, strip
 from rowharbor.spec import SpecError
 
@@ -15,9 +14,10 @@ ROW_SEQ = "_row_seq"
 
 
 def with_row_seq(df: DataFrame, order_column: str | None = None) -> DataFrame:
-    """Add the row sequence: an existing ordering column, or the position in the read files."""
-    seq = F.col(order_column).cast("bigint") if order_column else F.monotonically_increasing_id()
-    return df.withColumn(ROW_SEQ, seq)
+    """Give rows their sequence: an ordering column, which it replaces, or the position in the read files."""
+    if order_column:
+        return df.withColumn(ROW_SEQ, F.col(order_column).cast("bigint")).drop(order_column)
+    return df.withColumn(ROW_SEQ, F.monotonically_increasing_id())
 
 
 def clean(df: DataFrame) -> DataFrame:
@@ -96,32 +96,37 @@ def cast_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in present])
 
 
-#: Marks that make a unit factor a formula or a description.
-FACTOR_MARKS = ("=", "°", "×", "÷", "(", ")", "+", "-", "K", "C", "F")
-FACTOR_WORDS = ("Depends", "Varies", "substance", "pack", "box")
+#: Unsigned plain numbers, and the words for special floats that hold none of the capitals C, F, K.
+#: Signs, formula marks, unit letters and words such as "pack" all fail both patterns.
+PLAIN_FACTOR = r"^([0-9]+\.?[0-9]*|\.[0-9]+)([eE][0-9]+)?$"
+INFINITE_FACTOR = r"^[iI][nN]f([iI][nN][iI][tT][yY])?$"
+UNKNOWN_FACTOR = r"(?i)^nan$"
 
 
 def split_factor(df: DataFrame, factor: str = "conversion_factor", note: str = "syn") -> DataFrame:
     """Move unit factors that are not plain numbers to ``note`` and set them to zero.
 
     Negative numbers and negative exponents count as formulas because of their sign.
+    A factor of ``nan`` is missing.
     """
     if factor not in df.columns:
         return df
     base = df if note in df.columns else df.withColumn(note, F.lit(None).cast("string"))
-    text = strip(F.col(factor).cast("string"))
-    marked = F.lit(False)
-    for mark in FACTOR_MARKS + FACTOR_WORDS:
-        marked = marked | F.contains(text, F.lit(mark))
-    number = parse_float(text)
-    plain = F.when(F.isnan(number), F.lit(None)).otherwise(number)
-    moved = marked | number.isNull()
-    return base.withColumns(
+    cut = base.withColumn("_factor", strip(F.col(factor).cast("string")))
+    text = F.col("_factor")
+    number = (
+        F.when(text.rlike(PLAIN_FACTOR), text.try_cast("double"))
+        .when(text.rlike(INFINITE_FACTOR), F.lit(float("inf")))
+        .when(text.rlike(UNKNOWN_FACTOR), F.lit(float("nan")))
+    )
+    read = cut.withColumn("_number", number)
+    moved = text.isNotNull() & F.col("_number").isNull()
+    return read.withColumns(
         {
-            note: F.when(text.isNotNull() & moved, text).otherwise(F.col(note)),
-            factor: F.when(text.isNotNull(), F.when(moved, F.lit(0.0)).otherwise(plain)),
+            note: F.when(moved, text).otherwise(F.col(note)),
+            factor: F.when(moved, F.lit(0.0)).otherwise(F.nanvl("_number", F.lit(None).cast("double"))),
         }
-    )
+    ).drop("_factor", "_number")
 
 
 def lists_to_json(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rowharbor.functions.dates import to_date, to_datetime
 from rowharbor.functions.json_text import to_json_or_array
-from rowharbor.functions.numbers import float_error, int_error, to_float, to_int
+from rowharbor.functions.numbers import digits, float_problem, int_problem, parse_float, parse_int
 from rowharbor.functions.text import VALUE_TOKENS, null_if_token, to_bool
 
 REASON = "rejection_reason"
@@ -18,65 +18,56 @@ TYPED = "_typed"
 #: Prefix of a type rejection.
 TYPE_REASON = "Type coercion failed: "
 
+_IN, _OUT = "_in_", "_out_"
 
-def coerced(c: Column, word: str, keep_time: bool = False, real_bools: bool = False) -> Column:
-    """Value of a text cell under a type word; NULL when missing or unreadable."""
+
+def _cell_text(c: Column, word: str) -> Column:
     text = c.cast("string")
+    return digits(text) if word in ("int", "float") else null_if_token(text, VALUE_TOKENS)
+
+
+def _value(text: Column, word: str, keep_time: bool, real_bools: bool) -> Column:
     if word == "int":
-        return to_int(text)
+        return parse_int(text)
     if word == "float":
-        return to_float(text)
+        return parse_float(text)
     if word == "date":
         return to_datetime(text) if keep_time else to_date(text)
     if word == "dict":
         return to_json_or_array(text)
     if word == "bool" and real_bools:
         return to_bool(text)
-    return null_if_token(text, VALUE_TOKENS)
-
-
-def coercion_error(c: Column, word: str) -> Column | None:
-    """Why a text cell cannot be read, for the types that reject."""
-    if word == "int":
-        return int_error(c.cast("string"))
-    if word == "float":
-        return float_error(c.cast("string"))
-    return None
+    return text
 
 
-def type_reason(columns: list[str], types: Mapping[str, str]) -> Column:
-    """Reason of the first failing column in declared order, or NULL."""
-    errors = [
-        error
-        for name, word in types.items()
-        if name in columns and (error := coercion_error(F.col(f"`{name}`"), word)) is not None
-    ]
-    if not errors:
-        return F.lit(None).cast("string")
-    return F.concat(F.lit(TYPE_REASON), F.coalesce(*errors))
-
-
-def typed_columns(
-    columns: list[str], types: Mapping[str, str], keep_time: bool = False, real_bools: bool = False
-) -> list[Column]:
-    """Every column under its declared type; undeclared columns pass unchanged."""
-    return [
-        coerced(F.col(f"`{c}`"), types[c], keep_time, real_bools).alias(c) if c in types else F.col(f"`{c}`")
-        for c in columns
-    ]
+def _problem(text: Column, value: Column, word: str) -> Column | None:
+    """Message for a text without a value; only numbers reject."""
+    if word not in ("int", "float"):
+        return None
+    message = int_problem(text) if word == "int" else float_problem(text)
+    return F.when(text.isNotNull() & value.isNull(), message)
 
 
 def check_types(df: DataFrame, types: Mapping[str, str], keep_time: bool = False, real_bools: bool = False) -> DataFrame:
-    """One projection with the raw cells, the typed row in a struct and the reason.
+    """Add the typed row as a struct and the reason of the first failing column in declared order.
 
-    Both halves of the split read this projection; nothing is parsed by a second rule.
+    Cell text, value and reason are three projections in a row, so every cell is
+    trimmed once and parsed once, and both halves of a split read the same result.
+    Columns without a declared type enter the typed row unchanged.
     """
-    return df.withColumns(
-        {
-            TYPED: F.struct(*typed_columns(df.columns, types, keep_time, real_bools)),
-            REASON: type_reason(df.columns, types),
-        }
+    present = {c: w for c, w in types.items() if c in df.columns}
+    texts = df.withColumns({_IN + c: _cell_text(F.col(f"`{c}`"), w) for c, w in present.items()})
+    values = texts.withColumns(
+        {_OUT + c: _value(F.col(f"`{_IN}{c}`"), w, keep_time, real_bools) for c, w in present.items()}
     )
+    problems = [
+        p
+        for c, w in present.items()
+        if (p := _problem(F.col(f"`{_IN}{c}`"), F.col(f"`{_OUT}{c}`"), w)) is not None
+    ]
+    reason = F.concat(F.lit(TYPE_REASON), F.coalesce(*problems)) if problems else F.lit(None).cast("string")
+    typed = [F.col(f"`{_OUT}{c}`" if c in present else f"`{c}`").alias(c) for c in df.columns]
+    return values.select(*[F.col(f"`{c}`") for c in df.columns], F.struct(*typed).alias(TYPED), reason.alias(REASON))
 
 
 def coerce_table(

@@ -55,7 +55,7 @@ def lookup_id_keep(
     """Ids stay, known descriptions map, any other text is kept. The result is text."""
     text = F.when(~is_missing(F.col(column), VALUE_TOKENS), strip(F.col(column).cast("string")))
     raw = dim.where(F.col(id_column).isNotNull()).select(F.col(id_column).cast("string").alias("_id"))
-    whole = raw.select(parse_number(F.col("_id")).try_cast("bigint").cast("string").alias("_id")).where(
+    whole = raw.select(parse_number(strip(F.col("_id"))).try_cast("bigint").cast("string").alias("_id")).where(
         "_id IS NOT NULL"
     )
     ids = raw.unionByName(whole).distinct().select(F.col("_id").alias("_desc"), F.col("_id").alias("_mapped"), F.lit(0).alias("_rank"))

@@ -15,7 +15,7 @@ from rowharbor.functions.messages import (
 
 #: Row statuses that add up to the rows read, and notes of a run.
 REJECTED = ("rejected_pk", "rejected_type", "rejected_constraint", "rejected_fk")
-LOADED = ("inserted", "updated", "unchanged")
+LOADED = ("inserted", "updated", "unchanged")  # a dry run counts them as "valid"
 NOTE_DEDUPED = "Deduplicated %d duplicate rows on keys %s"
 NOTE_FK = "%d rows rejected due to missing foreign key references"
 NOTE_IDEMPOTENT = (
@@ -45,7 +45,7 @@ def load_metrics(counts: DataFrame) -> DataFrame:
 
     return counts.groupBy("table").agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("read_rows"),
-        total(*LOADED, "rejected_fk").alias("valid_rows"),
+        total(*LOADED, "valid", "rejected_fk").alias("valid_rows"),
         total(*REJECTED).alias("rejected_rows"),
         total("deduplicated").alias("deduplicated"),
         total("inserted").alias("inserted"),

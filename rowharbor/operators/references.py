@@ -20,7 +20,7 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rowharbor.functions.numbers import parse_number
-from rowharbor.functions.text import REFERENCE_TOKENS, is_missing
+from rowharbor.functions.text import REFERENCE_TOKENS, is_missing, strip
 from rowharbor.spec import ForeignKey, SpecError
 
 REASON = "rejection_reason"
@@ -88,7 +88,7 @@ def _resolved_text_keys(child: DataFrame, fk: str, parent: DataFrame, ref: str,
         else F.col(ref).cast("double")
     )
     number_refs = refs.select(number.alias("_ref_number")).where("_ref_number IS NOT NULL").distinct()
-    numbered = values.withColumn("_number", parse_number(F.col(out)))
+    numbered = values.withColumn("_number", parse_number(strip(F.col(out))))
     by_text = numbered.join(text_refs, F.col(out) == F.col("_ref_text"), "left_semi").select(out)
     by_number = numbered.join(number_refs, F.col("_number") == F.col("_ref_number"), "left_semi").select(out)
     return by_text.unionByName(by_number).distinct()

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rowharbor.functions.text import KEY_TOKENS, is_missing
 from rowharbor.operators.coerce import REASON, STAGE
 from rowharbor.operators.references import missing_key_spread
-from rowharbor.spec import SpecError
+from rowharbor.spec import SpecError, TableSpec
 
 #: Wording of rejections.
 PK_REASON = "Missing required data in columns: [%s]"
@@ -102,24 +102,30 @@ def check_decimal(df: DataFrame, column: str, precision: int, scale: int) -> tup
     return valid, rejected
 
 
-def constraint_reason(spec, columns: Sequence[str]) -> Column:
-    """Reason of the first row-level constraint a typed row breaks: required, length, domain, precision."""
+def constraint_reason(
+    spec: TableSpec, columns: Sequence[str], value: Callable[[str], Column] = F.col
+) -> Column:
+    """Reason of the first row-level constraint a typed row breaks: required, length, domain, precision.
+
+    ``value`` yields the typed value of a column. A required column that the rows lack
+    breaks every row unless it has a default.
+    """
     tests: list[Column] = []
     for c in spec.not_null:
         if c in columns:
-            tests.append(F.when(F.col(c).isNull(), F.lit(NULL_REASON % c)))
+            tests.append(F.when(value(c).isNull(), F.lit(NULL_REASON % c)))
         elif c not in spec.defaults:
             tests.append(F.lit(NULL_REASON % c))
     for c, n in spec.lengths.items():
         if c in columns:
-            tests.append(F.when(F.char_length(F.col(c)) > n, F.lit(LENGTH_REASON % (c, n))))
+            tests.append(F.when(F.char_length(value(c)) > n, F.lit(LENGTH_REASON % (c, n))))
     for c, allowed in spec.enums.items():
         if c in columns:
-            tests.append(F.when(~F.col(c).isin(*allowed), F.concat(F.lit(ENUM_REASON % c), F.col(c))))
+            tests.append(F.when(~value(c).isin(*allowed), F.concat(F.lit(ENUM_REASON % c), value(c))))
     for c, (p, s) in spec.decimals.items():
         if c in columns:
-            fits = F.col(c).try_cast(T.DecimalType(p, s)).isNotNull()
-            tests.append(F.when(F.col(c).isNotNull() & ~fits, F.lit(DECIMAL_REASON % (c, p, s))))
+            fits = value(c).try_cast(T.DecimalType(p, s)).isNotNull()
+            tests.append(F.when(value(c).isNotNull() & ~fits, F.lit(DECIMAL_REASON % (c, p, s))))
     return F.coalesce(*tests) if tests else F.lit(None).cast("string")
 
 

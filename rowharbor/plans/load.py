@@ -14,13 +14,13 @@ from rowharbor.operators import metrics as M
 from rowharbor.operators.clean import (
     ROW_SEQ,
     clean,
+    evolve_target,
     lists_to_json,
-    project_to_target,
     rename,
     split_factor,
     with_row_seq,
 )
-from rowharbor.operators.coerce import REASON, STAGE, TYPED, type_reason, typed_columns
+from rowharbor.operators.coerce import REASON, STAGE, TYPED, check_types
 from rowharbor.operators.keys import dedupe_last, generate_keys
 from rowharbor.operators.merge import classify_changes, replace, upsert
 from rowharbor.operators.references import fk_all_or_nothing, fk_flags
@@ -63,35 +63,34 @@ def prepare(batch: DataFrame, spec: TableSpec, seq: str | None = None) -> DataFr
 
 
 def judge(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Raw cells, typed row, and the first reason to reject each row with its stage.
+    """The typed row of every accepted row; the raw cells, reason and stage of every other.
 
-    A missing key is reported before a type, a type before a constraint. Everything is
-    one projection over the batch.
+    A missing key is reported before a type, a type before a constraint. All of it is a
+    chain of projections over the batch, without a shuffle.
     """
     absent = [c for c in spec.pk if c not in df.columns]
     if absent:
         raise SpecError(f"{spec.name}: primary key columns absent from the rows: {absent}")
+    keyed = df.withColumn("_pk_reason", pk_reason(spec.pk))
     data = [c for c in df.columns if c != ROW_SEQ]
-    typed = df.withColumns(
-        {
-            TYPED: F.struct(*typed_columns(data, spec.types, spec.keep_time, spec.real_bools)),
-            "_pk_reason": pk_reason(spec.pk),
-            "_type_reason": type_reason(data, spec.types),
-        }
-    )
-    on_typed = typed.select(F.col(f"{TYPED}.*"), ROW_SEQ, "_pk_reason", "_type_reason", F.struct(*data).alias("_raw"))
-    judged = on_typed.withColumn("_rule_reason", constraint_reason(spec, data))
+    checked = check_types(keyed, spec.types, spec.keep_time, spec.real_bools).withColumnRenamed(REASON, "_type_reason")
+    rules = constraint_reason(spec, data, lambda c: F.col(f"{TYPED}.{c}"))
+    judged = checked.withColumn("_rule_reason", rules)
     stage = (
         F.when(F.col("_pk_reason").isNotNull(), "pk")
         .when(F.col("_type_reason").isNotNull(), "type")
         .when(F.col("_rule_reason").isNotNull(), "constraint")
     )
-    return judged.select(
-        F.struct(*data).alias(TYPED),
-        "_raw",
+    reasoned = judged.withColumns(
+        {REASON: F.coalesce("_pk_reason", "_type_reason", "_rule_reason"), STAGE: stage}
+    )
+    passed = F.col(STAGE).isNull()
+    return reasoned.select(
+        F.when(passed, F.struct(*[F.col(f"{TYPED}.{c}").alias(c) for c in data])).alias(TYPED),
+        F.when(~passed, F.struct(*[F.col(f"`{c}`") for c in data])).alias("_raw"),
         ROW_SEQ,
-        F.coalesce("_pk_reason", "_type_reason", "_rule_reason").alias(REASON),
-        stage.alias(STAGE),
+        REASON,
+        STAGE,
     )
 
 
@@ -131,7 +130,11 @@ def load_table(
         target = target(passed.select(*spec.pk))
     kept = dedupe_last(passed, spec.pk)
     data = [c for c in kept.columns if c != ROW_SEQ]
-    known = project_to_target(kept.select(data), [*target.columns, *[c for c in data if c not in target.columns]])
+    if not spec.evolve:
+        data = [c for c in data if c in target.columns]
+        if not data:
+            raise SpecError(f"{spec.name}: no column of the batch exists in the target")
+    known = kept.select(data)
     rows = known.withColumns({c: repair_json(F.col(c)) for c, w in spec.types.items() if w == "dict" and c in data})
     rows = rows.withColumns({c: F.col(c).try_cast(t) for c, t in _decimals(spec).items() if c in data})
 
@@ -155,7 +158,7 @@ def load_table(
     if dry_run:
         snapshot = target
     elif mode == "initial":
-        snapshot = replace(target, clean_rows)
+        snapshot = replace(evolve_target(target, clean_rows), clean_rows)
     else:
         snapshot = upsert(target, clean_rows, spec.pk, spec.defaults)
 

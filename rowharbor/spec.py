@@ -59,6 +59,7 @@ class TableSpec:
     factor_column: str | None = None
     generated_key: str | None = None
     transforms: Sequence[Callable[[DataFrame], DataFrame]] = ()
+    evolve: bool = True
     keep_time: bool = False
     real_bools: bool = False
 
