@@ -34,77 +34,76 @@ _YEAR_NAME_DAY = rf"^([0-9]{{4}})[-/., ]+{_MONTH_NAME}[-/., ]+([0-9]{{1,2}})$"
 _NAME_YEAR = rf"^{_MONTH_NAME}[-/., ]+([0-9]{{4}})$"
 
 
-def _pad(c: Column) -> Column:
-    return F.lpad(c, 2, "0")
+def _quote(pattern: str) -> str:
+    """A pattern as a SQL string."""
+    return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _ymd(year: Column, month: Column, day: Column) -> Column:
-    return F.concat_ws("-", year, _pad(month), _pad(day)).try_cast("date")
+def _part(text: str, pattern: str, group: int) -> str:
+    return f"regexp_extract({text}, {_quote(pattern)}, {group})"
 
 
-def _full_year(y: Column) -> Column:
-    """Two-digit years land within fifty years of today."""
-    this_century = F.lit(2000) + y.try_cast("int")
-    near = F.when(this_century >= F.year(F.current_date()) + 50, this_century - 100).otherwise(this_century)
-    return F.when(F.length(y) == 4, y).otherwise(near.cast("string"))
+def _ymd(year: str, month: str, day: str) -> str:
+    """Date of three texts, NULL when there is no such day."""
+    return f"try_cast(concat_ws('-', {year}, lpad({month}, 2, '0'), lpad({day}, 2, '0')) AS date)"
 
 
-def _month_number(name: Column) -> Column:
-    index = F.instr(F.lit("janfebmaraprmayjunjulaugsepoctnovdec"), F.left(name, F.lit(3)))
-    return ((index + 2) / 3).cast("int").cast("string")
+def _full_year(y: str) -> str:
+    """Two-digit years land within fifty years of today."""
+    guess = f"2000 + try_cast({y} AS int)"
+    near = f"if({guess} >= year(current_date()) + 50, {guess} - 100, {guess})"
+    return f"if(length({y}) = 4, {y}, cast({near} AS string))"
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once; keeps the generated code small."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def _month_number(name: str) -> str:
+    return f"cast((instr('janfebmaraprmayjunjulaugsepoctnovdec', left({name}, 3)) + 2) div 3 AS string)"
 
 
-def _numeric_day(text: Column) -> Column:
-    """Date of a text made of digits and separators."""
-    g = F.regexp_extract
-    a, b, y = g(text, _NUMERIC, 1), g(text, _NUMERIC, 2), _full_year(g(text, _NUMERIC, 3))
-    month_first = a.try_cast("int") <= 12
+def _numeric_day(t: str) -> str:
+    """SQL for the date of a text made of digits and separators."""
+    a, b, y = (_part(t, _NUMERIC, i) for i in (1, 2, 3))
+    year = _full_year(y)
     return (
-        F.when(text.rlike(_YEAR_FIRST), _ymd(g(text, _YEAR_FIRST, 1), g(text, _YEAR_FIRST, 2), g(text, _YEAR_FIRST, 3)))
-        .when(text.rlike(_NUMERIC), F.when(month_first, _ymd(y, a, b)).otherwise(_ymd(y, b, a)))
-        .when(text.rlike(_COMPACT), _ymd(g(text, _COMPACT, 1), g(text, _COMPACT, 2), g(text, _COMPACT, 3)))
-        .when(text.rlike(_YEAR_MONTH), _ymd(g(text, _YEAR_MONTH, 1), g(text, _YEAR_MONTH, 2), F.lit("1")))
-        .when(text.rlike(_MONTH_YEAR), _ymd(g(text, _MONTH_YEAR, 2), g(text, _MONTH_YEAR, 1), F.lit("1")))
-        .when(text.rlike(_YEAR), _ymd(text, F.lit("1"), F.lit("1")))
+        f"CASE WHEN {t} RLIKE {_quote(_YEAR_FIRST)} THEN {_ymd(*(_part(t, _YEAR_FIRST, i) for i in (1, 2, 3)))}"
+        f" WHEN {t} RLIKE {_quote(_NUMERIC)} THEN if(try_cast({a} AS int) <= 12, {_ymd(year, a, b)}, {_ymd(year, b, a)})"
+        f" WHEN {t} RLIKE {_quote(_COMPACT)} THEN {_ymd(*(_part(t, _COMPACT, i) for i in (1, 2, 3)))}"
+        f" WHEN {t} RLIKE {_quote(_YEAR_MONTH)} THEN {_ymd(_part(t, _YEAR_MONTH, 1), _part(t, _YEAR_MONTH, 2), '1')}"
+        f" WHEN {t} RLIKE {_quote(_MONTH_YEAR)} THEN {_ymd(_part(t, _MONTH_YEAR, 2), _part(t, _MONTH_YEAR, 1), '1')}"
+        f" WHEN {t} RLIKE {_quote(_YEAR)} THEN {_ymd(t, '1', '1')} END"
     )
 
 
-def _named_day(text: Column) -> Column:
-    """Date of a lower-case text that names the month."""
-    g = F.regexp_extract
+def _named_day(t: str) -> str:
+    """SQL for the date of a lower-case text that names the month."""
     layouts = (
         (_DAY_NAME_YEAR, 3, 2, 1),
         (_NAME_DAY_YEAR, 3, 1, 2),
         (_YEAR_NAME_DAY, 1, 2, 3),
         (_NAME_YEAR, 2, 1, None),
     )
-    days = [
-        F.when(
-            text.rlike(p),
-            _ymd(_full_year(g(text, p, y)), _month_number(g(text, p, m)), g(text, p, d) if d else F.lit("1")),
-        )
+    cases = [
+        f"WHEN {t} RLIKE {_quote(p)} THEN "
+        + _ymd(_full_year(_part(t, p, y)), _month_number(_part(t, p, m)), _part(t, p, d) if d else "1")
         for p, y, m, d in layouts
     ]
-    return F.coalesce(*days)
+    return "CASE " + " ".join(cases) + " END"
 
 
-def _parse_day(text: Column) -> Column:
-    """Date of a text with or without a clock part, else NULL."""
+def _let(name: str, value: str, body: str) -> str:
+    """SQL that computes ``value`` once for a ``body`` that names it."""
+    return f"transform(array({value}), {name} -> {body})[0]"
 
-    def by_family(bare: Column) -> Column:
-        lowered = F.regexp_replace(F.lower(bare), _WEEKDAY, "")
-        return F.when(bare.rlike("[A-Za-z]"), _let(lowered, _named_day)).otherwise(_numeric_day(bare))
 
-    return _let(F.regexp_replace(text, _CLOCK, ""), by_family)
-
-
-def _in_range(day: Column) -> Column:
-    return (F.year(day) <= LAST_YEAR) & (day >= F.lit(FIRST_DAY).cast("date"))
+#: Lambda from a text to its date. A lambda is computed per row outside generated code,
+#: which keeps the code of the common layout small enough to be compiled.
+_ANY_DAY = "whole -> " + _let(
+    "bare",
+    f"regexp_replace(whole, {_quote(_CLOCK)}, '')",
+    "CASE WHEN bare RLIKE '[A-Za-z]' THEN "
+    + _let("named", f"regexp_replace(lower(bare), {_quote(_WEEKDAY)}, '')", _named_day("named"))
+    + f" ELSE {_numeric_day('bare')} END",
+)
+_KEPT_DAY = f"day -> year(day) <= {LAST_YEAR} AND day >= DATE '{FIRST_DAY}'"
 
 
 def to_date(c: Column) -> Column:
@@ -115,7 +114,8 @@ def to_date(c: Column) -> Column:
     first, or day first when ``a`` is above 12.
     """
     text = strip(c)
-    other = F.get(F.filter(F.array(_parse_day(text)), _in_range), F.lit(0))
+    days = F.call_function("transform", F.array(text), F.expr(_ANY_DAY))
+    other = F.get(F.call_function("filter", days, F.expr(_KEPT_DAY)), F.lit(0))
     return (
         F.when(is_missing(c, VALUE_TOKENS), F.lit(None).cast("date"))
         .when(F.contains(c, F.lit(END_OF_TIME)), F.lit(END_OF_TIME).cast("date"))
@@ -135,7 +135,13 @@ def to_datetime(c: Column) -> Column:
     second = F.when(g(text, _CLOCK, 3) != "", g(text, _CLOCK, 3)).otherwise(F.lit("0"))
     fraction = F.when(g(text, _CLOCK, 4) != "", F.left(g(text, _CLOCK, 4), F.lit(6))).otherwise(F.lit("0"))
     clock = F.concat(
-        _pad(hour.cast("string")), F.lit(":"), _pad(g(text, _CLOCK, 2)), F.lit(":"), _pad(second), F.lit("."), fraction
+        F.lpad(hour.cast("string"), 2, "0"),
+        F.lit(":"),
+        F.lpad(g(text, _CLOCK, 2), 2, "0"),
+        F.lit(":"),
+        F.lpad(second, 2, "0"),
+        F.lit("."),
+        fraction,
     )
     clock = F.when(text.rlike(_CLOCK) & ~F.contains(c, F.lit(END_OF_TIME)), clock).otherwise(F.lit("00:00:00"))
     return F.concat_ws(" ", to_date(c).cast("string"), clock).try_cast("timestamp_ntz")

@@ -162,13 +162,22 @@ def _substrings(c: Column) -> Column:
     return F.array_distinct(pieces)
 
 
+def _first_k(names: DataFrame, key: str, k: int, position: str | None = None) -> DataFrame:
+    """The first ``k`` names per key. Each task drops the rest of its rows before the shuffle."""
+    by_order = Window.partitionBy(key).orderBy("_order", "close_match")
+    ranked = names.withColumn("_rank", F.row_number().over(by_order)).where(F.col("_rank") <= k)
+    return ranked.withColumnRenamed("_rank", position) if position else ranked.drop("_rank")
+
+
 def close_matches(
     requested: DataFrame, name: str, available: DataFrame, available_name: str, order: str, k: int = CLOSE_MATCHES
 ) -> DataFrame:
     """Up to ``k`` available names, in their order, that contain the requested name or lie within it.
 
-    Containment is equality with a substring, so both directions are equi-joins and
-    only true matches are ever produced. Meant for names, whose substrings are few.
+    Containment is equality with a substring, so both directions are equi-joins that
+    produce true matches only. Of the names behind one substring only the first ``k``
+    can be wanted, so no more than those enter the join. Meant for names, whose
+    substrings are few.
     """
     wanted = (
         requested.select(F.col(name).alias("requested_name"))
@@ -180,11 +189,11 @@ def close_matches(
         "close_match IS NOT NULL"
     )
     low = base.withColumn("_low", F.lower("close_match"))
-    parts = low.select("close_match", "_order", F.explode(_substrings(F.col("_low"))).alias("_part"))
+    parts = _first_k(low.select("close_match", "_order", F.explode(_substrings(F.col("_low"))).alias("_part")), "_part", k)
     containing = parts.join(wanted, F.col("_part") == F.col("_want")).select("requested_name", "close_match", "_order")
     want_parts = wanted.select("requested_name", F.explode(_substrings(F.col("_want"))).alias("_part"))
-    contained = want_parts.join(low, F.col("_part") == F.col("_low")).select("requested_name", "close_match", "_order")
+    firsts = _first_k(low, "_low", k)
+    contained = want_parts.join(firsts, F.col("_part") == F.col("_low")).select("requested_name", "close_match", "_order")
     pairs = containing.unionByName(contained).distinct()
-    by_order = Window.partitionBy("requested_name").orderBy("_order", "close_match")
-    ranked = pairs.withColumn("position", F.row_number().over(by_order)).where(F.col("position") <= k)
+    ranked = _first_k(pairs, "requested_name", k, "position")
     return ranked.select("requested_name", "position", "close_match")

@@ -22,6 +22,8 @@ def local_session(cores: str = "8", memory: str = "8g", app: str = "rowharbor")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Recording the Python call site of every column costs more than building the column.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
