@@ -47,9 +47,13 @@ def missing_key_spread(
     hashable = [f.name for f in rows.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     any_missing = reduce(or_, [F.col(f"`{c}`").isNull() for c in row_cols])
     spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashable]), F.lit(_SPREAD_WIDTH))
-    left = rows.withColumn(_CHILD_SPREAD, F.when(any_missing, spread).otherwise(F.lit(0)))
-    # Always zero, but not a constant to the optimizer: it must stay a join key.
-    right = keys.withColumn(_KEY_SPREAD, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in key_cols]), F.lit(1)))
+
+    def zero(columns: Sequence[str]) -> Column:
+        # Always zero, but not a constant to the optimizer: it has to stay a join key.
+        return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.lit(1))
+
+    left = rows.withColumn(_CHILD_SPREAD, F.when(any_missing, spread).otherwise(zero(row_cols)))
+    right = keys.withColumn(_KEY_SPREAD, zero(key_cols))
     condition = reduce(and_, [left[r] == right[k] for r, k in zip(row_cols, key_cols)])
     condition = condition & (left[_CHILD_SPREAD] == right[_KEY_SPREAD])
     return left, right, condition, [_CHILD_SPREAD, _KEY_SPREAD]

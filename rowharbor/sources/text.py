@@ -72,7 +72,7 @@ def report_rows(pages: DataFrame, html: str, tables: Sequence[str], keep: Sequen
                         F.lit(t).alias("table"),
                         F.regexp_extract_all(
                             F.col(html),
-                            F.lit(rf"(?s)<td>{t}</td>\s*((?:<td[^>]*>[^<]*</td>\s*){{6}})"),
+                            F.lit(rf"<td>{t}</td>\s*((?:<td[^>]*>\d+</td>\s*){{5}}<td[^>]*>[^<]*</td>)"),
                             F.lit(1),
                         ).alias("_rows"),
                     )
