@@ -70,11 +70,23 @@ def check_types(df: DataFrame, types: Mapping[str, str], keep_time: bool = False
     return values.select(*[F.col(f"`{c}`") for c in df.columns], F.struct(*typed).alias(TYPED), reason.alias(REASON))
 
 
+def pinned(df: DataFrame, *columns: str) -> DataFrame:
+    """The same rows with the given columns computed at this point of the plan, once.
+
+    The optimizer moves a filter on a computed column below its computation and then
+    computes it again for every place that reads it. A filter does not move below the
+    one-element explode used here.
+    """
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    held = F.explode(F.array(F.struct(*[F.col(f"`{c}`") for c in columns]))).alias("_held")
+    return df.select(*rest, held).select(*rest, *[F.col(f"_held.{c}").alias(c) for c in columns])
+
+
 def coerce_table(
     df: DataFrame, types: Mapping[str, str], keep_time: bool = False, real_bools: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Split into typed rows and untouched rejected rows with their reason."""
-    checked = check_types(df, types, keep_time, real_bools)
+    checked = pinned(check_types(df, types, keep_time, real_bools), TYPED, REASON)
     valid = checked.where(F.col(REASON).isNull()).select(f"{TYPED}.*")
     rejected = checked.where(F.col(REASON).isNotNull()).drop(TYPED)
     return valid, rejected

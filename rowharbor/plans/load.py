@@ -25,7 +25,7 @@ from rowharbor.operators.keys import dedupe_last, generate_keys
 from rowharbor.operators.merge import classify_changes, replace, upsert
 from rowharbor.operators.references import fk_all_or_nothing, fk_flags
 from rowharbor.operators.validate import constraint_reason, pk_reason
-from rowharbor.session import cut_lineage
+from rowharbor.session import cut_lineage, spread_small
 from rowharbor.spec import ForeignKey, SpecError, TableSpec
 
 
@@ -51,7 +51,7 @@ def prepare(batch: DataFrame, spec: TableSpec, seq: str | None = None) -> DataFr
 
     ``seq`` names an ordering column of the batch; without one the read position counts.
     """
-    df = rename(clean(with_row_seq(batch, seq)), spec.renames)
+    df = rename(clean(spread_small(with_row_seq(batch, seq))), spec.renames)
     for transform in spec.transforms:
         df = df.transform(transform)
     df = lists_to_json(df, spec.list_columns)
