@@ -121,7 +121,7 @@ def to_date(c: Column) -> Column:
         .when(F.contains(c, F.lit(END_OF_TIME)), F.lit(END_OF_TIME).cast("date"))
         # The common layout needs no parsing beyond the cast; its texts sort like its days.
         .when(text.rlike(_ISO), F.when(text.between(FIRST_DAY, f"{LAST_YEAR}-12-31"), text.try_cast("date")))
-        .otherwise(other)
+        .when(text.rlike("[0-9]"), other)
     )
 
 

@@ -23,8 +23,14 @@ TRUE_WORDS = ("true", "t", "1", "yes")
 
 
 def strip(c: Column) -> Column:
-    """Trim every whitespace character ``str.strip`` would."""
-    return F.trim(c, F.lit(WHITESPACE))
+    """Trim every whitespace character ``str.strip`` would.
+
+    Blanks go first, at little cost; only a text that still starts or ends with
+    another whitespace character takes the slower trim by a set of characters.
+    """
+    t = F.trim(c)
+    edges = F.contains(F.lit(WHITESPACE), F.left(t, F.lit(1))) | F.contains(F.lit(WHITESPACE), F.right(t, F.lit(1)))
+    return F.when(edges, F.trim(t, F.lit(WHITESPACE))).otherwise(t)
 
 
 def is_missing(c: Column, tokens: Sequence[str]) -> Column:

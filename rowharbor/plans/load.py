@@ -235,16 +235,17 @@ def load_all(
     only: Sequence[str] | None = None,
     dry_run: bool = False,
     seqs: Mapping[str, str] | None = None,
+    category: str | None = None,
 ) -> RunResult:
     """Load tables in the given order, each against the snapshots of those before it.
 
     A table that fails is recorded and the others go on. ``only`` narrows the run to
-    some tables; the others still serve as parents.
+    some tables and ``category`` to one load category; the others still serve as parents.
     """
     run = RunResult()
     stored = dict(targets)
     for spec in specs:
-        if only is not None and spec.name not in only:
+        if (only is not None and spec.name not in only) or (category and spec.category != category):
             continue
         try:
             if spec.name not in batches:

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, types as T
 #: The type words a table description may use.
 TYPE_WORDS = ("int", "float", "date", "dict", "str", "bool")
 
+#: Load categories, in load order.
+CATEGORIES = ("masters", "core", "relationship", "transactional")
+
 #: Spark type each type word is coerced to in flight.
 FLIGHT_TYPES = {
     "int": T.LongType(),
@@ -46,6 +49,7 @@ class TableSpec:
     name: str
     pk: Sequence[str]
     types: Mapping[str, str]
+    category: str = ""
     renames: Mapping[str, str] = field(default_factory=dict)
     foreign_keys: Sequence[ForeignKey] = ()
     fk_policy: str = "filter"
@@ -66,6 +70,8 @@ class TableSpec:
     def __post_init__(self) -> None:
         if not self.pk:
             raise SpecError(f"No primary key configured/found for table {self.name}")
+        if self.category and self.category not in CATEGORIES:
+            raise SpecError(f"{self.name}: unknown category {self.category!r}")
         if self.fk_policy not in ("filter", "skip"):
             raise SpecError(f"{self.name}: unknown foreign key policy {self.fk_policy!r}")
         unknown = sorted(set(self.types.values()) - set(TYPE_WORDS))

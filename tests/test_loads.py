@@ -232,6 +232,17 @@ def test_failed_table_does_not_stop_the_run(spark):
     assert load_all({"good": batch}, [good, keyless], empty, only=["good"]).errors == {}
 
 
+def test_run_of_one_category(spark):
+    first = TableSpec("first", ["a"], {"a": "int"}, "masters")
+    second = TableSpec("second", ["a"], {"a": "int"}, "core")
+    batch = spark.createDataFrame([("1",)], "a string")
+    empty = {s.name: spark.createDataFrame([], s.storage_schema()) for s in (first, second)}
+    run = load_all({"first": batch, "second": batch}, [first, second], empty, category="core")
+    assert list(run.results) == ["second"]
+    with pytest.raises(SpecError, match="unknown category"):
+        TableSpec("t", ["a"], {"a": "int"}, "other")
+
+
 FLOW = TableSpec("flow", ["k"], {"k": "int", "v": "str"})
 
 
