@@ -73,7 +73,7 @@ def _html(spark, d):
 
 @query(
     "report_rows",
-    """SELECT event_id, 'events' AS "table", event_id AS read_rows, user_id AS loaded, event_id - user_id AS rejected,
+    """SELECT event_id, 'events' AS "table", event_id AS read_rows, user_id AS loaded, ABS(event_id - user_id) AS rejected,
     CAST(0 AS BIGINT) AS inserted, user_id AS updated, event_type AS status FROM events""",
 )
 def _report_rows(spark, d):
@@ -82,7 +82,7 @@ def _report_rows(spark, d):
         '<td class="success">%s</td></tr>',
         "event_id",
         "user_id",
-        F.col("event_id") - F.col("user_id"),
+        F.abs(F.col("event_id") - F.col("user_id")),
         "user_id",
         "event_type",
     )

@@ -140,6 +140,17 @@ def fk_reason(fk: ForeignKey, parent: DataFrame | None = None, mark_empty: bool
     return F.concat(*parts)
 
 
+def _with_hits(
+    child: DataFrame, fks: Sequence[ForeignKey], parents: Mapping[str, DataFrame]
+) -> tuple[DataFrame, list[ForeignKey]]:
+    """Child rows with a flag ``_hit<i>`` for every key that can be tested, and those keys."""
+    tested = [fk for fk in fks if fk.column in child.columns and fk.parent in parents]
+    flagged = child
+    for i, fk in enumerate(tested):
+        flagged = with_hit(flagged, fk.column, parents[fk.parent], fk.parent_column, f"_hit{i}", fk.parent_unique)
+    return flagged, tested
+
+
 def fk_flags(
     child: DataFrame,
     fks: Sequence[ForeignKey],
@@ -153,10 +164,7 @@ def fk_flags(
     column or its parent table is absent. With ``all_reasons`` an array of every
     broken key's reason is added as ``all_reasons``.
     """
-    tested = [fk for fk in fks if fk.column in child.columns and fk.parent in parents]
-    flagged = child
-    for i, fk in enumerate(tested):
-        flagged = with_hit(flagged, fk.column, parents[fk.parent], fk.parent_column, f"_hit{i}", fk.parent_unique)
+    flagged, tested = _with_hits(child, fks, parents)
     reasons = [
         F.when(~F.col(f"_hit{i}"), fk_reason(fk, parents[fk.parent], mark_empty)) for i, fk in enumerate(tested)
     ]
@@ -181,8 +189,11 @@ def fk_split_many(
         return child, child.limit(0).withColumn(REASON, F.lit(None).cast("string"))
     if policy != "filter":
         raise SpecError(f"unknown foreign key policy {policy!r}")
+    hits, tested = _with_hits(child, fks, parents)
+    flags = [f"_hit{i}" for i in range(len(tested))]
+    valid = hits.where(reduce(and_, [F.col(h) for h in flags], F.lit(True))).drop(*flags)
     flagged = fk_flags(child, fks, parents, mark_empty=mark_empty)
-    return flagged.where(F.col(REASON).isNull()).drop(REASON), flagged.where(F.col(REASON).isNotNull())
+    return valid, flagged.where(F.col(REASON).isNotNull())
 
 
 def fk_split(

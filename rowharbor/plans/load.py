@@ -22,7 +22,7 @@ from rowharbor.operators.clean import (
 )
 from rowharbor.operators.coerce import REASON, STAGE, TYPED, check_types
 from rowharbor.operators.keys import dedupe_last, generate_keys
-from rowharbor.operators.merge import classify_changes, replace, upsert
+from rowharbor.operators.merge import CHANGE, classify_changes, replace, upsert
 from rowharbor.operators.references import fk_all_or_nothing, fk_flags
 from rowharbor.operators.validate import constraint_reason, pk_reason
 from rowharbor.session import cut_lineage, spread_small
@@ -115,7 +115,7 @@ def load_table(
     """Run the whole load of one table and return its outcome without writing the target.
 
     Two stages are written to the shared folder because several outputs read them: the
-    judged batch, and the surviving rows with their reference check and change class.
+    judged batch, and the surviving rows with their reference check.
     ``target`` may be a function from the batch's keys to the target rows that can hold
     them, so that a bucketed target is read only where it is touched.
     """
@@ -139,21 +139,14 @@ def load_table(
     rows = rows.withColumns({c: F.col(c).try_cast(t) for c, t in _decimals(spec).items() if c in data})
 
     referenced = _accept_references(rows, spec, parents or {})
-    base = target.limit(0) if mode == "initial" else target
+    survivors = cut_lineage(referenced, f"{spec.name}-survivors")
+    clean_rows = survivors.where(F.col(REASON).isNull()).drop(REASON)
     if dry_run:
-        classified = referenced.withColumn("change", F.lit("valid"))
+        changes = clean_rows.withColumn(CHANGE, F.lit("valid"))
+    elif mode == "initial":
+        changes = clean_rows.withColumn(CHANGE, F.lit("inserted"))
     else:
-        good = referenced.where(F.col(REASON).isNull()).drop(REASON)
-        bad = referenced.where(F.col(REASON).isNotNull())
-        if mode == "initial":
-            classified = referenced.withColumn("change", F.lit("inserted"))
-        else:
-            flagged = classify_changes(base, good, spec.pk)
-            classified = flagged.unionByName(bad, allowMissingColumns=True)
-    survivors = cut_lineage(classified, f"{spec.name}-survivors")
-    valid = survivors.where(F.col(REASON).isNull())
-    changes = valid
-    clean_rows = valid.drop(REASON, "change")
+        changes = classify_changes(target, clean_rows, spec.pk)
 
     if dry_run:
         snapshot = target
@@ -162,8 +155,8 @@ def load_table(
     else:
         snapshot = upsert(target, clean_rows, spec.pk, spec.defaults)
 
-    fk_rejected = survivors.where(F.col(REASON).isNotNull()).drop("change").withColumn(STAGE, F.lit("fk"))
-    counts = _status_counts(spark, spec, judged, survivors)
+    fk_rejected = survivors.where(F.col(REASON).isNotNull()).withColumn(STAGE, F.lit("fk"))
+    counts = _status_counts(spark, spec, judged, fk_rejected, changes)
     return LoadResult(spec.name, snapshot, rejected, fk_rejected, counts, _notes(spark, spec, judged, counts), changes)
 
 
@@ -171,18 +164,19 @@ def _decimals(spec: TableSpec) -> dict:
     return {f.name: f.dataType for f in spec.storage_schema() if f.name in spec.decimals}
 
 
-def _status_counts(spark: SparkSession, spec: TableSpec, judged: DataFrame, survivors: DataFrame) -> DataFrame:
+def _status_counts(
+    spark: SparkSession, spec: TableSpec, judged: DataFrame, fk_rejected: DataFrame, changes: DataFrame
+) -> DataFrame:
     """(table, status, n) where every read row is counted once; a handful of rows."""
-    first = judged.groupBy(F.coalesce(F.concat(F.lit("rejected_"), F.col(STAGE)), F.lit("passed")).alias("status")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    second = survivors.groupBy(
-        F.when(F.col(REASON).isNotNull(), "rejected_fk").otherwise(F.col("change")).alias("status")
-    ).agg(F.count(F.lit(1)).alias("n"))
-    stage_one = {r["status"]: r["n"] for r in first.collect()}
-    stage_two = {r["status"]: r["n"] for r in second.collect()}
-    passed = stage_one.pop("passed", 0)
-    counts = {**stage_one, **stage_two, "deduplicated": passed - sum(stage_two.values())}
+
+    def tally(df: DataFrame, status) -> dict[str, int]:
+        return {r["s"]: r["n"] for r in df.groupBy(status.alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    counts = tally(judged, F.coalesce(F.concat(F.lit("rejected_"), F.col(STAGE)), F.lit("passed")))
+    passed = counts.pop("passed", 0)
+    outcomes = fk_rejected.select(F.lit("rejected_fk").alias(CHANGE)).unionAll(changes.select(CHANGE))
+    ended = tally(outcomes, F.col(CHANGE))
+    counts |= {**ended, "deduplicated": passed - sum(ended.values())}
     rows = [(spec.name, s, n) for s, n in counts.items() if n] or [(spec.name, "read", 0)]
     return spark.createDataFrame(rows, "table string, status string, n bigint")
 

@@ -7,8 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from rowharbor.operators.coerce import REASON
-from rowharbor.operators.merge import upsert
+from rowharbor.operators.merge import CHANGE, upsert
 from rowharbor.plans.load import load_table
 from rowharbor.session import cut_lineage
 from rowharbor.sources.keyed import KeyedTable
@@ -55,7 +54,7 @@ def upsert_batch(
     if rejects_folder:
         for part in (outcome.rejected, outcome.fk_rejected):
             write_rejects(part, f"{rejects_folder}/batch={batch_id}", spec.name)
-    changed = outcome.changes.where("change <> 'unchanged'").drop("change", REASON)
+    changed = cut_lineage(outcome.changes.where(F.col(CHANGE) != "unchanged").drop(CHANGE), f"{spec.name}-changed")
     touched = table.touched(changed)
     if touched:
         before = table.read(touched) if stored else empty
