@@ -9,7 +9,7 @@ from rowharbor.catalog.fixtures import table, with_fixtures
 from rowharbor.functions.dates import to_date
 from rowharbor.functions.json_text import csv_to_array, repair_json, to_json_or_array
 from rowharbor.functions.numbers import to_float, to_int
-from rowharbor.functions.text import KEY_TOKENS, REFERENCE_TOKENS, VALUE_TOKENS, list_items, null_if_token, to_bool, to_text
+from rowharbor.functions.text import KEY_TOKENS, REFERENCE_TOKENS, VALUE_TOKENS, list_items, to_bool, to_text
 from rowharbor.operators import clean as C
 from rowharbor.operators import validate as V
 from rowharbor.operators.coerce import coerce_table
