@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import pytest
 
-import __spark_entry__ as entry
+from rowharbor.catalog import QUERIES, load_catalog
+
+load_catalog()
 
 RUNS_JOBS = ("stream", "load_all", "load_table")
-LAZY = [n for n in entry.queries() if not n.startswith(RUNS_JOBS)]
+LAZY = [n for n in QUERIES if not n.startswith(RUNS_JOBS)]
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +18,7 @@ def plans(spark, sf_dir):
     names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     for name in names:
         spark.conf.set(name, "-1")
-    out = {n: entry.queries()[n](spark, sf_dir)._jdf.queryExecution().executedPlan().toString() for n in LAZY}
+    out = {n: QUERIES[n](spark, sf_dir)._jdf.queryExecution().executedPlan().toString() for n in LAZY}
     for name in names:
         spark.conf.unset(name)
     return out
