@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowharbor.llm import bpe, packing
+from rowharbor.llm import bpe, classifier, licenses, minhash, outliers, packing, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +36,34 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every text, with how many of their values are live-looking or widely copied."""
+    found = secrets.scan_documents(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("spans", lambda s: s["rank"] < len(secrets.BASE_KINDS))
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in secrets.BASE_KINDS],
+        F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
+        secrets.span_text(F.col("spans")).alias("spans"),
+        "n_live",
+        "n_widespread",
+    )
+
+
+@query
+def op4_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every text, and whether it is kept among those of its language and source."""
+    return outliers.judge_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_byte_cnn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every text from a byte-level convolutional network."""
+    return classifier.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op6_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where every token of every document stands in sequences of 1024."""
@@ -46,3 +74,15 @@ def pack(docs: DataFrame) -> DataFrame:
     vocabulary = bpe.read_vocabulary(docs.sparkSession, public_tokenizers.path("byte_bpe_50k.tiktoken"))
     pieces = packing.pack_documents(docs, vocabulary, public_tokenizers.PATTERN)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op8_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses named in every text, after suppression of detections inside surer ones."""
+    return licenses.detect_licenses(table(spark, sf_dir, "documents")).drop("detections")
+
+
+@query
+def op10_bottom_k_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of near-duplicates of every document."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
