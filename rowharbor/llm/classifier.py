@@ -29,6 +29,8 @@ BLOCK = 128
 CHUNK_BLOCKS, STEP_BLOCKS = 4, 3
 CHUNK = BLOCK * CHUNK_BLOCKS
 TRAIN_CHUNKS = 8
+#: Share of the training steps of a document that see a short piece of it only.
+SHORT_SHARE = 0.35
 #: Positions whose filter answers are held at once.
 SPAN = BLOCK * 64
 
@@ -100,7 +102,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_class: int) -> list[
     return [(r.quality, [p.encode("utf-8", "surrogatepass")[:CHUNK] for p in r.parts]) for r in sorted(rows, key=lambda r: r.doc_id)]
 
 
-def fit(sample: list[tuple[int, list[bytes]]], epochs: int = 12, batch: int = 48, rate: float = 0.01, seed: int = 7) -> Network:
+def fit(sample: list[tuple[int, list[bytes]]], epochs: int = 16, batch: int = 48, rate: float = 0.01, seed: int = 7) -> Network:
     """Fit by Adam on the balanced cross-entropy; the gradient flows through the strongest position of each filter."""
     sample = [(y, [p for p in parts if p]) for y, parts in sample]
     sample = [(y, parts) for y, parts in sample if parts]
@@ -121,7 +123,7 @@ def fit(sample: list[tuple[int, list[bytes]]], epochs: int = 12, batch: int = 48
     for _ in range(epochs):
         order = rng.permutation(len(sample))
         for first in range(0, len(order), batch):
-            part = [sample[i] for i in order[first : first + batch]]
+            part = [(sample[i][0], _cropped(sample[i][1], rng)) for i in order[first : first + batch]]
             step += 1
             for name, g in _gradient(p, part, positive).items():
                 m, v = moment[name]
@@ -133,6 +135,16 @@ def fit(sample: list[tuple[int, list[bytes]]], epochs: int = 12, batch: int = 48
     return Network(np.ascontiguousarray(pairs, np.float32), p["bias"], p["weights"].astype(np.float64), float(p["offset"][0]))
 
 
+def _cropped(parts: list[bytes], rng: np.random.Generator) -> list[bytes]:
+    """Now and then a short piece instead of the whole document, so that short texts are known too."""
+    if rng.random() > SHORT_SHARE:
+        return parts
+    part = parts[rng.integers(len(parts))]
+    size = int(rng.integers(8, 160))
+    start = int(rng.integers(max(1, len(part) - size + 1)))
+    return [part[start : start + size]]
+
+
 def _gradient(p: dict[str, np.ndarray], part: list[tuple[int, list[bytes]]], positive: float) -> dict[str, np.ndarray]:
     owner = np.repeat(np.arange(len(part)), [len(x) for _, x in part])
     chunks = [c for _, x in part for c in x]
@@ -198,7 +210,7 @@ def score_documents(docs: DataFrame, network: Network) -> DataFrame:
     return map_rows(docs, ["doc_id", "text"], "doc_id long, score double", pa.schema([("doc_id", pa.int64()), ("score", pa.float64())]), task)
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = 400) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = 1000) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every document, from a network fitted to ``labels``."""
     network = fit(training_sample(docs, labels, per_class))
     return score_documents(docs, network).select(

@@ -46,7 +46,7 @@ STATS_SCHEMA = pa.schema(
 STATS_DDL = "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long"
 
 #: Least spread of each statistic. It stands for differences that say nothing of quality, and keeps constant statistics invertible.
-FLOORS = {"z_words": 0.3, "z_word_length": 0.06, "z_symbols": 0.35, "z_dup_lines": 0.12, "z_repeats": 0.12}
+FLOORS = {"z_words": 0.3, "z_word_length": 0.06, "z_symbols": 0.35, "z_dup_lines": 0.16, "z_repeats": 0.12}
 NAMES = list(FLOORS)
 P = len(NAMES)
 
