@@ -7,6 +7,7 @@ repeat earlier work, survive lost executors, and join two plain exchanges, of wh
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from rowharbor.session import cut_lineage
@@ -47,3 +48,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
     hung = edges.join(least, "a").where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     own = least.select("a", F.col("m").alias("b"))
     return cut_lineage(hung.unionAll(own).distinct(), "links")
+
+
+def reached(links: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The smallest id that the links of a square block reach from each row; rows of equal id are one."""
+    links = links | (ids[:, None] == ids[None])
+    order = np.argsort(ids)
+    links = links[np.ix_(order, order)]
+    label = np.arange(len(ids))
+    while True:
+        near = np.where(links, label[None], label[:, None]).min(1)
+        near = np.minimum(near, label)
+        near = near[near]
+        if (near == label).all():
+            out = np.empty(len(ids), np.int64)
+            out[order] = ids[order][label]
+            return out
+        label = near

@@ -115,7 +115,7 @@ def rule_table() -> list[dict]:
     families = []
     for label, (keywords, names) in NAMES.items():
         rules = [
-            {"priority": len(STATEMENTS) - i, "weight": weight, "pattern": _whole_words(statement.format(name=f"(?:{name})"))}
+            {"priority": len(STATEMENTS) - i, "weight": weight, "pattern": _whole_words(statement.format(name=f"(?:{name})(?: international| unported| generic)?"))}
             for name in names
             for i, (weight, statement) in enumerate(STATEMENTS)
         ]

@@ -5,10 +5,11 @@ them. Documents with equal sets are one from then on. Inverted lists of the reta
 
 * Two sets at the threshold share at least ``needed(n)`` retained values, but for a chance below one in a million, so two
   sketches ordered by how rare their values are must meet among all but the ``needed(n) - 1`` commonest. Only those are listed.
-* Lists of up to ``SHORT_LIST`` documents give all their pairs. A longer list gives the pairs with its smallest document, and once
-  those links are joined to components, the pairs of the documents outside the largest component of the list with all the others,
-  compared by sketch in blocks of bounded size. Pairs within one component need no comparison; none is lost.
-* The estimate from the union of the two sketches drops pairs that are far off, and the full sets of the texts decide the rest.
+* Lists of up to ``SHORT_LIST`` documents give all their pairs, and a longer list those with its smallest document. The estimate from
+  the union of the two sketches drops pairs that are far off, and the full sets of the texts decide the rest.
+* Once these links are joined to components, the documents of a long list that lie outside its largest component are compared with all
+  the others by their full sets, in blocks of bounded size that emit what their links reach, not pairs. Two documents
+  of one component need no comparison; no link between components is lost.
 
 No list is cut or capped, and no list is gathered in one task.
 
@@ -29,14 +30,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowharbor.llm.arrow_tasks import map_rows
-from rowharbor.llm.components import connected_components
+from rowharbor.llm.components import connected_components, reached
 from rowharbor.session import cut_lineage
 
 WORDS = 5
 K = 48
 SIMILARITY = 75  # per cent
 SHORT_LIST = 8
-BLOCK = 256
+BLOCK = 512
 #: Standard deviations below the mean overlap at the threshold that the estimate allows for.
 SLACK = 5.2
 
@@ -117,48 +118,74 @@ def first_pairs(lists: DataFrame, sizes: DataFrame, similarity: int) -> DataFram
     return pairs.unionByName(star).where(_comparable("na", "nb", similarity)).select("a", "b").distinct()
 
 
-def residual_pairs(lists: DataFrame, sizes: DataFrame, sets: DataFrame, components: DataFrame, k: int, similarity: int) -> DataFrame:
-    """``a, b`` of the long lists across components, where the sketches share enough."""
-    long = lists.join(sizes.where(F.col("members") > SHORT_LIST).select("value"), "value")
-    long = long.join(components, long["id"] == components["node"], "left").select("value", "id", F.coalesce("component", "id").alias("component"))
+def residual_links(lists: DataFrame, sizes: DataFrame, texts: DataFrame, components: DataFrame, width: int, similarity: int) -> DataFrame:
+    """``a, b`` (b < a): what links of the long lists across components reach, by the full sets.
+
+    Long lists with one smallest document are compared as one, so that documents that share many lists meet once.
+    """
+    long = lists.join(sizes.where(F.col("members") > SHORT_LIST).select("value", F.col("center.id").alias("center")), "value")
+    long = cut_lineage(long.select("center", "id").distinct(), "long-lists")
+    long = long.join(components, long["id"] == components["node"], "left").select("center", "id", F.coalesce("component", "id").alias("component"))
     long = cut_lineage(long, "long-lists")
-    parts = long.groupBy("value", "component").agg(F.count(F.lit(1)).alias("size"))
-    largest = parts.groupBy("value").agg(F.max(F.struct("size", "component")).alias("top"), F.sum("size").alias("total"))
+    parts = long.groupBy("center", "component").agg(F.count(F.lit(1)).alias("size"))
+    largest = parts.groupBy("center").agg(F.max(F.struct("size", "component")).alias("top"), F.sum("size").alias("total"))
     largest = largest.where(F.col("top.size") < F.col("total")).select(
-        "value",
+        "center",
         F.col("top.component").alias("main"),
         F.ceil(F.col("total") / BLOCK).cast("int").alias("blocks"),
         F.ceil((F.col("total") - F.col("top.size")) / BLOCK).cast("int").alias("minor_blocks"),
     )
-    open_lists = long.join(cut_lineage(largest, "open-lists"), "value")
-    open_lists = open_lists.join(sets.select("id", "n", "sketch"), "id").withColumn("h", F.xxhash64("id", "value"))
-    columns = ["value", "minor_block", "block", "minor", "id", "component", "n", "sketch"]
+    open_lists = long.join(cut_lineage(largest, "open-lists"), "center").withColumn("h", F.xxhash64("id", "center"))
+    open_lists = cut_lineage(open_lists, "open-members")
+    columns = ["center", "minor_block", "block", "minor", "id", "component"]
     every = open_lists.select(
         "*", F.pmod("h", "blocks").cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("minor_blocks") - 1)).alias("minor_block"), F.lit(False).alias("minor")
     ).select(columns)
     minors = open_lists.where(F.col("component") != F.col("main")).select(
         "*", F.pmod("h", "minor_blocks").cast("int").alias("minor_block"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("minor")
     ).select(columns)
+    held = texts.join(open_lists.select("id").distinct(), "id", "left_semi")
+
+    def full_sets(rows):
+        for doc_id, text in rows:
+            yield doc_id, shingle_set(text, width).tobytes()
+
+    sets = cut_lineage(map_rows(held, ["id", "text"], "id long, members binary", pa.schema([("id", pa.int64()), ("members", pa.binary())]), full_sets), "full-sets")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, y = pdf[pdf["minor"]], pdf[~pdf["minor"]]
-        none = pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
-        if not len(x) or not len(y):
-            return none
-        _, at = np.unique(np.concatenate([*x["sketch"], *y["sketch"]]), return_inverse=True)
-        rows = np.repeat(np.arange(len(x) + len(y)), [len(s) for s in [*x["sketch"], *y["sketch"]]])
-        held = np.zeros((len(x) + len(y), at.max() + 1), np.float32)
-        held[rows, at] = 1
-        shared = held[: len(x)] @ held[len(x) :].T
-        nx, ny = x["n"].to_numpy()[:, None], y["n"].to_numpy()[None]
-        good = shared >= np.maximum(needed(nx, k, similarity), needed(ny, k, similarity))
-        good &= x["component"].to_numpy()[:, None] != y["component"].to_numpy()[None]
-        good &= 100 * np.minimum(nx, ny) >= similarity * np.maximum(nx, ny)
-        i, j = np.nonzero(good)
-        ids = np.sort(np.stack([x["id"].to_numpy()[i], y["id"].to_numpy()[j]]), 0)
-        return pd.DataFrame({"a": ids[0], "b": ids[1]}).drop_duplicates()
-
-    return every.unionByName(minors).groupBy("value", "minor_block", "block").applyInPandas(compare, "a long, b long").distinct()
+        whole = [np.frombuffer(m, np.int64) for m in pdf["members"]]
+        minor, ids, component = pdf["minor"].to_numpy(), pdf["id"].to_numpy(), pdf["component"].to_numpy()
+        n = np.array([len(m) for m in whole])
+        both = shared_counts(whole)
+        good = 100 * both >= similarity * (n[:, None] + n[None] - both)
+        good &= (component[:, None] != component[None]) & (minor[:, None] != minor[None])
+        label = reached(good, ids)
+        found = good.any(1) & (label < ids)
+        return pd.DataFrame({"a": ids[found], "b": label[found]})
+
+    placed = every.unionByName(minors).join(sets, "id")
+    return placed.groupBy("center", "minor_block", "block").applyInPandas(compare, "a long, b long").distinct()
+
+
+def shared_counts(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Sizes of all intersections of the sets of a block, a stretch of values at a time."""
+    values = np.concatenate(sets)
+    rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, at, count = np.unique(values, return_inverse=True, return_counts=True)
+    used = count[at] > 1
+    renamed = np.cumsum(count > 1) - 1
+    rows, at = rows[used], renamed[at[used]]
+    order = np.argsort(at, kind="stable")
+    rows, at = rows[order], at[order]
+    out = np.zeros((len(sets), len(sets)))
+    width = int(at[-1]) + 1 if len(at) else 0
+    for start in range(0, width, columns):
+        low, high = np.searchsorted(at, [start, start + columns])
+        held = np.zeros((len(sets), columns), np.float32)
+        held[rows[low:high], at[low:high] - start] = 1
+        out += held @ held.T
+    np.fill_diagonal(out, [len(s) for s in sets])
+    return out
 
 
 def estimated(pairs: DataFrame, sets: DataFrame, k: int, similarity: int) -> DataFrame:
@@ -210,11 +237,11 @@ def near_duplicates(docs: DataFrame, k: int = K, width: int = WORDS, similarity:
     lists = cut_lineage(listed_values(sets, k, similarity), "lists")
     sizes = lists.groupBy("value").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("id", "n")).alias("center")).where("members > 1")
     sizes = cut_lineage(sizes, "list-sizes")
-    texts = docs.join(sets.select("id").distinct(), F.col("doc_id") == F.col("id"), "left_semi").select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id"])
+    texts = docs.select("doc_id", "text").join(sets.select("id").distinct(), F.col("doc_id") == F.col("id"), "left_semi").select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id"])
     links = _verified(first_pairs(lists, sizes, similarity), sets, texts, k, width, similarity)
     copies = member.where("doc_id != id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
     components = cut_lineage(connected_components(links), "components")
-    more = _verified(residual_pairs(lists, sizes, sets, components, k, similarity), sets, texts, k, width, similarity)
+    more = cut_lineage(residual_links(lists, sizes, texts, components, width, similarity), "links")
     found = cut_lineage(connected_components(links.unionByName(more).unionByName(copies)), "components")
     out = rows.select("doc_id", "n_shingles").join(found, F.col("doc_id") == F.col("node"), "left")
     component = F.coalesce("component", "doc_id")

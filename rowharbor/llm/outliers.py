@@ -34,6 +34,7 @@ SUPPORT = 0.75
 STEPS = 4
 MIN_ROWS = 60
 DIGITS = 2
+SALTS = 32
 CUTOFF = 0.999999
 BASE_WORDS = 50
 SYMBOLS = b"#*$%&|<>"
@@ -155,6 +156,12 @@ def _log_distance() -> Column:
     return F.round(F.log(F.greatest(F.col("d2"), F.lit(1e-6))), DIGITS)
 
 
+def _beside(rows: DataFrame, per_group: DataFrame) -> DataFrame:
+    """Every row with what is known of its group; a group is spread over ``SALTS`` parts, so that sums are formed in many tasks."""
+    spread = per_group.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(spread, ["group_key", "salt"])
+
+
 def _moments(df: DataFrame, keys: list[str]) -> DataFrame:
     means = [F.avg(n) for n in NAMES]
     products = [F.covar_pop(a, b) for i, a in enumerate(NAMES) for b in NAMES[i:]]
@@ -182,10 +189,10 @@ def _fitted(moments: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def mcd_estimates(rows: DataFrame) -> DataFrame:
-    """``group_key, center, precision, scale`` from ``rows`` of group keys and vectors: one row per group."""
+    """``group_key, center, precision, scale`` from ``rows`` of group keys, salts and vectors: one row per group."""
     medians = rows.groupBy("group_key").agg(*[F.percentile(F.round(n, DIGITS + 1), 0.5).alias(f"m_{n}") for n in NAMES])
     spread = [F.percentile(F.round(F.abs(F.col(n) - F.col(f"m_{n}")), DIGITS + 1), 0.5).alias(f"s_{n}") for n in NAMES]
-    robust = rows.join(medians, "group_key").groupBy("group_key", *[f"m_{n}" for n in NAMES]).agg(*spread)
+    robust = _beside(rows, cut_lineage(medians, "medians")).groupBy("group_key", *[f"m_{n}" for n in NAMES]).agg(*spread)
     center = F.array(*[F.col(f"m_{n}") for n in NAMES])
     squares = F.array(*[F.pow(1.4826 * F.col(f"s_{a}"), 2) if a == b else F.lit(0.0) for i, a in enumerate(NAMES) for b in NAMES[i:]])
     plain = _moments(rows, ["group_key"]).select("group_key", "upper")
@@ -195,14 +202,15 @@ def mcd_estimates(rows: DataFrame) -> DataFrame:
     keys = ["group_key", "start"]
     estimate = _fitted(starts, keys)
     for _ in range(STEPS):
-        near = rows.join(estimate, "group_key").withColumn("d2", _distance())
+        near = _beside(rows, estimate).withColumn("d2", _distance())
         bound = near.groupBy(*keys).agg(F.percentile(_log_distance(), SUPPORT).alias("bound"))
-        inner = near.join(bound, keys).where(_log_distance() <= F.col("bound"))
+        bounded = cut_lineage(estimate.join(bound, keys), "bounds")
+        inner = _beside(rows, bounded).withColumn("d2", _distance()).where(_log_distance() <= F.col("bound"))
         estimate = _fitted(_moments(inner, keys), keys)
     best = estimate.groupBy("group_key").agg(F.min_by(F.struct("center", "precision"), F.struct("logdet", "start")).alias("e"))
-    best = best.select("group_key", "e.center", "e.precision")
-    best = best.join(_scales(rows, best), "group_key")
-    refit = rows.join(best, "group_key").withColumn("d2", _distance() * F.col("scale")).where(F.col("d2") <= chi_square_quantile(0.975, P))
+    best = cut_lineage(best.select("group_key", "e.center", "e.precision"), "estimates")
+    best = cut_lineage(best.join(_scales(rows, best), "group_key"), "estimates")
+    refit = _beside(rows, best).withColumn("d2", _distance() * F.col("scale")).where(F.col("d2") <= chi_square_quantile(0.975, P))
     final = _fitted(_moments(refit, ["group_key"]), ["group_key"])
     return cut_lineage(final.join(_scales(rows, final), "group_key").select("group_key", "center", "precision", "scale"), "estimates")
 
@@ -210,7 +218,7 @@ def mcd_estimates(rows: DataFrame) -> DataFrame:
 def _scales(rows: DataFrame, estimate: DataFrame) -> DataFrame:
     """The factor that brings the median distance of a group to that of a normal sample; never above 1."""
     middle = F.exp(F.percentile(_log_distance(), 0.5))
-    d2 = rows.join(estimate, "group_key").withColumn("d2", _distance())
+    d2 = _beside(rows, estimate).withColumn("d2", _distance())
     return d2.groupBy("group_key").agg(F.least(F.lit(chi_square_quantile(0.5, P)) / middle, F.lit(1.0)).alias("scale"))
 
 
@@ -219,8 +227,10 @@ def judge_documents(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     failed = (F.col("n_words") < BASE_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     stats = cut_lineage(document_statistics(docs).withColumn("base_failed", failed), "statistics")
     keyed = cut_lineage(assign_groups(stats.select("*", *transformed())), "vectors")
-    judged = keyed.where(~F.col("base_failed") & F.col("group_key").isNotNull()).select("group_key", *NAMES)
+    keyed = keyed.withColumn("salt", F.pmod(F.xxhash64("doc_id", *NAMES), F.lit(SALTS)).cast("int"))
+    judged = keyed.where(~F.col("base_failed") & F.col("group_key").isNotNull()).select("group_key", "salt", *NAMES)
     estimates = mcd_estimates(judged)
-    out = keyed.join(estimates, "group_key", "left").withColumn("distance", F.when(~F.col("base_failed"), _distance() * F.col("scale")))
+    spread = estimates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    out = keyed.join(spread, ["group_key", "salt"], "left").withColumn("distance", F.when(~F.col("base_failed"), _distance() * F.col("scale")))
     outlier = F.coalesce(F.col("distance") > chi_square_quantile(cutoff, P), F.lit(False))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", (~F.col("base_failed") & ~outlier).alias("kept"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowharbor.llm import bpe, classifier, licenses, minhash, outliers, packing, secrets
+from rowharbor.llm import bpe, classifier, embeddings, licenses, minhash, outliers, packing, secrets, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,3 +86,17 @@ def op8_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bottom_k_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of near-duplicates of every document."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_hyperplane_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of all vectors with a cosine of 0.9 or more."""
+    return embeddings.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op9_lyndon_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every text without the strings of 200 bytes that start at two places or more."""
+    found = substrings.remove_repeated(table(spark, sf_dir, "documents"))
+    spans = F.coalesce(F.size("starts"), F.lit(0))
+    return found.select("doc_id", "n_bytes", "n_removed", F.greatest(spans, F.lit(0)).cast("long").alias("n_spans"), "kept_sha256")
