@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowharbor.llm import bpe, classifier, embeddings, licenses, minhash, outliers, packing, secrets, substrings
+from rowharbor.llm import bpe, classifier, embeddings, licenses, lines, minhash, outliers, packing, secrets, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -100,3 +100,9 @@ def op9_lyndon_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.remove_repeated(table(spark, sf_dir, "documents"))
     spans = F.coalesce(F.size("starts"), F.lit(0))
     return found.select("doc_id", "n_bytes", "n_removed", F.greatest(spans, F.lit(0)).cast("long").alias("n_spans"), "kept_sha256")
+
+
+@query
+def op7_segment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of every document that go, as lines within two edits stand in more than six documents."""
+    return lines.repeated_lines(table(spark, sf_dir, "documents")).drop("row_id")
