@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rowharbor.llm.arrow_tasks import map_rows
+from rowharbor.llm.arrow_tasks import SLICE_ROWS, map_rows
 
 WIDTH, VECTOR, FILTERS = 6, 8, 16
 BLOCK = 128
@@ -29,6 +29,8 @@ BLOCK = 128
 CHUNK_BLOCKS, STEP_BLOCKS = 4, 3
 CHUNK = BLOCK * CHUNK_BLOCKS
 TRAIN_CHUNKS = 8
+#: Labelled documents of each class that are learned from, at most.
+PER_CLASS = 1000
 #: Share of the training steps of a document that see a short piece of it only.
 SHORT_SHARE = 0.35
 #: Positions whose filter answers are held at once.
@@ -210,7 +212,21 @@ def score_documents(docs: DataFrame, network: Network) -> DataFrame:
     return map_rows(docs, ["doc_id", "text"], "doc_id long, score double", pa.schema([("doc_id", pa.int64()), ("score", pa.float64())]), task)
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = 1000) -> DataFrame:
+def keep_quality(docs: DataFrame, labels: DataFrame, least: float = 0.5, per_class: int = PER_CLASS) -> DataFrame:
+    """The documents, with all their columns, whose score is ``least`` or more; no shuffle."""
+    held = docs.sparkSession.sparkContext.broadcast(fit(training_sample(docs, labels, per_class)))
+
+    def run(batches):
+        for whole in batches:
+            for start in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(start, SLICE_ROWS)
+                texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+                yield batch.filter(pa.array([held.value.score(t) >= least for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every document, from a network fitted to ``labels``."""
     network = fit(training_sample(docs, labels, per_class))
     return score_documents(docs, network).select(
