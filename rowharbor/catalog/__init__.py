@@ -30,6 +30,7 @@ def load_catalog() -> None:
     """Import every query module once."""
     from rowharbor.catalog import (  # noqa: F401
         conversions,
+        hard_cases,
         keyed_loads,
         references,
         reports,

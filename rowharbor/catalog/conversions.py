@@ -179,11 +179,10 @@ def _to_date(spark, d):
     "csv_to_array",
     with_fixtures("raw_orders")
     + f""" SELECT row_seq, CASE WHEN LEN({sql_items('tags_text')}) > 0 THEN {sql_items('tags_text')} END AS items,
-    {sql_json_list('tags_text')} AS json FROM raw_orders WHERE tags_text NOT LIKE '[%'""",
+    CASE WHEN LEN({sql_items('tags_text')}) > 0 THEN CAST(TO_JSON({sql_items('tags_text')}) AS VARCHAR) END AS json FROM raw_orders""",
 )
 def _csv_to_array(spark, d):
-    plain = table(spark, d, "raw_orders").where("tags_text NOT LIKE '[%'")
-    return plain.select(
+    return table(spark, d, "raw_orders").select(
         "row_seq", list_items(F.col("tags_text")).alias("items"), csv_to_array(F.col("tags_text")).alias("json")
     )
 

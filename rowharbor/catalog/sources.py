@@ -105,13 +105,13 @@ def _write_rejects(spark, d):
     return S.read_rejects(spark, folder).groupBy("table", "reject_stage").agg(F.count(F.lit(1)).alias("n"))
 
 
-EXPORTED = ("region", "nation", "customer", "supplier", "orders")
+EXPORTED = TABLES
 
 
 @query(
     "export_tables",
     " UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows FROM {t}" for t in EXPORTED)
-    + " UNION ALL SELECT 'a_name_longer_than_what_a_sheet_', COUNT(*) FROM part".replace("sheet_'", "sheet'"),
+    + " UNION ALL SELECT 'a_name_longer_than_what_a_sheet_can_have', COUNT(*) FROM part",
 )
 def _export(spark, d):
     tables = {t: table(spark, d, t) for t in EXPORTED}

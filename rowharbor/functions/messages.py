@@ -149,6 +149,7 @@ def action_for_reason(reason: Column) -> Column:
 def reason_kind(reason: Column) -> Column:
     """A reason without the value it quotes, so that the number of kinds does not grow with the data."""
     cut = F.regexp_replace(reason, r"(?s)^(Type coercion failed: could not convert string to float): .*$", "$1")
+    cut = F.regexp_replace(cut, r"(?s)^(Value not allowed in [^:]+): .*$", "$1")
     return F.regexp_replace(
         cut, r"(?s)^(Foreign key violation: [^=]+)=.* not found in (\S+)(?: \(reference table is empty\))?$", "$1 not found in $2"
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from rowharbor.functions.text import list_items, null_if_token, strip
@@ -14,10 +15,18 @@ ROW_SEQ = "_row_seq"
 
 
 def with_row_seq(df: DataFrame, order_column: str | None = None) -> DataFrame:
-    """Give rows their sequence: an ordering column, which it replaces, or the position in the read files."""
+    """Give rows their sequence: an ordering column, which it replaces, or the place in the read files.
+
+    The place is the path of the file, then the start of the split, then the row. Spark packs splits into tasks by
+    size, so the number of the task says nothing of the order of files. Rows that no file holds go by their partition.
+    """
     if order_column:
-        return df.withColumn(ROW_SEQ, F.col(order_column).cast("bigint")).drop(order_column)
-    return df.withColumn(ROW_SEQ, F.monotonically_increasing_id())
+        return df.withColumn(ROW_SEQ, F.col(order_column)).drop(order_column)
+    row = F.monotonically_increasing_id()
+    try:
+        return df.select("*", F.struct("_metadata.file_path", "_metadata.file_block_start", row.alias("row")).alias(ROW_SEQ))
+    except AnalysisException:
+        return df.withColumn(ROW_SEQ, row)
 
 
 def clean(df: DataFrame) -> DataFrame:
@@ -84,7 +93,7 @@ def evolve_schema(target: DataFrame, incoming: DataFrame) -> DataFrame:
     """Both row sets under the widened schema."""
     wide = evolve_target(target, incoming)
     types = {f.name: f.dataType for f in wide.schema}
-    typed = incoming.select([F.col(c).cast(types[c]).alias(c) for c in incoming.columns])
+    typed = incoming.select([F.col(c).try_cast(types[c]).alias(c) for c in incoming.columns])
     return wide.unionByName(typed, allowMissingColumns=True)
 
 

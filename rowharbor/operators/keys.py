@@ -15,6 +15,9 @@ from rowharbor.spec import SpecError
 #: ``monotonically_increasing_id`` keeps the position within a partition in this many bits.
 _POSITION_BITS = 33
 
+#: Present keys that count as whole numbers, also with a decimal point and zeros.
+WHOLE_KEY = r"^\s*\+?[0-9]{1,18}(\.0*)?\s*$"
+
 
 def dedupe_last(df: DataFrame, pk: Sequence[str], order_by: Sequence[str] = (ROW_SEQ,)) -> DataFrame:
     """Keep the last row per key in ``order_by``, which must be a total order within a key.
@@ -62,18 +65,20 @@ def number_rows(df: DataFrame, seq: str, start: int, out: str) -> DataFrame:
 def generate_keys(
     df: DataFrame, column: str, seq: str = ROW_SEQ, start: str = "after_max", tokens: Sequence[str] = KEY_TOKENS
 ) -> DataFrame:
-    """Fill missing keys with consecutive numbers in row order; the column becomes bigint.
+    """Fill missing keys with consecutive numbers in row order; present keys and the column's type stay.
 
     ``start="one"`` numbers from 1 even where that collides with present keys;
-    ``start="after_max"`` continues after the largest present key.
+    ``start="after_max"`` continues after the largest present key that is a whole number. In a text column
+    the new keys are written as text.
     """
     if start not in ("one", "after_max"):
         raise SpecError(f"unknown start {start!r}")
     missing = is_missing(F.col(column), tokens)
-    present = df.where(~missing).withColumn(column, F.col(column).try_cast("bigint"))
+    present, kind = df.where(~missing), df.schema[column].dataType
     first = 1
     if start == "after_max":
-        first = (present.agg(F.max(column).alias("m")).first()["m"] or 0) + 1
+        whole = F.when(F.col(column).cast("string").rlike(WHOLE_KEY), F.floor(F.col(column).cast("string").try_cast("decimal(38,2)")).try_cast("bigint"))
+        first = max(present.agg(F.max(whole).alias("m")).first()["m"] or 0, 0) + 1
     order = df.columns
-    filled = number_rows(df.where(missing).drop(column), seq, first, column)
+    filled = number_rows(df.where(missing).drop(column), seq, first, column).withColumn(column, F.col(column).cast(kind))
     return present.select(order).unionByName(filled.select(order))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from rowharbor.functions.numbers import parse_number
 from rowharbor.functions.text import VALUE_TOKENS, is_missing, strip
@@ -15,7 +15,7 @@ CLOSE_MATCHES = 5
 
 
 def description_map(dim: DataFrame, description: str, id_column: str, order_column: str) -> DataFrame:
-    """One id per trimmed description; the last row in ``order_column`` wins."""
+    """One id per description as it stands; the last row in ``order_column`` wins."""
     usable = dim.where(F.col(description).isNotNull() & F.col(id_column).isNotNull())
     return usable.groupBy(F.col(description).alias("_desc")).agg(F.max_by(id_column, order_column).alias("_mapped"))
 
@@ -35,7 +35,10 @@ def lookup_id(
     Adds ``lookup_status``: ``id``, ``mapped``, ``unmapped`` or ``missing``.
     """
     text = strip(F.col(column).cast("string"))
-    as_id = F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("bigint"))
+    if isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType, T.DecimalType)):
+        as_id = F.when(F.col(column) == F.floor(column), F.col(column).try_cast("bigint"))
+    else:
+        as_id = F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("bigint"))
     to_map = F.when(~is_missing(text, VALUE_TOKENS) & as_id.isNull(), text)
     joined = _left_lookup(df, to_map, description_map(dim, description, id_column, order_column), "_desc")
     status = (

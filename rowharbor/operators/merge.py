@@ -73,7 +73,7 @@ def upsert(
     """
     wide = evolve_target(target, incoming)
     types = {f.name: f.dataType for f in wide.schema}
-    batch = incoming.select([F.col(f"`{c}`").cast(types[c]).alias(c) for c in incoming.columns])
+    batch = incoming.select([F.col(f"`{c}`").try_cast(types[c]).alias(c) for c in incoming.columns])
     overwritten = [c for c in batch.columns if c not in pk]
     inserted = batch.join(
         _prefixed(wide.select(*pk).join(batch.select(*pk), list(pk), "left_semi"), "_k_"),
@@ -81,7 +81,7 @@ def upsert(
         "left_anti",
     )
     inserted = fill_defaults(inserted, defaults or {})
-    inserted = inserted.select([F.col(f"`{c}`").cast(types[c]).alias(c) for c in inserted.columns if c in types])
+    inserted = inserted.select([F.col(f"`{c}`").try_cast(types[c]).alias(c) for c in inserted.columns if c in types])
     if not overwritten:
         return wide.unionByName(inserted, allowMissingColumns=True)
     new = _prefixed(batch, "_i_").withColumn("_hit", F.lit(True))
@@ -109,15 +109,21 @@ def merge_into_catalog(incoming: DataFrame, table: str, pk: Sequence[str]) -> No
     writer.whenNotMatched().insert(values).merge()
 
 
-def replace(target: DataFrame, incoming: DataFrame) -> DataFrame:
+def replace(target: DataFrame, incoming: DataFrame, defaults: Mapping[str, object] | None = None) -> DataFrame:
     """Only the incoming rows, or the target untouched when no incoming row is left.
 
-    Columns the batch lacks become NULL.
+    Columns the batch lacks get their default, else NULL.
     """
     if incoming.isEmpty():
         return target
-    rows = project_to_target(incoming, target.columns)
-    return target if rows is None else target.limit(0).unionByName(rows, allowMissingColumns=True)
+    rows = project_to_target(fill_defaults(incoming, defaults or {}), target.columns)
+    return target if rows is None else _typed_like(target, rows)
+
+
+def _typed_like(target: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows in the columns and types of the target."""
+    typed = [(F.col(f"`{f.name}`") if f.name in rows.columns else F.lit(None)).try_cast(f.dataType).alias(f.name) for f in target.schema]
+    return rows.select(typed)
 
 
 def verify_load(before: DataFrame, after: DataFrame, processed: DataFrame) -> DataFrame:

@@ -21,12 +21,12 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rowharbor.functions.numbers import parse_number
 from rowharbor.functions.text import REFERENCE_TOKENS, is_missing, strip
+from rowharbor.session import cut_lineage
 from rowharbor.spec import ForeignKey, SpecError
 
 REASON = "rejection_reason"
 _CHILD_SPREAD = "_spread"
 _KEY_SPREAD = "_key_spread"
-_SPREAD_WIDTH = 512
 
 #: Wording of a foreign-key rejection.
 FK_REASON = "Foreign key violation: "
@@ -46,7 +46,7 @@ def missing_key_spread(
     """
     hashable = [f.name for f in rows.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     any_missing = reduce(or_, [F.col(f"`{c}`").isNull() for c in row_cols])
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashable]), F.lit(_SPREAD_WIDTH))
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in hashable])
 
     def zero(columns: Sequence[str]) -> Column:
         # Always zero, but not a constant to the optimizer: it has to stay a join key.
@@ -99,15 +99,12 @@ def _resolved_text_keys(child: DataFrame, fk: str, parent: DataFrame, ref: str,
 
 
 def with_hit(
-    child: DataFrame, fk: str, parent: DataFrame, ref: str, hit: str, parent_unique: bool = False
+    child: DataFrame, fk: str, parent: DataFrame, ref: str, hit: str
 ) -> DataFrame:
     """Child rows plus a flag ``hit``: the value exists in the parent or is missing."""
     key = f"_ref_{hit}"
     if _same_family(child, fk, parent, ref):
         refs = parent.where(F.col(ref).isNotNull()).select(F.col(ref).alias(key))
-        if parent_unique:
-            joined = child.join(refs.withColumn(hit, F.lit(True)), child[fk] == F.col(key), "left")
-            return joined.withColumn(hit, F.col(fk).isNull() | F.col(hit).isNotNull()).drop(key)
         keys, rows, join_col = refs.distinct(), child, fk
     else:
         keys = _resolved_text_keys(child, fk, parent, ref, key)
@@ -147,7 +144,7 @@ def _with_hits(
     tested = [fk for fk in fks if fk.column in child.columns and fk.parent in parents]
     flagged = child
     for i, fk in enumerate(tested):
-        flagged = with_hit(flagged, fk.column, parents[fk.parent], fk.parent_column, f"_hit{i}", fk.parent_unique)
+        flagged = with_hit(flagged, fk.column, parents[fk.parent], fk.parent_column, f"_hit{i}")
     return flagged, tested
 
 
@@ -189,11 +186,8 @@ def fk_split_many(
         return child, child.limit(0).withColumn(REASON, F.lit(None).cast("string"))
     if policy != "filter":
         raise SpecError(f"unknown foreign key policy {policy!r}")
-    hits, tested = _with_hits(child, fks, parents)
-    flags = [f"_hit{i}" for i in range(len(tested))]
-    valid = hits.where(reduce(and_, [F.col(h) for h in flags], F.lit(True))).drop(*flags)
     flagged = fk_flags(child, fks, parents, mark_empty=mark_empty)
-    return valid, flagged.where(F.col(REASON).isNotNull())
+    return flagged.where(F.col(REASON).isNull()).drop(REASON), flagged.where(F.col(REASON).isNotNull())
 
 
 def fk_split(
@@ -206,7 +200,7 @@ def fk_split(
 def orphan_values(child: DataFrame, fk: ForeignKey, parent: DataFrame) -> DataFrame:
     """Distinct child values without a parent; cheap because only distinct values join."""
     values = child.select(fk.column).distinct()
-    return with_hit(values, fk.column, parent, fk.parent_column, "_hit", fk.parent_unique).where("NOT _hit").drop("_hit")
+    return with_hit(values, fk.column, parent, fk.parent_column, "_hit").where("NOT _hit").drop("_hit")
 
 
 def fk_all_or_nothing(child: DataFrame, fks: Sequence[ForeignKey], parents: Mapping[str, DataFrame]) -> DataFrame:
@@ -233,8 +227,12 @@ def fk_cascade(
     valid: dict[str, DataFrame] = {}
     result: dict[str, tuple[DataFrame, DataFrame]] = {}
     for name, rows in tables:
-        split = fk_split_many(rows, fks.get(name, ()), valid, mark_empty=False)
-        valid[name], result[name] = split[0], split
+        flagged = fk_flags(rows, fks.get(name, ()), valid, mark_empty=False)
+        if any(fk.parent in valid for fk in fks.get(name, ())):
+            # Written once: both halves and all levels below read it, none repeats the levels above.
+            flagged = cut_lineage(flagged, f"{name}-checked")
+        valid[name] = flagged.where(F.col(REASON).isNull()).drop(REASON)
+        result[name] = valid[name], flagged.where(F.col(REASON).isNotNull())
     return result
 
 

@@ -18,6 +18,7 @@ UNIQUE_REASON = "Duplicate value for unique key (%s)"
 LENGTH_REASON = "Value too long for %s(%d)"
 ENUM_REASON = "Value not allowed in %s: "
 DECIMAL_REASON = "Numeric overflow in %s(%d,%d)"
+RANGE_REASON = "Value out of range in %s(%s)"
 
 
 def pk_reason(pk: Sequence[str]) -> Column:

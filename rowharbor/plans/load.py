@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from rowharbor.functions.json_text import repair_json
 from rowharbor.functions.messages import reason_kind
@@ -23,11 +22,14 @@ from rowharbor.operators.clean import (
 from rowharbor.operators.coerce import REASON, STAGE, TYPED, check_types
 from rowharbor.operators.keys import dedupe_last, generate_keys
 from rowharbor.operators.merge import CHANGE, classify_changes, replace, upsert
-from rowharbor.operators.references import fk_all_or_nothing, fk_flags
-from rowharbor.operators.validate import constraint_reason, pk_reason
-from rowharbor.session import cut_lineage, spread_small
+from rowharbor.operators.references import fk_all_or_nothing, fk_flags, missing_key_spread
+from rowharbor.operators.validate import RANGE_REASON, UNIQUE_REASON, constraint_reason, pk_reason
+from rowharbor.session import cut_lineage
 from rowharbor.spec import ForeignKey, SpecError, TableSpec
 
+#: Helper column: the first constraint a row breaks.
+RULE = "_rule_reason"
+
 
 @dataclass
 class LoadResult:
@@ -40,6 +42,7 @@ class LoadResult:
     counts: DataFrame
     notes: DataFrame
     changes: DataFrame
+    replaced: bool = False
 
     def metrics(self) -> DataFrame:
         """Load metrics of this table."""
@@ -49,9 +52,10 @@ class LoadResult:
 def prepare(batch: DataFrame, spec: TableSpec, seq: str | None = None) -> DataFrame:
     """Clean cells, rename columns and run the table's own repairs, before anything is judged.
 
-    ``seq`` names an ordering column of the batch; without one the read position counts.
+    ``seq`` names an ordering column of the batch; without one the place in the read files counts.
+    The columns of a reject report are dropped, so that corrected rejects can be sent in as they are.
     """
-    df = rename(clean(spread_small(with_row_seq(batch, seq))), spec.renames)
+    df = rename(clean(with_row_seq(batch, seq)), spec.renames).drop(REASON, STAGE)
     for transform in spec.transforms:
         df = df.transform(transform)
     df = lists_to_json(df, spec.list_columns)
@@ -65,7 +69,8 @@ def prepare(batch: DataFrame, spec: TableSpec, seq: str | None = None) -> DataFr
 def judge(df: DataFrame, spec: TableSpec) -> DataFrame:
     """The typed row of every accepted row; the raw cells, reason and stage of every other.
 
-    A missing key is reported before a type, a type before a constraint. All of it is a
+    A missing key is reported before a type. A broken constraint is noted in ``RULE`` but does not reject yet:
+    of the rows of a key only the last is held against the constraints. All of it is a
     chain of projections over the batch, without a shuffle.
     """
     absent = [c for c in spec.pk if c not in df.columns]
@@ -75,25 +80,78 @@ def judge(df: DataFrame, spec: TableSpec) -> DataFrame:
     data = [c for c in df.columns if c != ROW_SEQ]
     checked = check_types(keyed, spec.types, spec.keep_time, spec.real_bools).withColumnRenamed(REASON, "_type_reason")
     rules = constraint_reason(spec, data, lambda c: F.col(f"{TYPED}.{c}"))
-    judged = checked.withColumn("_rule_reason", rules)
-    stage = (
-        F.when(F.col("_pk_reason").isNotNull(), "pk")
-        .when(F.col("_type_reason").isNotNull(), "type")
-        .when(F.col("_rule_reason").isNotNull(), "constraint")
-    )
-    reasoned = judged.withColumns(
-        {REASON: F.coalesce("_pk_reason", "_type_reason", "_rule_reason"), STAGE: stage}
-    )
+    judged = checked.withColumn(RULE, rules)
+    stage = F.when(F.col("_pk_reason").isNotNull(), "pk").when(F.col("_type_reason").isNotNull(), "type")
+    reasoned = judged.withColumns({REASON: F.coalesce("_pk_reason", "_type_reason"), STAGE: stage})
     passed = F.col(STAGE).isNull()
     return reasoned.select(
         F.when(passed, F.struct(*[F.col(f"{TYPED}.{c}").alias(c) for c in data])).alias(TYPED),
         F.when(~passed, F.struct(*[F.col(f"`{c}`") for c in data])).alias("_raw"),
         ROW_SEQ,
+        RULE,
         REASON,
         STAGE,
     )
 
 
+def _out_of_range(rows: DataFrame, target: DataFrame) -> Column:
+    """Reason of the first value that the stored column cannot hold, or NULL."""
+    stored = {f.name: f.dataType for f in target.schema}
+    tests = [
+        F.when(F.col(c).isNotNull() & F.col(c).try_cast(stored[c]).isNull(), F.lit(RANGE_REASON % (c, stored[c].simpleString())))
+        for c in rows.columns
+        if c in stored and stored[c] != rows.schema[c].dataType
+    ]
+    return F.coalesce(*tests) if tests else F.lit(None).cast("string")
+
+
+def _check_uniques(rows: DataFrame, spec: TableSpec, target: DataFrame) -> DataFrame:
+    """Note rows whose unique key another row of the batch has, or a stored row that the batch does not replace.
+
+    NULL never collides. The keys in use are counted before the shuffle; rows meet them in one join per unique key.
+    """
+    for columns in spec.uniques:
+        if any(c not in rows.columns for c in columns):
+            continue
+        names = [f"_used_{c}" for c in columns]
+        good = rows.where(F.col(RULE).isNull()).dropna(subset=list(columns))
+        repeated = good.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*columns)
+        used = repeated
+        if all(c in target.columns for c in (*columns, *spec.pk)):
+            kept = target.join(rows.select(*spec.pk), list(spec.pk), "left_anti").dropna(subset=list(columns))
+            used = repeated.unionByName(kept.select(*columns)).distinct()
+        left, right, condition, helpers = missing_key_spread(rows, used.toDF(*names).withColumn("_taken", F.lit(True)), list(columns), names)
+        text = F.lit(UNIQUE_REASON % ", ".join(columns))
+        rows = left.join(right, condition, "left").withColumn(RULE, F.coalesce(RULE, F.when(F.col("_taken"), text)))
+        rows = rows.drop(*helpers, *names, "_taken")
+    return rows
+
+
+def _own_references(rows: DataFrame, spec: TableSpec, parents: Mapping[str, DataFrame]) -> Mapping[str, DataFrame]:
+    """The parents, where a table that refers to itself also has the keys of the batch."""
+    own = [fk for fk in spec.foreign_keys if fk.parent == spec.name and fk.parent_column in rows.columns]
+    if not own or spec.name not in parents:
+        return parents
+    columns = sorted({fk.parent_column for fk in own})
+    return {**parents, spec.name: parents[spec.name].select(columns).unionByName(rows.select(columns))}
+
+
+def _checked_references(rows: DataFrame, spec: TableSpec, parents: Mapping[str, DataFrame]) -> DataFrame:
+    """Foreign-key reasons; a row rejected for its own table takes the rows that refer to it along."""
+    checked = _accept_references(rows, spec, _own_references(rows, spec, parents))
+    if not any(fk.parent == spec.name for fk in spec.foreign_keys) or spec.fk_policy != "filter":
+        return checked
+    lost = -1
+    while True:
+        checked = cut_lineage(checked, f"{spec.name}-own-references")
+        now = checked.where(F.col(REASON).isNotNull()).count()
+        if now in (0, lost):
+            return checked
+        lost = now
+        left = checked.where(F.col(REASON).isNull()).drop(REASON)
+        checked = _accept_references(rows, spec, _own_references(left, spec, parents))
+
+
 def _accept_references(rows: DataFrame, spec: TableSpec, parents: Mapping[str, DataFrame]) -> DataFrame:
     """Add the foreign-key reason. Policy ``skip`` rejects the whole batch on the first orphan."""
     if spec.fk_policy == "filter":
@@ -123,24 +181,31 @@ def load_table(
         raise SpecError(f"unknown mode {mode!r}")
     spark = batch.sparkSession
     judged = cut_lineage(judge(prepare(batch, spec, seq), spec), f"{spec.name}-judged")
-    rejected = judged.where(F.col(REASON).isNotNull()).select("_raw.*", REASON, STAGE)
+    raw = judged.where(F.col(REASON).isNotNull()).select("_raw.*", REASON, STAGE)
 
-    passed = judged.where(F.col(REASON).isNull()).select(f"{TYPED}.*", ROW_SEQ)
+    passed = judged.where(F.col(REASON).isNull()).select(f"{TYPED}.*", ROW_SEQ, RULE)
     if callable(target):
         target = target(passed.select(*spec.pk))
     kept = dedupe_last(passed, spec.pk)
-    data = [c for c in kept.columns if c != ROW_SEQ]
+    data = [c for c in kept.columns if c not in (ROW_SEQ, RULE)]
     if not spec.evolve:
         data = [c for c in data if c in target.columns]
         if not data:
             raise SpecError(f"{spec.name}: no column of the batch exists in the target")
-    known = kept.select(data)
-    rows = known.withColumns({c: repair_json(F.col(c)) for c, w in spec.types.items() if w == "dict" and c in data})
+    rows = kept.select(*data, ROW_SEQ, RULE)
+    rows = rows.withColumns({c: repair_json(F.col(c)) for c, w in spec.types.items() if w == "dict" and c in data})
     rows = rows.withColumns({c: F.col(c).try_cast(t) for c, t in _decimals(spec).items() if c in data})
-
-    referenced = _accept_references(rows, spec, parents or {})
-    survivors = cut_lineage(referenced, f"{spec.name}-survivors")
-    clean_rows = survivors.where(F.col(REASON).isNull()).drop(REASON)
+    rows = rows.withColumn(RULE, F.coalesce(RULE, _out_of_range(rows.select(*data), target)))
+    if spec.uniques:
+        stored = target.limit(0) if mode == "initial" else target
+        rows = _check_uniques(cut_lineage(rows, f"{spec.name}-kept"), spec, stored)
+    rows = cut_lineage(rows, f"{spec.name}-ruled")
+    broken = rows.where(F.col(RULE).isNotNull()).withColumns({REASON: F.col(RULE), STAGE: F.lit("constraint")}).drop(RULE)
+
+    referenced = _checked_references(rows.where(F.col(RULE).isNull()).drop(RULE), spec, parents or {})
+    marked = referenced.withColumn(STAGE, F.when(F.col(REASON).isNotNull(), F.lit("fk")))
+    survivors = cut_lineage(marked.unionByName(broken), f"{spec.name}-survivors")
+    clean_rows = survivors.where(F.col(REASON).isNull()).select(*data)
     if dry_run:
         changes = clean_rows.withColumn(CHANGE, F.lit("valid"))
     elif mode == "initial":
@@ -148,16 +213,23 @@ def load_table(
     else:
         changes = classify_changes(target, clean_rows, spec.pk)
 
+    replaced = False
     if dry_run:
         snapshot = target
     elif mode == "initial":
-        snapshot = replace(evolve_target(target, clean_rows), clean_rows)
+        replaced = not clean_rows.isEmpty()
+        snapshot = replace(evolve_target(target, clean_rows), clean_rows, spec.defaults)
     else:
         snapshot = upsert(target, clean_rows, spec.pk, spec.defaults)
 
-    fk_rejected = survivors.where(F.col(REASON).isNotNull()).withColumn(STAGE, F.lit("fk"))
-    counts = _status_counts(spark, spec, judged, fk_rejected, changes)
-    return LoadResult(spec.name, snapshot, rejected, fk_rejected, counts, _notes(spark, spec, judged, counts), changes)
+    ruled = survivors.where(F.col(STAGE) == "constraint").drop(ROW_SEQ)
+    kinds = {f.name: f.dataType for f in raw.schema}
+    ruled = ruled.select([F.col(f"`{c}`").cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`") for c in ruled.columns])
+    rejected = raw.unionByName(ruled, allowMissingColumns=True)
+    fk_rejected = survivors.where(F.col(STAGE) == "fk").drop(ROW_SEQ)
+    counts = _status_counts(spark, spec, judged, survivors, changes)
+    notes = _notes(spark, spec, judged, survivors, counts, parents or {})
+    return LoadResult(spec.name, snapshot, rejected, fk_rejected, counts, notes, changes, replaced)
 
 
 def _decimals(spec: TableSpec) -> dict:
@@ -165,7 +237,7 @@ def _decimals(spec: TableSpec) -> dict:
 
 
 def _status_counts(
-    spark: SparkSession, spec: TableSpec, judged: DataFrame, fk_rejected: DataFrame, changes: DataFrame
+    spark: SparkSession, spec: TableSpec, judged: DataFrame, survivors: DataFrame, changes: DataFrame
 ) -> DataFrame:
     """(table, status, n) where every read row is counted once; a handful of rows."""
 
@@ -174,25 +246,30 @@ def _status_counts(
 
     counts = tally(judged, F.coalesce(F.concat(F.lit("rejected_"), F.col(STAGE)), F.lit("passed")))
     passed = counts.pop("passed", 0)
-    outcomes = fk_rejected.select(F.lit("rejected_fk").alias(CHANGE)).unionAll(changes.select(CHANGE))
-    ended = tally(outcomes, F.col(CHANGE))
+    broken = survivors.where(F.col(STAGE).isNotNull()).select(F.concat(F.lit("rejected_"), F.col(STAGE)).alias(CHANGE))
+    ended = tally(broken.unionAll(changes.select(CHANGE)), F.col(CHANGE))
     counts |= {**ended, "deduplicated": passed - sum(ended.values())}
     rows = [(spec.name, s, n) for s, n in counts.items() if n] or [(spec.name, "read", 0)]
     return spark.createDataFrame(rows, "table string, status string, n bigint")
 
 
-def _notes(spark: SparkSession, spec: TableSpec, judged: DataFrame, counts: DataFrame) -> DataFrame:
-    """(table, reason, n): reasons by kind with their row counts, then the notes of the run."""
-    kinds = (
-        judged.where(F.col(REASON).isNotNull())
-        .groupBy(F.lit(spec.name).alias("table"), reason_kind(F.col(REASON)).alias("reason"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min(ROW_SEQ).alias("seq"))
-    )
+def _notes(
+    spark: SparkSession, spec: TableSpec, judged: DataFrame, survivors: DataFrame, counts: DataFrame, parents: Mapping[str, DataFrame]
+) -> DataFrame:
+    """(table, reason, n, seq): reasons by kind with their row counts in order of their first row, then the notes of the run."""
+    reasons = judged.where(F.col(REASON).isNotNull()).select(REASON, ROW_SEQ)
+    reasons = reasons.unionAll(survivors.where(F.col(STAGE) == "constraint").select(REASON, ROW_SEQ))
+    kinds = reasons.groupBy(reason_kind(F.col(REASON)).alias("reason")).agg(F.count(F.lit(1)).alias("n"), F.min(ROW_SEQ).alias("first"))
+    # A handful of rows: reasons are cut to their kinds.
+    order = F.row_number().over(Window.partitionBy("table").orderBy("first", "reason")).cast("bigint")
+    kinds = kinds.select(F.lit(spec.name).alias("table"), "reason", "n", "first").select("table", "reason", "n", order.alias("seq"))
     by_status = {r["status"]: r["n"] for r in counts.collect()}
     dropped, orphans = by_status.get("deduplicated", 0), by_status.get("rejected_fk", 0)
     extra = M.standard_notes(dropped, orphans, spec.pk)
-    if set(by_status) == {"unchanged"}:
+    if "unchanged" in by_status and set(by_status) <= {"unchanged", "deduplicated"}:
         extra.append(M.NOTE_IDEMPOTENT)
+    unknown = sorted({fk.parent for fk in spec.foreign_keys if fk.parent not in parents})
+    extra += [f"References to {name} were not checked: no such table" for name in unknown]
     if not extra:
         return kinds
     last = (1 << 62)
@@ -206,9 +283,39 @@ class RunResult:
 
     results: dict[str, LoadResult] = field(default_factory=dict)
     errors: dict[str, str] = field(default_factory=dict)
+    emptied: dict[str, DataFrame] = field(default_factory=dict)
 
     def snapshots(self) -> dict[str, DataFrame]:
-        return {name: r.snapshot for name, r in self.results.items()}
+        """The tables that the run has changed: those loaded, and those emptied because a parent was replaced."""
+        return self.emptied | {name: r.snapshot for name, r in self.results.items()}
+
+    def rejects(self) -> DataFrame:
+        """All rejected rows of the run, with table and stage."""
+        parts = [
+            part.select([F.col(f"`{c}`").cast("string").alias(c) for c in part.columns]).withColumn("table", F.lit(name))
+            for name, r in self.results.items()
+            for part in (r.rejected, r.fk_rejected)
+        ]
+        if not parts:
+            raise SpecError("no table was loaded")
+        stacked = parts[0]
+        for part in parts[1:]:
+            stacked = stacked.unionByName(part, allowMissingColumns=True)
+        return stacked
+
+    def records(self, spark: SparkSession) -> DataFrame:
+        """Run records: counts and notes of every table that ran, and the errors of those that failed."""
+        columns = ["sheet", "table", "read_rows", "valid_rows", "rejected_rows", "inserted", "updated", "notes"]
+        failed = error_records(self, spark)
+        if not self.results:
+            return failed
+        texts = None
+        for name, r in self.results.items():
+            one = M.notes(r.notes, "table", "seq", "reason")
+            texts = one if texts is None else texts.unionByName(one)
+        ran = self.metrics().join(texts, "table", "left").withColumn("sheet", F.col("table"))
+        ran = ran.withColumn("notes", F.coalesce("notes", F.lit("")))
+        return ran.select(columns).unionByName(failed, allowMissingColumns=True)
 
     def metrics(self) -> DataFrame:
         """Load metrics of all tables that ran."""
@@ -250,11 +357,26 @@ def load_all(
             if not dry_run:
                 result.snapshot = cut_lineage(result.snapshot, f"{spec.name}-snapshot")
             run.results[spec.name], stored[spec.name] = result, result.snapshot
-        except (SpecError, KeyError, PySparkException) as e:
+            if result.replaced:
+                for name in _descendants(spec.name, specs) - set(run.results):
+                    run.emptied[name] = stored[name] = stored[name].limit(0)
+        except Exception as e:  # whatever stops one table, the others go on
             run.errors[spec.name] = str(e)
     return run
 
 
+def _descendants(name: str, specs: Sequence[TableSpec]) -> set[str]:
+    """Tables that refer to a table, directly or through others; a replaced table takes their rows along."""
+    found: set[str] = set()
+    waiting = [name]
+    while waiting:
+        parent = waiting.pop()
+        children = {s.name for s in specs if any(fk.parent == parent for fk in s.foreign_keys)} - found - {name}
+        found |= children
+        waiting += children
+    return found
+
+
 def error_records(run: RunResult, spark: SparkSession) -> DataFrame:
     """Run records of the tables that failed."""
     rows = [(name, name, text) for name, text in run.errors.items()]

@@ -11,10 +11,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-#: Usual size of one read split.
-SPLIT_BYTES = 128 << 20
-
-
 def local_session(cores: str = "8", memory: str = "8g", app: str = "rowharbor") -> SparkSession:
     """A local session with the settings the library is tested under."""
     spark = (
@@ -64,16 +60,3 @@ def cut_lineage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Rows of a small input over all cores.
-
-    A table of a few files, or of files that cannot be split, is read by a few tasks.
-    Where the whole input would make fewer splits than there are cores, one cheap
-    shuffle lets every core take part in the parsing. Larger inputs stay as they are.
-    """
-    spark = df.sparkSession
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if size < SPLIT_BYTES * cores else df

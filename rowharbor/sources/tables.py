@@ -5,15 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from rowharbor.spec import SpecError
 
-#: Longest exported name.
-NAME_LIMIT = 31
-
-
 @dataclass
 class LoadedTables:
     """Tables that could be read, and the error of each that could not."""
@@ -39,7 +34,7 @@ def read_tables(
             else:
                 df = spark.read.format(fmt).load(path)
             out.tables[name] = df.select([F.col(f"`{c}`").cast("string") for c in df.columns]) if all_text else df
-        except (AnalysisException, PySparkException) as e:
+        except Exception as e:  # an unreadable file may raise anything
             out.errors[name] = str(e).splitlines()[0]
     return out
 
@@ -81,16 +76,15 @@ def strip_timezone(df: DataFrame) -> DataFrame:
     return df.withColumns(zoned) if zoned else df
 
 
-def export_name(name: str) -> str:
-    return name[:NAME_LIMIT]
-
-
-def export_tables(tables: Mapping[str, DataFrame], folder: str, fmt: str = "parquet") -> list[str]:
-    """Write every non-empty table under its shortened name; returns the names written.
+def export_tables(
+    tables: Mapping[str, DataFrame], folder: str, fmt: str = "parquet", name_limit: int | None = None
+) -> list[str]:
+    """Write every non-empty table under its name; returns the names written.
 
-    Two names that shorten to the same one are an error: writing both would lose a table.
+    ``name_limit`` shortens names for consumers that cannot hold long ones. Two names that
+    shorten to the same one are an error: writing both would lose a table.
     """
-    short = [export_name(n) for n in tables]
+    short = [n[:name_limit] for n in tables]
     clash = sorted({s for s in short if short.count(s) > 1})
     if clash:
         raise SpecError(f"names equal after shortening: {clash}")
@@ -98,15 +92,15 @@ def export_tables(tables: Mapping[str, DataFrame], folder: str, fmt: str = "parq
     for name, df in sorted(tables.items()):
         if df.isEmpty():
             continue
-        strip_timezone(df).write.mode("error").format(fmt).save(f"{folder.rstrip('/')}/{export_name(name)}")
-        written.append(export_name(name))
+        strip_timezone(df).write.mode("error").format(fmt).save(f"{folder.rstrip('/')}/{name[:name_limit]}")
+        written.append(name[:name_limit])
     return written
 
 
-def write_rejects(rejects: DataFrame, folder: str, table: str, fmt: str = "parquet") -> None:
-    """Append rejects under ``table=…/reject_stage=…``, written from the tasks that hold them."""
+def write_rejects(rejects: DataFrame, folder: str, table: str, fmt: str = "parquet", mode: str = "append") -> None:
+    """Add rejects under ``table=…/reject_stage=…``, written from the tasks that hold them."""
     marked = rejects.withColumn("table", F.lit(table))
-    marked.write.mode("append").partitionBy("table", "reject_stage").format(fmt).save(folder)
+    marked.write.mode(mode).partitionBy("table", "reject_stage").format(fmt).save(folder)
 
 
 def read_rejects(spark: SparkSession, folder: str, fmt: str = "parquet") -> DataFrame:

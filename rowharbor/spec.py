@@ -30,16 +30,11 @@ class SpecError(ValueError):
 
 @dataclass(frozen=True)
 class ForeignKey:
-    """``column`` must hold a value of ``parent.parent_column`` or be missing.
-
-    ``parent_unique`` states that the parent column is a key of the parent, which
-    saves the distinct before the join.
-    """
+    """``column`` must hold a value of ``parent.parent_column`` or be missing."""
 
     column: str
     parent: str
     parent_column: str
-    parent_unique: bool = False
 
 
 @dataclass(frozen=True)

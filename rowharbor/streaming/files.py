@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from rowharbor.operators.merge import CHANGE, upsert
 from rowharbor.plans.load import load_table
 from rowharbor.session import cut_lineage
-from rowharbor.sources.keyed import KeyedTable
+from rowharbor.sources.changes import current_rows, write_changes
 from rowharbor.sources.tables import write_rejects
 from rowharbor.spec import TableSpec
 
@@ -19,9 +19,12 @@ REPORTS = "/reports/"
 
 
 def stream_files(
-    spark: SparkSession, folder: str, schema: T.StructType | str, fmt: str = "parquet", files_per_batch: int | None = None
+    spark: SparkSession, folder: str, schema: T.StructType | str, fmt: str = "parquet", files_per_batch: int | None = 1
 ) -> DataFrame:
-    """Rows of every new file under ``folder``, sub-folders included, except those under ``reports/``."""
+    """Rows of every new file under ``folder``, sub-folders included, except those under ``reports/``.
+
+    Files come one per batch, oldest first, so that of two files with a key the later one wins; None takes all that wait.
+    """
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
@@ -31,40 +34,38 @@ def stream_files(
 
 def upsert_batch(
     rows: DataFrame,
-    batch_id: str,
-    table: KeyedTable,
+    batch: str,
+    path: str,
     spec: TableSpec,
     parents: Mapping[str, DataFrame] | None = None,
     seq: str | None = None,
     rejects_folder: str | None = None,
-) -> dict[str, int] | None:
-    """Load one batch into a keyed table; None when the table already holds this batch.
+) -> dict[str, int]:
+    """Load one batch into the change table at ``path``; returns its counts by status.
 
-    Only the buckets the batch's keys fall in are read and rewritten.
+    Stored rows are read for the keys of the batch only, and whole rows are written for the keys that change. A batch
+    that is loaded again leaves the same table and the same rejects.
     """
-    if table.has_batch(batch_id):
-        return None
-    empty = rows.sparkSession.createDataFrame([], spec.storage_schema())
-    stored = table.exists()
+    spark = rows.sparkSession
+    empty = spark.createDataFrame([], spec.storage_schema())
 
     def held(keys: DataFrame) -> DataFrame:
-        return table.read(table.touched(keys)) if stored else empty
+        found = current_rows(spark, path, spec.pk, keys, without=batch)
+        return empty if found is None else found
 
     outcome = load_table(rows, spec, held, parents, seq=seq)
     if rejects_folder:
-        for part in (outcome.rejected, outcome.fk_rejected):
-            write_rejects(part, f"{rejects_folder}/batch={batch_id}", spec.name)
+        for kind, part in (("row", outcome.rejected), ("fk", outcome.fk_rejected)):
+            write_rejects(part, f"{rejects_folder}/batch={batch}/kind={kind}", spec.name, mode="overwrite")
     changed = cut_lineage(outcome.changes.where(F.col(CHANGE) != "unchanged").drop(CHANGE), f"{spec.name}-changed")
-    touched = table.touched(changed)
-    if touched:
-        before = table.read(touched) if stored else empty
-        table.write(upsert(before, changed, spec.pk, spec.defaults), batch_id, touched)
+    if not changed.isEmpty():
+        write_changes(cut_lineage(upsert(held(changed), changed, spec.pk, spec.defaults), f"{spec.name}-whole"), path, batch)
     return {r["status"]: r["n"] for r in outcome.counts.collect()}
 
 
 def stream_load(
     stream: DataFrame,
-    table: KeyedTable,
+    path: str,
     spec: TableSpec,
     checkpoint: str,
     parents: Callable[[], Mapping[str, DataFrame]] | None = None,
@@ -72,16 +73,17 @@ def stream_load(
     rejects_folder: str | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Start a query that upserts each batch of files; replayed batches change nothing.
+    """Start a query that upserts each batch of files into the change table at ``path``.
 
-    ``parents`` is called per batch so that reference tables are read fresh.
+    Batches are named by the query's own id, which its checkpoint keeps, and their number: two queries, or one that has
+    lost its checkpoint, never take each other's batches for their own. ``parents`` is called per batch so that
+    reference tables are read fresh.
     """
 
     def load(rows: DataFrame, batch_id: int) -> None:
+        query = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         stable = cut_lineage(rows, f"{spec.name}-batch")
-        upsert_batch(
-            stable, f"{spec.name}-{batch_id}", table, spec, parents() if parents else None, seq, rejects_folder
-        )
+        upsert_batch(stable, f"{query}-{batch_id}", path, spec, parents() if parents else None, seq, rejects_folder)
 
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -14,7 +14,7 @@ from rowharbor.operators.clean import evolve_schema
 from rowharbor.operators.validate import fill_defaults
 from rowharbor.plans.load import error_records, load_all, load_table
 from rowharbor.session import scratch_path
-from rowharbor.sources.keyed import KeyedTable
+from rowharbor.sources.changes import current_rows, rewrite, write_changes
 from rowharbor.sources.tables import read_rejects
 from rowharbor.spec import ForeignKey, SpecError, TableSpec
 from rowharbor.streaming.files import stream_files, stream_load, upsert_batch
@@ -41,9 +41,9 @@ def test_dedupe_last_drops_before_the_shuffle(spark):
 def test_generated_keys_restart_or_continue(spark):
     df = spark.createDataFrame([(0, None), (1, "1"), (2, "nan")], "_row_seq long, id string")
     faithful = K.generate_keys(df, "id", start="one")
-    assert rows(faithful) == [(0, 1), (1, 1), (2, 2)]
-    assert rows(K.generate_keys(df, "id")) == [(0, 2), (1, 1), (2, 3)]
-    assert rows(K.generate_keys(df.where("id = '1'"), "id")) == [(1, 1)]
+    assert rows(faithful) == [(0, "1"), (1, "1"), (2, "2")]
+    assert rows(K.generate_keys(df, "id")) == [(0, "2"), (1, "1"), (2, "3")]
+    assert rows(K.generate_keys(df.where("id = '1'"), "id")) == [(1, "1")]
     with pytest.raises(SpecError):
         K.generate_keys(df, "id", start="two")
 
@@ -246,65 +246,60 @@ def test_run_of_one_category(spark):
 FLOW = TableSpec("flow", ["k"], {"k": "int", "v": "str"})
 
 
-def keyed(spark, label, data, buckets=4):
-    table = KeyedTable(spark, scratch_path(spark, label), ["k"], buckets)
-    table.write(spark.createDataFrame(data, "k long, v string"), "start")
-    return table
-
-
-def test_keyed_table_rewrites_touched_buckets_only(spark):
-    table = keyed(spark, "kt", [(i, "a") for i in range(50)])
-    before = {r["bucket"]: r["version"] for r in table._current()}
-    batch = spark.createDataFrame([("7", "z")], "k string, v string")
-    counts = upsert_batch(batch.withColumn("n", F.lit(0)), "b1", table, FLOW, seq="n")
-    assert counts == {"updated": 1}
-    after = {r["bucket"]: r["version"] for r in table._current()}
-    assert sum(before[b] != after[b] for b in before) == 1
-    assert table.read().count() == 50
-    assert table.read().where("k = 7").first()["v"] == "z"
-    assert upsert_batch(batch, "b1", table, FLOW) is None
-
-
-def test_unfinished_write_is_invisible(spark):
-    table = keyed(spark, "crash", [(1, "a")])
-    stray = spark.createDataFrame([(2, "lost")], "k long, v string").withColumn("_bucket", F.lit(0))
-    stray.write.partitionBy("_bucket").parquet(f"{table.path}/data/version=2")
-    assert rows(table.read()) == [(1, "a")]
-    assert table.write(spark.createDataFrame([(3, "c")], "k long, v string"), "retry") == 2
-    assert rows(table.read()) == [(3, "c")]
-    with pytest.raises(SpecError):
-        KeyedTable(spark, table.path, ["k"], buckets=8)
+def stored(spark, label, data):
+    path = scratch_path(spark, label)
+    write_changes(spark.createDataFrame(data, "k long, v string"), path, "start")
+    return path
+
+
+def test_batches_touch_only_their_keys(spark):
+    path = stored(spark, "kt", [(i, "a") for i in range(50)])
+    batch = spark.createDataFrame([("7", "z", 0), ("8", "a", 0)], "k string, v string, n int")
+    for _ in range(2):  # the second delivery leaves the same table
+        assert upsert_batch(batch, "b1", path, FLOW, seq="n") == {"updated": 1, "unchanged": 1}
+    assert spark.read.parquet(path).where("_batch = 'b1'").count() == 1
+    assert current_rows(spark, path, ["k"]).count() == 50
+    assert current_rows(spark, path, ["k"]).where("k = 7").first()["v"] == "z"
+
+
+def test_two_writers_do_not_meet(spark):
+    path = stored(spark, "two", [(1, "a")])
+    for name, key in (("x-0", "2"), ("y-0", "3")):
+        upsert_batch(spark.createDataFrame([(key, name)], "k string, v string"), name, path, FLOW)
+    assert rows(current_rows(spark, path, ["k"])) == [(1, "a"), (2, "x-0"), (3, "y-0")]
+    again = scratch_path(spark, "rewritten")
+    rewrite(spark, path, ["k"], again)
+    assert rows(current_rows(spark, again, ["k"])) == rows(current_rows(spark, path, ["k"]))
 
 
-def test_keyed_table_starts_empty_and_widens(spark):
-    table = KeyedTable(spark, scratch_path(spark, "fresh"), ["k"], 4)
-    assert not table.exists()
-    upsert_batch(spark.createDataFrame([("1", "a")], "k string, v string"), "1", table, FLOW)
-    upsert_batch(spark.createDataFrame([("2", "b", "c")], "k string, v string, extra string"), "2", table, FLOW)
-    assert rows(table.read()) == [(1, "a", None), (2, "b", "c")]
+def test_change_table_starts_empty_and_widens(spark):
+    path = scratch_path(spark, "fresh")
+    assert current_rows(spark, path, ["k"]) is None
+    upsert_batch(spark.createDataFrame([("1", "a")], "k string, v string"), "1", path, FLOW)
+    upsert_batch(spark.createDataFrame([("2", "b", "c")], "k string, v string, extra string"), "2", path, FLOW)
+    assert rows(current_rows(spark, path, ["k"]).select("k", "v", "extra")) == [(1, "a", None), (2, "b", "c")]
 
 
 def test_stream_loads_files_in_order_and_skips_reports(spark):
     folder, schema = scratch_path(spark, "in"), "k string, v string, n long"
-    table = keyed(spark, "st", [(1, "old"), (9, "kept")])
+    path = stored(spark, "st", [(1, "old"), (9, "kept")])
 
     def arrive(data, name):
         spark.createDataFrame(data, schema).coalesce(1).write.parquet(f"{folder}/{name}")
 
-    def run():
+    def run(state):
         parents = lambda: {}
-        stream = stream_files(spark, folder, schema, files_per_batch=1)
-        stream_load(stream, table, FLOW, state, parents, "n", rejects).awaitTermination()
+        stream_load(stream_files(spark, folder, schema), path, FLOW, state, parents, "n", rejects).awaitTermination()
 
     state, rejects = scratch_path(spark, "state"), scratch_path(spark, "rejects")
     arrive([("1", "new", 0), ("x", "bad", 1), ("2", "b", 2), ("2", "c", 3)], "f1")
     arrive([("1", "ignored", 0)], "reports/r1")
-    run()
+    run(state)
     arrive([("2", "d", 0)], "f2")
-    run()
-    run()
-    assert rows(table.read()) == [(1, "new"), (2, "d"), (9, "kept")]
-    assert rows(read_rejects(spark, f"{rejects}/batch=flow-0").select("k", "reject_stage")) == [("x", "type")]
+    run(state)
+    run(state)
+    assert rows(current_rows(spark, path, ["k"])) == [(1, "new"), (2, "d"), (9, "kept")]
+    assert rows(read_rejects(spark, rejects).select("k", "reject_stage")) == [("x", "type")]
 
 
 def test_run_record_rules(spark):

@@ -36,7 +36,7 @@ def test_head_keeps_few_rows_per_task(spark, sf_dir):
 def test_export_refuses_equal_short_names(spark):
     df = spark.range(1)
     with pytest.raises(SpecError):
-        S.export_tables({"n" * 31 + "a": df, "n" * 31 + "b": df}, scratch_path(spark, "export"))
+        S.export_tables({"n" * 31 + "a": df, "n" * 31 + "b": df}, scratch_path(spark, "export"), name_limit=31)
 
 
 def test_zoned_timestamps_become_plain(spark):
