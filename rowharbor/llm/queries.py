@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
@@ -22,6 +23,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Components by the smallest id reached, from ``nodes`` (id, ...) and ``links`` (a, b).
+REACHED_SQL = """both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (SELECT id, id AS other FROM nodes UNION SELECT r.id, l.b FROM reached r JOIN both_ways l ON r.other = l.a),
+smallest AS (SELECT id, MIN(other) AS component_id FROM reached GROUP BY id)"""
+
+ORACLES["op3_hyperplane_cosine"] = f"""WITH RECURSIVE nodes AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+links AS (SELECT x.id AS a, y.id AS b FROM nodes x JOIN nodes y ON x.id < y.id WHERE LIST_COSINE_SIMILARITY(x.v, y.v) >= 0.9),
+{REACHED_SQL}
+SELECT s.id AS vec_id, (SELECT COUNT(*) FROM both_ways l WHERE l.a = s.id) AS n_links, component_id, s.id = component_id AS kept FROM smallest s"""
+
+ORACLES["op10_bottom_k_minhash"] = f"""WITH RECURSIVE worded AS (SELECT doc_id, REGEXP_EXTRACT_ALL(
+  TRANSLATE(COALESCE(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+nodes AS (SELECT doc_id AS id, CASE WHEN LEN(w) = 0 THEN [] WHEN LEN(w) < 5 THEN [ARRAY_TO_STRING(w, ' ')]
+  ELSE LIST_DISTINCT([ARRAY_TO_STRING(w[i:i + 4], ' ') FOR i IN RANGE(1, LEN(w) - 3)]) END AS s FROM worded),
+items AS (SELECT id, UNNEST(s) AS x FROM nodes),
+pairs AS (SELECT x.id AS a, y.id AS b, COUNT(*) AS n FROM items x JOIN items y ON x.x = y.x AND x.id < y.id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN nodes x ON x.id = a JOIN nodes y ON y.id = b WHERE 100 * n >= 75 * (LEN(x.s) + LEN(y.s) - n)),
+{REACHED_SQL}
+SELECT n.id AS doc_id, LEN(n.s) AS n_shingles, component_id, n.id = component_id AS kept FROM nodes n JOIN smallest USING (id)"""
+
+
 @query
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and the bytes they decode to, as counts and digests."""
