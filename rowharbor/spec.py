@@ -47,7 +47,8 @@ class TableSpec:
     category: str = ""
     renames: Mapping[str, str] = field(default_factory=dict)
     foreign_keys: Sequence[ForeignKey] = ()
-    fk_policy: str = "filter"
+    #: ``filter`` rejects orphans, ``skip`` rejects a batch with any; unless stated, master tables skip and others filter.
+    fk_policy: str = ""
     not_null: Sequence[str] = ()
     uniques: Sequence[Sequence[str]] = ()
     lengths: Mapping[str, int] = field(default_factory=dict)
@@ -67,6 +68,8 @@ class TableSpec:
             raise SpecError(f"No primary key configured/found for table {self.name}")
         if self.category and self.category not in CATEGORIES:
             raise SpecError(f"{self.name}: unknown category {self.category!r}")
+        if not self.fk_policy:
+            object.__setattr__(self, "fk_policy", "skip" if self.category == "masters" else "filter")
         if self.fk_policy not in ("filter", "skip"):
             raise SpecError(f"{self.name}: unknown foreign key policy {self.fk_policy!r}")
         unknown = sorted(set(self.types.values()) - set(TYPE_WORDS))
