@@ -129,7 +129,34 @@ def repeated_windows(members: list[tuple[bytes, bytes, bytes]], reach: int) -> l
     """Per member, how many bytes lie before the anchor in each of its windows that another member has too.
 
     A member is its bytes before the anchor, the anchor and the bytes after it; a window takes ``reach`` bytes besides the anchor.
+    Bytes farther from the anchor than any other member agrees to are in no such window and are left out.
     """
+    left_shared = longest_shared([left[::-1] for left, _, _ in members])
+    right_shared = longest_shared([right for _, _, right in members])
+    out: list[list[int]] = [[] for _ in members]
+    able = [i for i, (x, y) in enumerate(zip(left_shared, right_shared, strict=True)) if x + y >= reach]
+    if len(able) > 1:
+        near = [(members[i][0][len(members[i][0]) - left_shared[i] :], b"", members[i][2][: right_shared[i]]) for i in able]
+        for i, found in zip(able, _windows_in_order(near, reach), strict=True):
+            out[i] = found
+    return out
+
+
+def longest_shared(values: list[bytes]) -> list[int]:
+    """For each value, the longest start that it has in common with another one."""
+    order = sorted(range(len(values)), key=values.__getitem__)
+    out = [0] * len(values)
+    for i, j in zip(order, order[1:]):
+        a, b = values[i], values[j]
+        n = min(len(a), len(b))
+        differ = int.from_bytes(a[:n], "big") ^ int.from_bytes(b[:n], "big")
+        same = n - (differ.bit_length() + 7) // 8
+        out[i], out[j] = max(out[i], same), max(out[j], same)
+    return out
+
+
+def _windows_in_order(members: list[tuple[bytes, bytes, bytes]], reach: int) -> list[list[int]]:
+    """The windows of :func:`repeated_windows` from the order of all suffixes of the members."""
     core = 256 + len(members)
     text: list[int] = []
     owner: list[int] = []
