@@ -5,8 +5,8 @@ segment that is moved by a bounded shift. Each distinct line is indexed by its s
 as long or up to ``edits`` shorter, at the shifts that the other segments leave possible. Lines that share a key are
 candidates; a list of two gives its pair at once, one of up to ``SHORT_LIST`` its pairs, and a longer one is divided again by the segments of
 what is left of its lines without the shared one. Lists that are still long after ``DIVISIONS`` divisions hold lines that share
-seven tenths of their text; they give their pairs too. Candidates are verified by
-banded bit-parallel edit distance: the band of ``2 * edits + 1`` diagonals lies in one integer, updated once per code point.
+seven tenths of their text; they give their pairs too. Candidates that share too
+few of some evenly spaced pieces are dropped, the others verified by banded bit-parallel edit distance: the band of ``2 * edits + 1`` diagonals lies in one integer, updated once per code point.
 
 Linked lines and equal lines form classes. Of a class that stands in more than ``max_documents`` documents, the occurrence of the
 smallest document id and line number stays and all others are removed; other lines stay.
@@ -58,27 +58,32 @@ def _segment(length: Column, edits: int, i: int) -> tuple[Column, Column]:
     return (i * short + before).cast("int"), (short + F.when(longer >= edits + 1 - i, 1).otherwise(0)).cast("int")
 
 
-def line_keys(text: Column, salt: Column, edits: int) -> list[Column]:
-    """``struct<key, start, size>`` for every slot; NULL where the slot does not exist in the line. The first is of texts
-    so short that segments may be empty; such texts are candidates of one another."""
+def line_slots(text: Column, salt: Column, edits: int) -> list[tuple[Column, Column, Column, Column]]:
+    """Condition, key, start and size of every slot. The first is of texts so short that segments may be
+    empty; such texts are candidates of one another."""
     length = F.length(text)
-    tiny = F.struct(F.xxhash64(salt, F.lit("tiny")).alias("key"), F.lit(0).alias("start"), F.lit(0).alias("size"))
-    out = [F.when(length <= 2 * edits, tiny)]
+    out = [(length <= 2 * edits, F.xxhash64(salt, F.lit("tiny")), F.lit(0), F.lit(0))]
     for shorter, i, shift in slots(edits):
         start, size = _segment(length - shorter, edits, i)
         at = start + shift
         key = F.xxhash64(salt, length - shorter, F.lit(i), F.substring(text, at + 1, size))
-        out.append(F.when((size > 0) & (at >= 0) & (at + size <= length), F.struct(key.alias("key"), at.alias("start"), size.alias("size"))))
+        out.append(((size > 0) & (at >= 0) & (at + size <= length), key, at, size))
     return out
 
 
 def keyed_lines(lines: DataFrame, edits: int) -> DataFrame:
-    """``list, id, keys``: index keys and probe keys of ``list, id, text``, without texts."""
-    keys = [k["key"] for k in line_keys(F.col("text"), F.col("list"), edits)]
-    own = F.array_compact(F.array(*keys[: edits + 2]))
-    more = F.array_except(F.array_compact(F.array(*keys[edits + 2 :])), own)
-    flagged = F.concat(F.transform(own, lambda k: F.struct(k.alias("key"), F.lit(1).alias("own"))), F.transform(more, lambda k: F.struct(k.alias("key"), F.lit(0).alias("own"))))
-    return lines.select("list", "id", flagged.alias("keys"))
+    """``list, id, keys`` of ``list, id, text``, without texts: a key for every slot, the index keys first, NULL where there is none.
+
+    Plain expressions without lambdas, so that all keys of a line are worked out in generated code.
+    """
+    keys = [F.when(exists, key) for exists, key, _, _ in line_slots(F.col("text"), F.col("list"), edits)]
+    return lines.select("list", "id", F.array(*keys).alias("keys"))
+
+
+def _entries(keyed: DataFrame, edits: int) -> DataFrame:
+    """``list, id, key, own`` with a row for every key."""
+    found = keyed.select("list", "id", F.posexplode("keys").alias("slot", "key")).where("key IS NOT NULL")
+    return found.select("list", "id", "key", F.when(F.col("slot") <= edits + 1, 1).otherwise(0).alias("own"))
 
 
 def _sized(df: DataFrame) -> DataFrame:
@@ -91,7 +96,7 @@ def candidate_pairs(source, edits: int) -> DataFrame:
     keyed = cut_lineage(keyed_lines(source(None).withColumn("list", F.lit(0).cast("bigint")), edits).dropDuplicates(["id"]), "line-keys")
     level, found = None, []
     for division in range(DIVISIONS + 1):
-        entries = keyed.select("list", "id", F.explode("keys").alias("k")).select("list", "id", "k.key", "k.own")
+        entries = _entries(keyed, edits)
         lists = entries.groupBy("list", "key").agg(F.count(F.lit(1)).alias("members"), F.sum("own").alias("owns"), F.min("id").alias("a"), F.max("id").alias("b"))
         lists = cut_lineage(lists.where("members > 1 and owns > 0 and a < b"), "lists")
         larger = cut_lineage(lists.where("members > 2").select("list", "key", "members"), "larger-lists")
@@ -112,7 +117,8 @@ def candidate_pairs(source, edits: int) -> DataFrame:
 
 def _divided(long: DataFrame, level: DataFrame, edits: int) -> DataFrame:
     """``list, id, text``: each long list by itself, with what is left of its lines without the segment they share."""
-    of_slots = level.select("list", "id", "text", F.explode(F.array_compact(F.array(*line_keys(F.col("text"), F.col("list"), edits)))).alias("s"))
+    kinds = [F.when(e, F.struct(k.alias("key"), a.alias("start"), n.alias("size"))) for e, k, a, n in line_slots(F.col("text"), F.col("list"), edits)]
+    of_slots = level.select("list", "id", "text", F.explode(F.array_compact(F.array(*kinds))).alias("s"))
     of_slots = of_slots.select("list", "id", "text", "s.key", "s.start", "s.size")
     rest = F.concat(F.expr("substring(text, 1, start)"), F.expr("substring(text, start + size + 1, length(text))"))
     held = long.join(of_slots, ["list", "key", "id"]).select(F.xxhash64("list", "key").alias("list"), "id", rest.alias("text"))
@@ -190,6 +196,15 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def plausible(left: Column, right: Column, edits: int) -> Column:
+    """Whether enough pieces of ``left`` stand somewhere in ``right``: each edit can touch one of them only."""
+    pieces = 2 * edits + 2
+    length = F.length(left)
+    size = F.least(F.lit(8), F.floor(length / pieces).cast("int"))
+    found = [F.contains(right, F.substring(left, F.floor(length * k / pieces).cast("int") + 1, size)).cast("int") for k in range(pieces)]
+    return reduce(Column.__add__, found) >= pieces - edits
+
+
 def _exploded(docs: DataFrame, min_chars: int) -> DataFrame:
     lines = docs.select(F.explode(F.split(F.col("text"), "\n")).alias("text")).where(F.length("text") >= min_chars)
     return lines.select(F.xxhash64("text").alias("id"), "text")
@@ -207,7 +222,8 @@ def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
     ids = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "pair-lines")
     held = cut_lineage(source(_sized(ids)).dropDuplicates(["id"]), "pair-texts")
     both = pairs.join(held.select(F.col("id").alias("a"), F.col("text").alias("left")), "a").join(held.select(F.col("id").alias("b"), F.col("text").alias("right")), "b")
-    near = both.where(F.abs(F.length("left") - F.length("right")) <= edits).where(banded_distance(F.col("left"), F.col("right"), edits) <= edits)
+    likely = both.where(F.abs(F.length("left") - F.length("right")) <= edits).where(plausible(F.col("left"), F.col("right"), edits))
+    near = likely.where(banded_distance(F.col("left"), F.col("right"), edits) <= edits)
     return connected_components(cut_lineage(near.select("a", "b"), "line-links"))
 
 
