@@ -3,10 +3,11 @@
 Lines of ``min_chars`` code points or more take part. Two lines within ``edits`` edits, cut into ``edits + 1`` segments, agree in a
 segment that is moved by a bounded shift. Each distinct line is indexed by its segments and probes the segments of lines that are
 as long or up to ``edits`` shorter, at the shifts that the other segments leave possible. Lines that share a key are
-candidates; a list of two gives its pair at once, one of up to ``SHORT_LIST`` its pairs, and a longer one is divided again by the segments of
-what is left of its lines without the shared one. Lists that are still long after ``DIVISIONS`` divisions hold lines that share
-seven tenths of their text; they give their pairs too. Candidates that share too
-few of some evenly spaced pieces are dropped, the others verified by banded bit-parallel edit distance: the band of ``2 * edits + 1`` diagonals lies in one integer, updated once per code point.
+candidates; a list of up to ``SHORT_LIST`` gives its pairs. The lines of longer lists are compared by stricter keys instead: cut into
+``PIECES`` pieces, two lines within ``edits`` edits agree in all pieces but ``edits``, up to small shifts between those, so
+everything outside each choice of pieces is a key. Candidates that share too few of some evenly spaced pieces are dropped,
+the others verified by banded bit-parallel edit distance: the band of ``2 * edits + 1`` diagonals lies in
+one integer, updated once per code point.
 
 Linked lines and equal lines form classes. Of a class that stands in more than ``max_documents`` documents, the occurrence of the
 smallest document id and line number stays and all others are removed; other lines stay.
@@ -21,7 +22,9 @@ documents that lose their last non-blank line.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
+from itertools import combinations, product
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -32,8 +35,9 @@ EDITS = 2
 MIN_CHARS = 24
 MAX_DOCUMENTS = 6
 SHORT_LIST = 64
-#: How often a long list is divided; after that its members share most of their text and all are compared.
-DIVISIONS = 3
+#: Pieces into which the lines of longer lists are cut.
+PIECES = 8
+HOLES = "array<struct<n:int,more:int,own:int,parts:array<struct<a:int,b:int,d:int>>>>"
 #: Tables of at most so many rows of 16 bytes are broadcast.
 BROADCAST_ROWS = 1 << 20
 
@@ -58,32 +62,26 @@ def _segment(length: Column, edits: int, i: int) -> tuple[Column, Column]:
     return (i * short + before).cast("int"), (short + F.when(longer >= edits + 1 - i, 1).otherwise(0)).cast("int")
 
 
-def line_slots(text: Column, salt: Column, edits: int) -> list[tuple[Column, Column, Column, Column]]:
-    """Condition, key, start and size of every slot. The first is of texts so short that segments may be
+def line_slots(text: Column, salt: Column, edits: int) -> list[tuple[Column, Column]]:
+    """Condition and key of every slot. The first is of texts so short that segments may be
     empty; such texts are candidates of one another."""
     length = F.length(text)
-    out = [(length <= 2 * edits, F.xxhash64(salt, F.lit("tiny")), F.lit(0), F.lit(0))]
+    out = [(length <= 2 * edits, F.xxhash64(salt, F.lit("tiny")))]
     for shorter, i, shift in slots(edits):
         start, size = _segment(length - shorter, edits, i)
         at = start + shift
         key = F.xxhash64(salt, length - shorter, F.lit(i), F.substring(text, at + 1, size))
-        out.append(((size > 0) & (at >= 0) & (at + size <= length), key, at, size))
+        out.append(((size > 0) & (at >= 0) & (at + size <= length), key))
     return out
 
 
 def keyed_lines(lines: DataFrame, edits: int) -> DataFrame:
-    """``list, id, keys`` of ``list, id, text``, without texts: a key for every slot, the index keys first, NULL where there is none.
+    """``id, keys`` of ``id, text``, without texts: a key for every slot, the index keys first, NULL where there is none.
 
     Plain expressions without lambdas, so that all keys of a line are worked out in generated code.
     """
-    keys = [F.when(exists, key) for exists, key, _, _ in line_slots(F.col("text"), F.col("list"), edits)]
-    return lines.select("list", "id", F.array(*keys).alias("keys"))
-
-
-def _entries(keyed: DataFrame, edits: int) -> DataFrame:
-    """``list, id, key, own`` with a row for every key."""
-    found = keyed.select("list", "id", F.posexplode("keys").alias("slot", "key")).where("key IS NOT NULL")
-    return found.select("list", "id", "key", F.when(F.col("slot") <= edits + 1, 1).otherwise(0).alias("own"))
+    keys = [F.when(exists, key) for exists, key in line_slots(F.col("text"), F.lit(0), edits)]
+    return lines.select("id", F.array(*keys).alias("keys"))
 
 
 def _sized(df: DataFrame) -> DataFrame:
@@ -91,38 +89,67 @@ def _sized(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def _shared_entries(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs of the keys that two entries share, and the entries of the keys that more share, with ``members``."""
+    lists = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.sum("own").alias("owns"), F.min("id").alias("a"), F.max("id").alias("b"))
+    lists = cut_lineage(lists.where("members > 1 and owns > 0 and a < b"), "lists")
+    larger = cut_lineage(lists.where("members > 2").select("key", "members"), "larger-lists")
+    return lists.where("members = 2").select("a", "b"), cut_lineage(entries.join(_sized(larger), "key"), "entries")
+
+
+def _pairs(entries: DataFrame) -> DataFrame:
+    """``a, b`` of each index entry with all entries of its key."""
+    owns = entries.where("own = 1").select("key", F.col("id").alias("x"))
+    return entries.join(owns, "key").where("id != x").select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b"))
+
+
 def candidate_pairs(source, edits: int) -> DataFrame:
     """``a, b`` (a < b) of lines that share a key. ``source(ids)`` gives ``id, text`` of the lines with these ids, or of all for None."""
-    keyed = cut_lineage(keyed_lines(source(None).withColumn("list", F.lit(0).cast("bigint")), edits).dropDuplicates(["id"]), "line-keys")
-    level, found = None, []
-    for division in range(DIVISIONS + 1):
-        entries = _entries(keyed, edits)
-        lists = entries.groupBy("list", "key").agg(F.count(F.lit(1)).alias("members"), F.sum("own").alias("owns"), F.min("id").alias("a"), F.max("id").alias("b"))
-        lists = cut_lineage(lists.where("members > 1 and owns > 0 and a < b"), "lists")
-        larger = cut_lineage(lists.where("members > 2").select("list", "key", "members"), "larger-lists")
-        shared = cut_lineage(entries.join(_sized(larger), ["list", "key"]), "entries")
-        short = shared.where(F.col("members") <= SHORT_LIST) if division < DIVISIONS else shared
-        owns = short.where("own = 1").select("list", "key", F.col("id").alias("x"))
-        pairs = short.join(owns, ["list", "key"]).where("id != x").select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b"))
-        found.append(lists.where("members = 2").select("a", "b").unionByName(pairs))
-        long = cut_lineage(shared.where(F.col("members") > SHORT_LIST).select("list", "key", "id").distinct(), "long-lists")
-        if division == DIVISIONS or long.isEmpty():
-            return cut_lineage(reduce(DataFrame.unionByName, found).distinct(), "candidates")
-        if level is None:
-            ids = cut_lineage(long.select("id").distinct(), "long-ids")
-            level = source(_sized(ids)).dropDuplicates(["id"]).withColumn("list", F.lit(0).cast("bigint"))
-        level = _divided(long, level, edits)
-        keyed = cut_lineage(keyed_lines(level, edits), "line-keys")
-
-
-def _divided(long: DataFrame, level: DataFrame, edits: int) -> DataFrame:
-    """``list, id, text``: each long list by itself, with what is left of its lines without the segment they share."""
-    kinds = [F.when(e, F.struct(k.alias("key"), a.alias("start"), n.alias("size"))) for e, k, a, n in line_slots(F.col("text"), F.col("list"), edits)]
-    of_slots = level.select("list", "id", "text", F.explode(F.array_compact(F.array(*kinds))).alias("s"))
-    of_slots = of_slots.select("list", "id", "text", "s.key", "s.start", "s.size")
-    rest = F.concat(F.expr("substring(text, 1, start)"), F.expr("substring(text, start + size + 1, length(text))"))
-    held = long.join(of_slots, ["list", "key", "id"]).select(F.xxhash64("list", "key").alias("list"), "id", rest.alias("text"))
-    return cut_lineage(held.distinct(), "divided")
+    keyed = cut_lineage(keyed_lines(source(None), edits).dropDuplicates(["id"]), "line-keys")
+    entries = keyed.select("id", F.posexplode("keys").alias("slot", "key")).where("key IS NOT NULL")
+    pairs, shared = _shared_entries(entries.select("id", "key", (F.col("slot") <= edits + 1).cast("int").alias("own")))
+    found = pairs.unionByName(_pairs(shared.where(F.col("members") <= SHORT_LIST)))
+    ids = cut_lineage(shared.where(F.col("members") > SHORT_LIST).select("id").distinct(), "long-lists")
+    if not ids.isEmpty():
+        texts = source(_sized(ids)).dropDuplicates(["id"])
+        holes = texts.select("id", F.explode(hole_keys(F.col("text"), edits)).alias("k")).select("id", "k.key", "k.own").where("key IS NOT NULL")
+        pairs, shared = _shared_entries(cut_lineage(holes, "hole-keys"))
+        found = found.unionByName(pairs).unionByName(_pairs(shared))
+    return cut_lineage(found.distinct(), "candidates")
+
+
+def hole_table(edits: int) -> list[tuple[int, int, int, list[tuple[int, int, int]]]]:
+    """For every choice of ``edits`` of the ``PIECES`` pieces of a line, and every way in which edits within these may
+    shift what stands between them: number of the choice, surplus length, whether it is the line's own, and the stretches
+    that stay, as first piece, end piece and shift."""
+    ways = [
+        shifts
+        for shifts in product(range(-edits, edits + 1), repeat=edits)
+        if shifts[-1] >= 0 and sum(abs(b - a) for a, b in zip((0, *shifts), shifts, strict=False)) <= edits
+    ]
+    out = []
+    for number, holes in enumerate(combinations(range(PIECES), edits)):
+        edges = list(zip([0, *(h + 1 for h in holes)], [*holes, PIECES], strict=True))
+        for shifts in ways:
+            out.append((number, shifts[-1], int(not any(shifts)), [(a, b, d) for (a, b), d in zip(edges, (0, *shifts), strict=True)]))
+    return out
+
+
+def hole_keys(text: Column, edits: int) -> Column:
+    """``array<struct<key, own>>``: lines within ``edits`` edits agree in all but ``edits`` of their pieces, up to small shifts."""
+    table = F.from_json(F.lit(json.dumps([{"n": n, "more": m, "own": o, "parts": [{"a": a, "b": b, "d": d} for a, b, d in p]} for n, m, o, p in hole_table(edits)])), HOLES)
+
+    def edge(piece: Column, length: Column) -> Column:
+        return F.floor(piece * length / PIECES).cast("int")
+
+    def of(choice: Column) -> Column:
+        length = F.length(text) - choice["more"]
+        inside = F.forall(choice["parts"], lambda p: (edge(p["a"], length) + p["d"] >= 0) & (edge(p["b"], length) + p["d"] <= F.length(text)))
+        parts = F.transform(choice["parts"], lambda p: F.substring(text, edge(p["a"], length) + p["d"] + 1, edge(p["b"], length) - edge(p["a"], length)))
+        key = F.xxhash64(length, choice["n"], F.array_join(parts, "\n"))
+        return F.struct(F.when(inside & (length > 0), key).alias("key"), choice["own"].alias("own"))
+
+    return F.transform(table, of)
 
 
 def banded_distance(left: Column, right: Column, edits: int) -> Column:
@@ -168,7 +195,8 @@ def banded_distance(left: Column, right: Column, edits: int) -> Column:
             return F.struct(up.alias("up"), s["zero"].bitwiseAND(s["more"]).alias("down"), score.cast("int").alias("score"))
 
         def update(state: Column, j: Column) -> Column:
-            return _let(_let(_let(step(state, j), with_diagonal), across), moved)
+            # The score never falls along the diagonal, and the last row is at most ``edits`` below it.
+            return F.when(state["score"] > 2 * edits, state).otherwise(_let(_let(_let(step(state, j), with_diagonal), across), moved))
 
         start = F.struct(
             F.lit(mask >> (edits + 1) << (edits + 1)).cast("bigint").alias("up"), F.lit(0).cast("bigint").alias("down"), F.lit(0).alias("score")
@@ -196,6 +224,31 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def middles(left: Column, right: Column) -> Column:
+    """``struct<left, right>`` without the longest common start and the longest common end of what follows it.
+
+    Both are found by halving steps; beyond twice the first step nothing more is cut, which does no harm.
+    """
+    steps = F.array(*[F.lit(1 << k) for k in range(16, -1, -1)])
+
+    def shared(a: Column, b: Column, most: Column) -> Column:
+        def longer(n: Column, step: Column) -> Column:
+            more = n + step
+            return F.when((more <= most) & (F.substring(a, F.lit(1), more) == F.substring(b, F.lit(1), more)), more).otherwise(n)
+
+        return F.aggregate(steps, F.lit(0), longer)
+
+    def cut_start(c: Column) -> Column:
+        n = shared(c["left"], c["right"], F.least(F.length(c["left"]), F.length(c["right"])))
+        return _let(n, lambda n: F.struct(*[F.substring(c[x], n + 1, F.length(c[x])).alias(x) for x in ("left", "right")]))
+
+    def cut_end(c: Column) -> Column:
+        n = shared(F.reverse(c["left"]), F.reverse(c["right"]), F.least(F.length(c["left"]), F.length(c["right"])))
+        return _let(n, lambda n: F.struct(*[F.substring(c[x], F.lit(1), F.length(c[x]) - n).alias(x) for x in ("left", "right")]))
+
+    return _let(_let(F.struct(left.alias("left"), right.alias("right")), cut_start), cut_end)
+
+
 def plausible(left: Column, right: Column, edits: int) -> Column:
     """Whether enough pieces of ``left`` stand somewhere in ``right``: each edit can touch one of them only."""
     pieces = 2 * edits + 2
@@ -223,7 +276,8 @@ def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
     held = cut_lineage(source(_sized(ids)).dropDuplicates(["id"]), "pair-texts")
     both = pairs.join(held.select(F.col("id").alias("a"), F.col("text").alias("left")), "a").join(held.select(F.col("id").alias("b"), F.col("text").alias("right")), "b")
     likely = both.where(F.abs(F.length("left") - F.length("right")) <= edits).where(plausible(F.col("left"), F.col("right"), edits))
-    near = likely.where(banded_distance(F.col("left"), F.col("right"), edits) <= edits)
+    likely = likely.select("a", "b", middles(F.col("left"), F.col("right")).alias("m"))
+    near = likely.where(banded_distance(F.col("m.left"), F.col("m.right"), edits) <= edits)
     return connected_components(cut_lineage(near.select("a", "b"), "line-links"))
 
 

@@ -113,3 +113,9 @@ def test_removal_keeps_the_first(spark):
 def test_whole_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
     assert results(QUERIES["op7_segment_lines"](spark, FOLDER)) == wanted(rows, lines.EDITS, lines.MIN_CHARS, lines.MAX_DOCUMENTS)
+
+
+def test_middles(spark):
+    rows = [("", ""), ("a", ""), ("abc", "abc"), ("abxc", "abyyc"), ("aaa", "aaaa"), ("é\U0001f600x", "é\U0001f600y"), ("abab", "ab"), ("x" * 3000 + "1", "x" * 3000 + "2y")]
+    got = spark.createDataFrame(rows, "l string, r string").select(lines.middles(F.col("l"), F.col("r")).alias("m")).collect()
+    assert [tuple(r.m) for r in got] == [("", ""), ("a", ""), ("", ""), ("x", "yy"), ("", "a"), ("x", "y"), ("ab", ""), ("1", "2y")]
