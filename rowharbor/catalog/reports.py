@@ -51,8 +51,8 @@ def sql_generated(start: str) -> str:
     return (
         with_fixtures("raw_orders")
         + f""", top AS (SELECT {start} AS first_id FROM raw_orders)
-    SELECT row_seq, CASE WHEN order_id IN ('', 'nan') THEN first_id - 1 + ROW_NUMBER() OVER
-      (PARTITION BY order_id IN ('', 'nan') ORDER BY row_seq) ELSE TRY_CAST(order_id AS BIGINT) END AS order_id
+    SELECT row_seq, CASE WHEN order_id IN ('', 'nan') THEN CAST(first_id - 1 + ROW_NUMBER() OVER
+      (PARTITION BY order_id IN ('', 'nan') ORDER BY row_seq) AS VARCHAR) ELSE order_id END AS order_id
     FROM raw_orders CROSS JOIN top"""
     )
 
