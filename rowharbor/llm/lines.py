@@ -100,7 +100,8 @@ def _shared_entries(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _pairs(entries: DataFrame) -> DataFrame:
     """``a, b`` of each index entry with all entries of its key."""
     owns = entries.where("own = 1").select("key", F.col("id").alias("x"))
-    return entries.join(owns, "key").where("id != x").select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b"))
+    # Two index entries of a key meet once.
+    return entries.join(owns, "key").where("id > x OR (own = 0 AND id != x)").select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b"))
 
 
 def candidate_pairs(source, edits: int) -> DataFrame:
