@@ -6,14 +6,16 @@ pattern looks ahead but never back, so each cut piece is split exactly as it wou
 
 Defined cases: a NULL text is the empty text; an empty text has no ids and decodes to no bytes; NULL
 document ids are kept; repeated rows give repeated results; an empty table gives no rows; other
-columns are not read. Text that holds names of special tokens is ordinary text.
+columns are not read. Text that holds names of special tokens is ordinary text, unless the added tokens of a
+tokenizer file are given: each place of such a name is then its one id, and what stands between is encoded by itself.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from functools import lru_cache
 
 import numpy as np
@@ -43,6 +45,23 @@ def encoder(ranks: bytes, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=merges, special_tokens={})
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """Names and ids of the added tokens of a tokenizer file, which it finds in a text before anything else."""
+    with open(path, encoding="utf-8") as file:
+        tokenizer = json.load(file)
+    tokens = tokenizer["added_tokens"]
+    for t in tokens:
+        if t["single_word"] or t["lstrip"] or t["rstrip"] or (t["normalized"] and tokenizer["normalizer"]):
+            raise ValueError(f"added token {t['content']!r} is not found by its plain name")
+    return {t["content"]: t["id"] for t in tokens}
+
+
+@lru_cache(maxsize=4)
+def _names(names: tuple[str, ...]) -> re.Pattern:
+    """Any of the names; of those that start at one place the longest."""
+    return re.compile("(" + "|".join(map(re.escape, sorted(names, key=len, reverse=True))) + ")")
+
+
 def safe_pieces(text: str, cut_after: int = CUT_AFTER) -> Iterator[str]:
     """The text in pieces whose separate encodings join to the encoding of the whole."""
     start = 0
@@ -55,9 +74,13 @@ def safe_pieces(text: str, cut_after: int = CUT_AFTER) -> Iterator[str]:
     yield text[start:]
 
 
-def encode_text(encoding: tiktoken.Encoding, text: str | None, cut_after: int = CUT_AFTER) -> list[int]:
+def encode_text(encoding: tiktoken.Encoding, text: str | None, cut_after: int = CUT_AFTER, added: Mapping[str, int] | None = None) -> list[int]:
     if not text:
         return []
+    if added and any(name in text for name in added):
+        # Every other part is a name.
+        parts = _names(tuple(added)).split(text)
+        return [i for k, part in enumerate(parts) for i in ([added[part]] if k % 2 else encode_text(encoding, part, cut_after))]
     if len(text) <= cut_after:
         return encoding.encode_ordinary(text)
     return [i for piece in safe_pieces(text, cut_after) for i in encoding.encode_ordinary(piece)]

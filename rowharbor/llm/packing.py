@@ -6,7 +6,8 @@ lowest cost (``linear * n + quadratic * n * n`` summed over its pieces) that sti
 as many sequences as its tokens need, so at most one sequence's worth of padding is left per window; a piece
 that fits nowhere is cut to the largest rooms left. No shuffle is needed and memory is bounded by the window.
 
-Ids are those of the byte-level vocabulary that the rank file lists, with ``end_id`` after each document.
+Ids are those of the byte-level vocabulary that the rank file lists, and of the ``added`` tokens where a text holds their
+names, with ``end_id`` after each document.
 
 Defined cases: a NULL or empty text is the end id alone; NULL document ids are kept; repeated rows are packed
 as often as they stand; equal lengths keep their order of reading; an empty table gives no rows; other
@@ -17,7 +18,7 @@ partitions are the same when a task is run again.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -90,6 +91,7 @@ def pack_documents(
     window: int = 2048,
     linear: float = 1.0,
     quadratic: float = 1.0 / 1024,
+    added: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """One row per piece; ``ids`` holds the piece's ids as little-endian unsigned 32-bit integers."""
 
@@ -109,7 +111,7 @@ def pack_documents(
             held.clear()
 
         for doc_id, text in rows:
-            ids = np.array(encode_text(encoding, text) + [end_id], "<u4")
+            ids = np.array(encode_text(encoding, text, added=added) + [end_id], "<u4")
             total, full = len(ids), len(ids) // capacity * capacity
             for start in range(0, full, capacity):
                 yield doc_id, start, capacity, ids[start : start + capacity].tobytes(), total, first, 0

@@ -94,7 +94,8 @@ def op6_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pack(docs: DataFrame) -> DataFrame:
     vocabulary = bpe.read_vocabulary(docs.sparkSession, public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    pieces = packing.pack_documents(docs, vocabulary, public_tokenizers.PATTERN)
+    added = bpe.added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = packing.pack_documents(docs, vocabulary, public_tokenizers.PATTERN, added=added)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
