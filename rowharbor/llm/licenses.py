@@ -2,8 +2,8 @@
 
 A text is reduced to its words (A-Z in lower case, single blanks between). Rules are regular expressions over those
 words, written per license as ways of naming it and per statement as ways of granting it; each has a label, a priority and a
-weight. A rule is tried only where one of the keywords of its license stands in the text. Every place where a rule
-matches is a detection from word to word; a detection inside another one of higher priority, or of equal priority and greater
+weight. A rule is tried only where one of the keywords of its license stands in the text, at the start of a word; no rule
+matches without. Every place where a rule matches is a detection from word to word; a detection inside another one of higher priority, or of equal priority and greater
 length, is suppressed. What is left gives the labels and the score. The base phrases are never suppressed.
 
 Everything is SQL expressions in one pass over the documents, without a shuffle.
@@ -15,6 +15,7 @@ results; of detections with equal span and priority the label first in the alpha
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -23,15 +24,15 @@ from rowharbor.llm.native_text import lower_ascii, spans_of
 #: Phrases and the labels they stand for.
 BASE_PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: License, keywords of which one must be present, and ways of naming it in words.
+#: License, keywords of which one must be present from the start of a word on, and ways of naming it in words. Each way holds a keyword.
 NAMES = {
     "0bsd": (["0bsd", "zero clause"], ["0bsd", "bsd zero clause", "zero clause bsd"]),
     "afl-3.0": (["afl", "academic free"], ["afl(?: v)? ?3(?: 0)?", "academic free license(?: version| v)? ?3(?: 0)?"]),
     "agpl-3.0": (["agpl", "affero"], ["agpl ?v?3(?: 0)?(?: only| or later)?", "gnu affero general public license(?: as published by the free software foundation)?(?:(?: version| v)? ?3)?"]),
     "apache-1.1": (["apache"], ["apache(?: software)? license(?: version| v)? ?1 1", "apache 1 1"]),
-    "apache-2.0": (["apache"], ["apache(?: software)? license(?: version| v)? ?2(?: 0)?", "apache ?2(?: 0)?", "asl ?2(?: 0)?"]),
+    "apache-2.0": (["apache", "asl 2", "asl2"], ["apache(?: software)? license(?: version| v)? ?2(?: 0)?", "apache ?2(?: 0)?", "asl ?2(?: 0)?"]),
     "artistic-2.0": (["artistic"], ["artistic license(?: version| v)?(?: ?2(?: 0)?)?", "artistic 2(?: 0)?"]),
-    "beerware": (["beer"], ["beer ?ware(?: license)?"]),
+    "beerware": (["beerware", "beer ware"], ["beer ?ware(?: license)?"]),
     "bsd-2-clause": (["bsd", "freebsd"], ["bsd 2 clause", "2 clause bsd", "two clause bsd", "simplified bsd", "freebsd license"]),
     "bsd-3-clause": (["bsd"], ["bsd 3 clause", "3 clause bsd", "three clause bsd", "new bsd", "modified bsd", "revised bsd"]),
     "bsd-4-clause": (["bsd"], ["bsd 4 clause", "4 clause bsd", "four clause bsd", "original bsd"]),
@@ -50,22 +51,22 @@ NAMES = {
     "ecl-2.0": (["ecl", "educational community"], ["ecl 2 0", "educational community license(?: 2 0)?"]),
     "epl-2.0": (["epl", "eclipse"], ["epl(?: v)? ?[12](?: 0)?", "eclipse public license(?:(?: version| v)? ?[12](?: 0)?)?"]),
     "eupl-1.2": (["eupl", "european union"], ["eupl(?:(?: v)? ?1 [12])?", "european union public licen[cs]e(?:(?: version| v)? ?1 [12])?"]),
-    "fdl-1.3": (["fdl", "free documentation"], ["gfdl(?: 1 [23])?", "gnu free documentation license(?:(?: version| v)? ?1 [23])?"]),
+    "fdl-1.3": (["gfdl", "gnu free documentation"], ["gfdl(?: 1 [23])?", "gnu free documentation license(?:(?: version| v)? ?1 [23])?"]),
     "gpl": (["gpl", "gnu general"], ["gpl", "gnu general public license"]),
     "gpl-2.0": (["gpl", "gnu general"], ["gpl ?v?2(?: 0)?(?: only| or later)?", "gnu general public license(?: as published by the free software foundation)?(?: version| v)? ?2(?: 0)?"]),
     "gpl-3.0": (["gpl", "gnu general"], ["gpl ?v?3(?: 0)?(?: only| or later)?", "gnu general public license(?: as published by the free software foundation)?(?: either)?(?: version| v)? ?3(?: 0)?"]),
-    "isc": (["isc"], ["isc(?: license)?", "internet systems consortium license"]),
+    "isc": (["isc", "internet systems"], ["isc(?: license)?", "internet systems consortium license"]),
     "lgpl-2.1": (["lgpl", "lesser general", "library general"], ["lgpl ?v?2(?: [01])?(?: only| or later)?", "gnu (?:lesser|library) general public license(?:(?: version| v)? ?2(?: [01])?)?"]),
     "lgpl-3.0": (["lgpl", "lesser general"], ["lgpl ?v?3(?: 0)?(?: only| or later)?", "gnu lesser general public license(?: version| v)? ?3(?: 0)?"]),
     "lppl-1.3": (["lppl", "latex project"], ["lppl(?: 1 3)?c?", "latex project public license(?:(?: version| v)? ?1 3)?"]),
-    "mit": (["mit"], ["mit", "mit x11", "expat"]),
+    "mit": (["mit", "expat"], ["mit", "mit x11", "expat"]),
     "mpl-1.1": (["mpl", "mozilla"], ["mpl ?v?1 1", "mozilla public license(?: version| v)? ?1 1"]),
     "mpl-2.0": (["mpl", "mozilla"], ["mpl ?v?2(?: 0)?", "mozilla public license(?: version| v)? ?2(?: 0)?"]),
     "ms-pl": (["ms pl", "microsoft public"], ["ms pl", "microsoft public license"]),
     "ncsa": (["ncsa"], ["ncsa(?: open source)?", "university of illinois ncsa"]),
-    "odbl-1.0": (["odbl", "open database"], ["odbl(?: 1 0)?", "open data ?base license(?:(?: version| v)? ?1(?: 0)?)?"]),
-    "ofl-1.1": (["ofl", "open font"], ["sil open font license(?:(?: version| v)? ?1 1)?", "ofl 1 1"]),
-    "osl-3.0": (["osl", "open software"], ["osl 3 0", "open software license(?:(?: version| v)? ?3(?: 0)?)?"]),
+    "odbl-1.0": (["odbl", "open database", "open data base"], ["odbl(?: 1 0)?", "open data ?base license(?:(?: version| v)? ?1(?: 0)?)?"]),
+    "ofl-1.1": (["ofl 1 1", "open font"], ["sil open font license(?:(?: version| v)? ?1 1)?", "ofl 1 1"]),
+    "osl-3.0": (["osl 3 0", "open software"], ["osl 3 0", "open software license(?:(?: version| v)? ?3(?: 0)?)?"]),
     "php-3.01": (["php"], ["php license(?:(?: version| v)? ?3 01)?", "php 3 01"]),
     "postgresql": (["postgresql"], ["postgresql(?: license)?"]),
     "psf-2.0": (["psf", "python software"], ["psf(?: license)?(?: 2(?: 0)?)?", "python software foundation license(?:(?: version| v)? ?2)?"]),
@@ -102,8 +103,6 @@ WORDINGS = [
 FAMILY = "array<struct<label:string,keywords:array<string>,rules:array<struct<priority:int,weight:double,pattern:string>>>>"
 NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]++"
-#: Lower-case strings of which any license statement holds one.
-GATES = ["licen", "cc", "gpl", "spdx", "reserved", "public domain", "permission", "commercial", "free software", "unencumbered", "redistribution", "without any"]
 
 
 def _whole_words(pattern: str) -> str:
@@ -136,7 +135,7 @@ def _last(pieces: Column) -> Column:
 def detections(words: Column) -> Column:
     """All detections ``struct<start, stop, priority, weight, label>``; words from 0, ``stop`` exclusive."""
     families = F.from_json(F.lit(json.dumps(rule_table())), FAMILY)
-    tried = F.filter(families, lambda f: F.exists(f["keywords"], lambda k: F.contains(words, k)))
+    tried = F.filter(families, lambda f: F.exists(f["keywords"], lambda k: F.contains(words, F.concat(F.lit(" "), k))))
 
     def of_rule(label: Column, rule: Column) -> Column:
         spans = F.when(F.regexp_like(words, rule["pattern"]), spans_of(words, rule["pattern"], _blanks))
@@ -167,22 +166,19 @@ def unsuppressed(found: Column) -> Column:
 def detect_licenses(docs: DataFrame) -> DataFrame:
     """``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, detections`` of every document."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    lowered = F.lower(text)
-    gate = F.lit(False)
-    for hint in GATES:
-        gate = gate | lowered.contains(hint)
     words = F.concat(F.lit(" "), F.trim(F.regexp_replace(lower_ascii(text), NOT_WORD, " ")), F.lit(" "))
-    base = docs.select("doc_id", F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("n_words"), F.when(gate, words).alias("words"))
+    base = docs.select("doc_id", F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("n_words"), words.alias("words"))
     places = [F.split("words", _whole_words(p), -1).alias(f"p{i}") for i, p in enumerate(BASE_PHRASES)]
-    found = F.when(F.col("words").isNotNull(), unsuppressed(F.col("found"))).otherwise(F.array())
     base = base.select("doc_id", "n_words", "words", *places)
-    base = base.withColumn("found", F.when(F.col("words").isNotNull(), detections(F.col("words"))))
-    base = base.withColumn("detections", found)
+    # What :func:`detections` asks first, in generated code: without a keyword of any license nothing is found.
+    keywords = sorted({k for f in rule_table() for k in f["keywords"]})
+    any_keyword = reduce(Column.__or__, [F.contains(F.col("words"), F.lit(f" {k}")) for k in keywords])
+    base = base.withColumn("found", F.when(any_keyword, detections(F.col("words"))).otherwise(F.array()))
+    base = base.withColumn("detections", unsuppressed(F.col("found")))
     count, first, last, labels = [], [], [], []
     for i, (phrase, label) in enumerate(BASE_PHRASES.items()):
         pieces = F.col(f"p{i}")
-        n = F.coalesce(F.size(pieces).cast("bigint") - 1, F.lit(0).cast("bigint"))
-        n = F.when(F.col("words").isNull(), F.lit(0).cast("bigint")).otherwise(n)
+        n = F.size(pieces).cast("bigint") - 1
         count.append(n)
         first.append(F.when(n > 0, _blanks(pieces[0]) - 1))
         # The last piece starts with the blank after the phrase and has one blank per word more.

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import zlib
+from itertools import product
 
 import numpy as np
 import public_tokenizers
+import pytest
 
-from rowharbor.llm import bpe
+from rowharbor.llm import bpe, licenses
 from rowharbor.llm.queries import pack
 
 
@@ -29,3 +32,66 @@ def test_packing_knows_added_tokens(spark):
     added = bpe.added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
     for i, text in enumerate(texts):
         assert bpe.encode_text(encoding, text, 7, added) + [0] == want[i]
+
+
+def expansions(pattern):
+    """All texts of a pattern of branches, classes and optional parts; a longer repetition is taken as often as it must be."""
+
+    def of(items):
+        return ["".join(x) for x in product(*map(one, items))]
+
+    def one(item):
+        kind, value = str(item[0]), item[1]
+        if kind == "LITERAL":
+            return [chr(value)]
+        if kind == "BRANCH":
+            return [x for branch in value[1] for x in of(branch)]
+        if kind == "SUBPATTERN":
+            return of(value[3])
+        if kind == "MAX_REPEAT":
+            low, high, inner = value
+            return [x for n in ((0, 1) if (low, high) == (0, 1) else (low,)) for x in ("".join(p) for p in product(of(inner), repeat=n))]
+        if kind == "IN":
+            ranges = [v for k, v in value if str(k) == "RANGE"]
+            return ["x"] if str(value[0][0]) == "NEGATE" else [chr(v) for k, v in value if str(k) == "LITERAL"] + [chr(v[0]) for v in ranges]
+        assert kind == "NOT_LITERAL", kind
+        return ["x"]
+
+    return of(re._parser.parse(pattern))
+
+
+def test_every_license_name_holds_a_keyword():
+    named = [(label, keywords, name) for label, (keywords, names) in licenses.NAMES.items() for name in names]
+    named += [(label, [keyword], pattern) for label, keyword, pattern in licenses.WORDINGS]
+    for label, keywords, pattern in named:
+        for text in expansions(pattern):
+            assert any(f" {k}" in f" {text} " for k in keywords), (label, text)
+    assert all("{name}" in statement for _, statement in licenses.STATEMENTS)
+
+
+def test_every_license_rule_is_reached(spark):
+    """The shortest text of every rule gives a detection of that rule, or of one that covers it."""
+    rules = [(f["label"], r["pattern"].removeprefix("(?<= )").removesuffix("(?= )")) for f in licenses.rule_table() for r in f["rules"]]
+    rows = [(i, min(expansions(pattern), key=len)) for i, (_, pattern) in enumerate(rules)]
+    found = {r.doc_id: r for r in licenses.detect_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        assert any(d.start <= 0 and d.stop >= len(text.split()) for d in found[i].detections), (rules[i][0], text)
+
+
+@pytest.mark.parametrize(
+    ("text", "labels"),
+    [
+        ("Released under Apache 2.0.", "apache-2.0"),
+        ("It is available under the MPL 2.0", "mpl-2.0"),
+        ("distributed under BSD 3-Clause", "bsd-3-clause"),
+        ("under the terms of the EUPL 1.2", "eupl-1.2"),
+        ("Open Data Base License 1.0 licence", "odbl-1.0"),
+        ("offered under Expat", "mit"),
+        ("available under ASL 2.0", "apache-2.0"),
+        ("provided under the Internet Systems Consortium License", "isc"),
+        ("a limited discussion of the deployment", ""),
+    ],
+)
+def test_license_statements_without_the_word(spark, text, labels):
+    row = licenses.detect_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert row.labels == labels and (row.score > 0) == bool(labels)
