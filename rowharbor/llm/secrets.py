@@ -28,12 +28,18 @@ BASE_KINDS = {
     "access": r"AKIA[A-Z0-9]{16,}",
     "hex": r"(?<![0-9a-f])[0-9a-f]{24,}",
 }
-#: Well-known forms of keys; they follow the base kinds in order.
+_PEM_MARK = r"[A-Z ]{0,30}PRIVATE KEY-----"
+#: What may stand between the parts of a key: blanks, escaped line breaks, quotes and marks of quoted or commented lines.
+_PEM_GAP = r"""(?:\\+[nrt]|[\s"'`,>#*|\\])*+"""
+#: Well-known forms of keys; they follow the base kinds in order. A private key reaches to its END line; where that is cut off, over
+#: the header fields and the runs of base64 that follow the BEGIN line.
 MORE_KINDS = {
     "github": r"\bgh[oprsu]_[A-Za-z0-9]{36,}",
     "google": r"\bAIza[0-9A-Za-z_-]{35,}",
     "jwt": r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
-    "pem": r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----",
+    "pem": f"-----BEGIN {_PEM_MARK}"
+    + f"(?:[^-]*+(?:-(?!----)[^-]*+)*+-----END {_PEM_MARK}"
+    + rf"|(?:{_PEM_GAP}(?:(?:Proc-Type|DEK-Info): ?[^\s\\]++|[A-Za-z0-9+/]{{20,}}+={{0,2}}+))*+(?:{_PEM_GAP}[A-Za-z0-9+/]++(?:={{1,2}}+|(?=\s*+\z)))?+)",
     "slack": r"\bxox[abeoprs]-[0-9A-Za-z-]{10,}",
     "stripe": r"\b[rs]k_live_[0-9A-Za-z]{16,}",
 }
@@ -41,6 +47,8 @@ KINDS = BASE_KINDS | MORE_KINDS
 #: The value of an assignment: its second group.
 ASSIGN_VALUE = r"""^(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)$"""
 ASSIGN_LENGTH = 6
+#: What is not part of a key's value: the same key counts as one, however its lines are broken, indented or quoted.
+PEM_LAYOUT = r"\\+[nrt]?|[^A-Za-z0-9+/=\\]+"
 #: A cheap test for each kind, on the text or (first) on the text in lower case.
 HINTS = {
     "assign": ["passw", "secret", "token", "apikey", "api_key"],
@@ -68,7 +76,12 @@ def _hint(kind: str, text: Column) -> Column:
 
 
 def _spans(kind: str, rank: int, text: Column) -> Column:
-    value = (lambda s: F.regexp_extract(s["value"], ASSIGN_VALUE, 1)) if kind == "assign" else (lambda s: s["value"])
+    if kind == "assign":
+        value = lambda s: F.regexp_extract(s["value"], ASSIGN_VALUE, 1)
+    elif kind == "pem":
+        value = lambda s: F.regexp_replace(s["value"], PEM_LAYOUT, "")
+    else:
+        value = lambda s: s["value"]
     found = spans_of(text, KINDS[kind])
     if kind == "assign":
         found = F.filter(found, lambda s: F.length(value(s)) >= ASSIGN_LENGTH)

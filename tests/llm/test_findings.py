@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 import zlib
 from itertools import product
@@ -10,7 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from rowharbor.llm import bpe, licenses
+from rowharbor.llm import bpe, licenses, secrets
 from rowharbor.llm.queries import pack
 
 
@@ -95,3 +96,30 @@ def test_every_license_rule_is_reached(spark):
 def test_license_statements_without_the_word(spark, text, labels):
     row = licenses.detect_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert row.labels == labels and (row.score > 0) == bool(labels)
+
+
+def test_private_keys_are_whole(spark):
+    """Different keys in many sources are each live; one key in many sources is an example, however its lines are broken."""
+    rng = random.Random(3)
+
+    def key(lines=600):
+        return ["".join(rng.choices("ABCDefgh0123+/", k=64)) for _ in range(lines)] + ["Qw12=="]
+
+    def pem(body, between="\n", end=True):
+        return between.join(["-----BEGIN RSA PRIVATE KEY-----", *body, *(["-----END RSA PRIVATE KEY-----"] if end else [])])
+
+    own, example = [key() for _ in range(5)], key(12)
+    encrypted = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0A1B", "", *key(3)]
+    rows = [(i, f"before {i}\n{pem(k)}\nafter\n-----\n", f"o{i}") for i, k in enumerate(own)]
+    rows += [(10 + i, "x " + pem(example, b) + " y", f"o{i}") for i, b in enumerate(("\n", "\r\n", "\\n", "\n    "))]
+    rows += [(20, "a " + pem(encrypted, end=False), "o1"), (21, "b " + pem(key(4), end=False) + "\n\nA word or two.", "o2"), (22, "b " + pem([*key(2)[:2], "Ab1"], end=False), "o3")]
+    rows += [(30 + i, "It starts with -----BEGIN RSA PRIVATE KEY----- as a mark.", f"o{i}") for i in range(3)]
+    rows += [(40, pem(encrypted) + " - " + pem(own[0]), "o1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r.doc_id: r for r in secrets.scan_documents(docs).collect()}
+    assert all((found[i].n_live, found[i].n_widespread) == (1, 0) for i in (*range(5), 20, 21, 22)) and found[40].n_live == 2
+    assert all((found[i].n_live, found[i].n_widespread) == (0, 1) for i in (10, 11, 12, 13, 30, 31, 32))
+    clean = {r.doc_id: r.text for r in secrets.redact_documents(docs).collect()}
+    assert all(clean[i] == f"before {i}\n[SECRET]\nafter\n-----\n" for i in range(5))
+    assert (clean[20], clean[21], clean[22], clean[40]) == ("a [SECRET]", "b [SECRET]\n\nA word or two.", "b [SECRET]", "[SECRET] - [SECRET]")
+    assert all(clean[i] == t for i, t, _ in rows if 10 <= i < 20 or 30 <= i < 40)
