@@ -10,11 +10,13 @@ the others verified by banded bit-parallel edit distance: the band of ``2 * edit
 one integer, updated once per code point.
 
 Linked lines and equal lines form classes. Of a class that stands in more than ``max_documents`` documents, the occurrence of the
-smallest document id and line number stays and all others are removed; other lines stay.
+smallest document id and line number stays and all others are removed; other lines stay. Lines under ``min_chars`` that are not
+blank form classes by equality alone, as two edits would link short lines that say different things; the same number of
+documents and the same choice of the first hold for them.
 
 Lines are told apart by a 64-bit hash. Line breaks are ``\\n``.
 
-Defined cases: a NULL text has no line, an empty text one empty line; shorter lines are never linked or removed; rows
+Defined cases: a NULL text has no line, an empty text one empty line; blank lines are never removed; rows
 without an id come first; repeated rows are documents of their own, so their lines count twice and the first stays in one of them only; an empty table
 gives no rows; other columns are not read by ``repeated_lines``. ``remove_lines`` returns all columns of its input, without the
 documents that lose their last non-blank line.
@@ -283,14 +285,16 @@ def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
 
 
 def repeated_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, max_documents: int = MAX_DOCUMENTS) -> DataFrame:
-    """``row_id, doc_id, n_lines, n_repeated, removed``: numbers of the lines (from 0) to be removed, per row.
+    """``row_id, doc_id, n_lines, n_repeated, removed, removed_short``: numbers of the lines (from 0) to be removed, per row.
 
-    ``n_repeated`` counts the lines whose class has another line, ``row_id`` is the input's where it has one.
+    ``n_repeated`` counts the lines of ``min_chars`` or more whose class has another line, ``removed`` lists those that go and
+    ``removed_short`` the shorter ones; ``row_id`` is the input's where it has one.
     """
     row_id = F.col("row_id") if "row_id" in docs.columns else F.monotonically_increasing_id()
     parts = F.split(F.col("text"), "\n")
     long = F.filter(F.transform(parts, lambda x, i: F.struct(i.alias("line"), F.xxhash64(x).alias("id"), (F.length(x) >= min_chars).alias("long"))), lambda s: s["long"])
-    rows = docs.select(row_id.alias("row_id"), "doc_id", F.coalesce(F.size(parts), F.lit(0)).alias("n"), long.alias("lines"))
+    short = F.filter(F.transform(parts, lambda x, i: F.struct(i.alias("line"), F.xxhash64(x).alias("id"), ((F.length(x) < min_chars) & ~_blank(x)).alias("short"))), lambda s: s["short"])
+    rows = docs.select(row_id.alias("row_id"), "doc_id", F.coalesce(F.size(parts), F.lit(0)).alias("n"), long.alias("lines"), short.alias("short"))
     rows = cut_lineage(rows, "lines")
     classes = cut_lineage(line_classes(docs, edits, min_chars), "classes")
     places = rows.select("row_id", "doc_id", F.explode("lines").alias("s")).select("row_id", "doc_id", "s.line", "s.id")
@@ -302,26 +306,43 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHA
     judged = places.join(sizes, "class")
     gone = (F.col("documents") > max_documents) & ~((F.col("row_id") == F.col("first.row_id")) & (F.col("line") == F.col("first.line")))
     per_row = judged.groupBy("row_id").agg(F.count(F.lit(1)).alias("n_repeated"), F.sort_array(F.collect_list(F.when(gone, F.col("line")))).alias("removed"))
-    out = rows.drop("lines").join(cut_lineage(per_row, "removed-lines"), "row_id", "left")
+    out = rows.drop("lines", "short").join(cut_lineage(per_row, "removed-lines"), "row_id", "left")
+    out = out.join(cut_lineage(short_repeats(rows, max_documents), "removed-short"), "row_id", "left")
     return out.select(
         "row_id",
         "doc_id",
         F.greatest(F.col("n"), F.lit(0)).cast("bigint").alias("n_lines"),
         F.coalesce("n_repeated", F.lit(0)).cast("bigint").alias("n_repeated"),
         F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
+        F.coalesce("removed_short", F.array().cast("array<int>")).alias("removed_short"),
     )
 
 
+def _blank(text: Column) -> Column:
+    return F.trim(F.translate(text, "\n\r\t", "   ")) == ""
+
+
+def short_repeats(rows: DataFrame, max_documents: int) -> DataFrame:
+    """``row_id, removed_short`` from ``row_id, doc_id, short``: of equal lines in more than ``max_documents`` documents all but the first."""
+    in_rows = rows.select(F.explode(F.array_distinct(F.transform("short", lambda s: s["id"]))).alias("id"))
+    wide = cut_lineage(in_rows.groupBy("id").agg(F.count(F.lit(1)).alias("documents")).where(F.col("documents") > max_documents).select("id"), "short-lines")
+    places = rows.select("row_id", "doc_id", F.explode("short").alias("s")).select("row_id", "doc_id", "s.line", "s.id").join(_sized(wide), "id")
+    firsts = cut_lineage(places.groupBy("id").agg(F.min(F.struct("doc_id", "row_id", "line")).alias("first")), "short-firsts")
+    gone = places.join(_sized(firsts), "id").where(~((F.col("row_id") == F.col("first.row_id")) & (F.col("line") == F.col("first.line"))))
+    return gone.groupBy("row_id").agg(F.sort_array(F.collect_list("line")).alias("removed_short"))
+
+
 def remove_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, max_documents: int = MAX_DOCUMENTS) -> DataFrame:
     """The documents without the lines that are repeated too widely; ``n_chars`` follows the text where the input has it."""
     columns = docs.columns
     packed = cut_lineage(docs.select(F.struct(*columns).alias("doc"), F.monotonically_increasing_id().alias("row_id")), "numbered")
     found = repeated_lines(packed.select("row_id", "doc.doc_id", "doc.text"), edits, min_chars, max_documents)
-    cuts = cut_lineage(found.where(F.size("removed") > 0).select("row_id", "removed"), "cuts")
+    found = found.select("row_id", F.concat("removed", "removed_short").alias("removed"))
+    cuts = cut_lineage(found.where(F.size("removed") > 0), "cuts")
     joined = packed.join(cuts, "row_id", "left")
     stay = F.filter(F.transform(F.split(F.col("doc.text"), "\n"), lambda x, i: F.when(~F.array_contains("removed", i), x)), lambda x: x.isNotNull())
     joined = joined.withColumn("clean", F.when(F.col("removed").isNull(), F.col("doc.text")).otherwise(F.array_join(stay, "\n")))
-    joined = joined.where(F.col("removed").isNull() | (F.trim(F.translate("clean", "\n\r\t", "   ")) != ""))
+    joined = joined.where(F.col("removed").isNull() | ~_blank(F.col("clean")))
     out = {c: F.col(f"doc.{c}") for c in columns} | {"text": F.col("clean")}
     if "n_chars" in columns:
         out["n_chars"] = F.when(F.col("removed").isNull(), F.col("doc.n_chars")).otherwise(F.length("clean").cast(docs.schema["n_chars"].dataType))

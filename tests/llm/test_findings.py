@@ -11,7 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from rowharbor.llm import bpe, licenses, secrets
+from rowharbor.llm import bpe, licenses, lines, secrets
 from rowharbor.llm.queries import pack
 
 
@@ -123,3 +123,14 @@ def test_private_keys_are_whole(spark):
     assert all(clean[i] == f"before {i}\n[SECRET]\nafter\n-----\n" for i in range(5))
     assert (clean[20], clean[21], clean[22], clean[40]) == ("a [SECRET]", "b [SECRET]\n\nA word or two.", "b [SECRET]", "[SECRET] - [SECRET]")
     assert all(clean[i] == t for i, t, _ in rows if 10 <= i < 20 or 30 <= i < 40)
+
+
+def test_short_lines_go_by_equality(spark):
+    short, cjk, few = "All rights reserved.", "\u7248\u6743\u6240\u6709", "seen in six"
+    rows = [(i, f"own {i}\n{short}\n\n{cjk}" + (f"\n{few}" if i <= 6 else "") + f"\nAll rights reserved{i}") for i in range(1, 9)] + [(20, short), (21, f"{short}\n{short}\nx"), (22, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in lines.repeated_lines(docs).collect()}
+    assert [found[i].removed_short for i in (1, 2, 8, 20, 21, 22)] == [[], [1, 3], [1, 3], [0], [0, 1], []]
+    assert all(r.n_repeated == 0 and r.removed == [] for r in found.values())
+    clean = {r.doc_id: r.text for r in lines.remove_lines(docs).collect()}
+    assert clean[1] == rows[0][1] and clean[2] == f"own 2\n\n{few}\nAll rights reserved2" and clean[21] == "x" and 20 not in clean and clean[22] is None
