@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowharbor.llm import bpe, classifier, embeddings, licenses, lines, minhash, outliers, packing, secrets, substrings
+from rowharbor.llm import bpe, classifier, embeddings, licenses, lines, merkle, minhash, outliers, packing, secrets, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -129,3 +129,18 @@ def op9_lyndon_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_segment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines of every document that go, as lines within two edits stand in more than six documents."""
     return lines.repeated_lines(table(spark, sf_dir, "documents")).drop("row_id")
+
+
+MANIFEST_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document; half of them are audited with their line feeds taken out."""
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    text = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    found = merkle.manifest(docs, MANIFEST_FIELDS, [text if c == "text" else F.col(c) for c in MANIFEST_FIELDS])
+    return found.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2(F.array_join("proof", ""), 256).alias("proof_sha256"), "folded_root", "verified"
+    )
