@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowharbor.llm import bpe, classifier, embeddings, licenses, lines, merkle, minhash, outliers, packing, secrets, substrings
+from rowharbor.llm import bpe, classifier, codes, embeddings, licenses, lines, merkle, minhash, oracle_sql, outliers, packing, passages, secrets, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,6 +43,10 @@ links AS (SELECT a, b FROM pairs JOIN nodes x ON x.id = a JOIN nodes y ON y.id =
 {REACHED_SQL}
 SELECT n.id AS doc_id, LEN(n.s) AS n_shingles, component_id, n.id = component_id AS kept FROM nodes n JOIN smallest USING (id)"""
 
+ORACLES["op11_count_min_passages"] = oracle_sql.PASSAGES
+ORACLES["op12_merkle_manifest"] = oracle_sql.MANIFEST
+ORACLES["op13_active_entry_codes"] = oracle_sql.CODES
+
 
 @query
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,3 +148,18 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2(F.array_join("proof", ""), 256).alias("proof_sha256"), "folded_root", "verified"
     )
+
+
+@query
+def op11_count_min_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every text without the windows of 50 words that stand in a document of a smaller id."""
+    found = passages.remove_passages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op13_active_entry_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code of every vector, its error and that of its label."""
+    coded, books = codes.vector_codes(table(spark, sf_dir, "embeddings"))
+    found = codes.with_label_errors(coded)
+    return found.select("vec_id", F.lower(F.hex("codes")).alias("code"), "error", "label_error", F.lit(codes.books_digest(books)).alias("codebooks_sha256"))
