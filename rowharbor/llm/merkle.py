@@ -2,7 +2,7 @@
 
 Every three consecutive nodes of a level become one (the last run may be shorter), until one is left. Positions come from a range
 partition by group and id: tasks number their own rows, and the sizes of the (group, task) runs shift them, so no group is sorted
-in one task. A tree is cut into superblocks of ``BLOCK`` leaves, a power of three, so that no run crosses a border.
+in one task. A tree is cut into superblocks of ``3 ** rounds`` leaves (729), so that no run crosses a border.
 
 Upwards, each superblock is reduced to its node, and those nodes are again dealt into superblocks, until one node is left. Downwards,
 the members of a superblock and the outer nodes that it needs (the siblings on the way from its node to the root) are
@@ -26,7 +26,6 @@ from rowharbor.session import cut_lineage
 
 FAN = 3
 ROUNDS = 6
-BLOCK = FAN**ROUNDS
 
 #: ``monotonically_increasing_id`` keeps the place within a task in this many bits.
 _PLACE_BITS = 33
@@ -55,10 +54,10 @@ def positions(rows: DataFrame, group: str, order: Sequence[str], label: str) ->
     return joined.withColumn("position", F.col("place") + F.col("shift")).drop("place", "task", "run_group", "run_task", "shift")
 
 
-def reduced(nodes: Sequence[str], alone: bool) -> list[list[str]]:
-    """The levels over the members of one superblock: up to its node, or up to the top if it is the only one of its tree."""
-    levels = [list(nodes)]
-    while len(levels[-1]) > 1 if alone else len(levels) <= ROUNDS:
+def reduced(nodes: Sequence[str], count: int, rounds: int) -> list[list[str]]:
+    """The levels over the members of one superblock of a tree of ``count``: up to its node, or up to the top if it is the only one."""
+    levels, alone = [list(nodes)], count <= FAN**rounds
+    while len(levels[-1]) > 1 if alone else len(levels) <= rounds:
         last = levels[-1]
         levels.append([digest(last[i : i + FAN]) for i in range(0, len(last), FAN)])
     return levels
@@ -81,45 +80,49 @@ def fold(leaf: str, path: Sequence[str]) -> str:
     return leaf
 
 
-def reduce_blocks(nodes: DataFrame) -> DataFrame:
+def _block(rounds: int) -> Column:
+    return F.expr(f"position div {FAN**rounds}")
+
+
+def reduce_blocks(nodes: DataFrame, rounds: int) -> DataFrame:
     """``tree, position, digest, count`` of the superblocks of ``nodes`` (same columns)."""
 
     def run(key, pdf):
         count = int(pdf["count"].iloc[0])
-        top = reduced(pdf.sort_values("position")["digest"], count <= BLOCK)[-1][0]
-        return pd.DataFrame([(key[0], key[1], top, -(-count // BLOCK))], columns=["tree", "position", "digest", "count"])
+        top = reduced(pdf.sort_values("position")["digest"], count, rounds)[-1][0]
+        return pd.DataFrame([(key[0], key[1], top, -(-count // FAN**rounds))], columns=["tree", "position", "digest", "count"])
 
-    dealt = nodes.select("tree", "position", "digest", "count", F.expr(f"position div {BLOCK}").alias("block"))
+    dealt = nodes.select("tree", "position", "digest", "count", _block(rounds).alias("block"))
     return dealt.groupBy("tree", "block").applyInPandas(run, "tree long, position long, digest string, count long")
 
 
-def ladder(nodes: DataFrame, label: str) -> list[DataFrame]:
+def ladder(nodes: DataFrame, rounds: int, label: str) -> list[DataFrame]:
     """The nodes themselves, the nodes of their superblocks, of the superblocks of those and so on; the last has one per tree."""
     rungs = [nodes]
     while (rungs[-1].agg(F.max("count")).first()[0] or 0) > 1:
-        rungs.append(cut_lineage(reduce_blocks(rungs[-1]), label))
+        rungs.append(cut_lineage(reduce_blocks(rungs[-1], rounds), label))
     return rungs
 
 
-def outer_paths(members: DataFrame, outer: DataFrame) -> DataFrame:
+def outer_paths(members: DataFrame, outer: DataFrame, rounds: int) -> DataFrame:
     """``tree, position, top, path`` of nodes, from those of their superblocks."""
 
     def run(key, pdf, above):
         pdf = pdf.sort_values("position")
-        levels = reduced(pdf["digest"], pdf["count"].iloc[0] <= BLOCK)
+        levels = reduced(pdf["digest"], pdf["count"].iloc[0], rounds)
         rest = list(above["path"].iloc[0])
         paths = [local_path(levels, i) + rest for i in range(len(pdf))]
         return pd.DataFrame({"tree": key[0], "position": pdf["position"], "top": above["top"].iloc[0], "path": paths})
 
-    return _cogrouped(members, outer, run, "tree long, position long, top string, path array<string>")
+    return _cogrouped(members, outer, rounds, run, "tree long, position long, top string, path array<string>")
 
 
-def proofs(leaves: DataFrame, outer: DataFrame) -> DataFrame:
+def proofs(leaves: DataFrame, outer: DataFrame, rounds: int) -> DataFrame:
     """Leaves with ``top``, ``proof`` (siblings from left to right, level by level) and ``folded_root`` of the observed leaf."""
 
     def run(key, pdf, above):
         pdf = pdf.sort_values("position")
-        levels = reduced(pdf["digest"], pdf["count"].iloc[0] <= BLOCK)
+        levels = reduced(pdf["digest"], pdf["count"].iloc[0], rounds)
         rest = list(above["path"].iloc[0])
         paths = [local_path(levels, i) + rest for i in range(len(pdf))]
         folded = [fold(leaf, path) for leaf, path in zip(pdf["observed"], paths, strict=True)]
@@ -128,16 +131,16 @@ def proofs(leaves: DataFrame, outer: DataFrame) -> DataFrame:
 
     # A NULL among whole numbers would turn them into floats on the way to pandas.
     whole = leaves.withColumns({"has_id": F.col("id").isNotNull(), "id": F.coalesce("id", F.lit(0))})
-    return _cogrouped(whole, outer, run, "has_id boolean, id long, leaf string, subroot string, proof array<string>, folded_root string")
+    return _cogrouped(whole, outer, rounds, run, "has_id boolean, id long, leaf string, subroot string, proof array<string>, folded_root string")
 
 
-def _cogrouped(members: DataFrame, outer: DataFrame, run, ddl: str) -> DataFrame:
-    dealt = members.withColumn("block", F.expr(f"position div {BLOCK}")).groupBy("tree", "block")
+def _cogrouped(members: DataFrame, outer: DataFrame, rounds: int, run, ddl: str) -> DataFrame:
+    dealt = members.withColumn("block", _block(rounds)).groupBy("tree", "block")
     above = outer.withColumnRenamed("position", "block").groupBy("tree", "block")
     return dealt.cogroup(above).applyInPandas(run, ddl)
 
 
-def manifest(rows: DataFrame, fields: Sequence[str], observed: Sequence[Column] | None = None, id_column: str = "doc_id", group: str = "source") -> DataFrame:
+def manifest(rows: DataFrame, fields: Sequence[str], observed: Sequence[Column] | None = None, id_column: str = "doc_id", group: str = "source", rounds: int = ROUNDS) -> DataFrame:
     """``id, leaf, subroot, root, proof, folded_root, verified`` of every row.
 
     ``fields`` are what a leaf covers; ``observed`` are the values under audit in their place (the same if not given), whose
@@ -150,19 +153,19 @@ def manifest(rows: DataFrame, fields: Sequence[str], observed: Sequence[Column]
     trees = positions(groups, "forest", ["grp"], "merkle-trees").select(F.col("grp").alias("own_grp"), F.col("position").alias("tree"))
     leaves = cut_lineage(placed.join(trees, placed["grp"].eqNullSafe(trees["own_grp"])).drop("grp", "own_grp"), "merkle-members")
 
-    rungs = ladder(leaves, "merkle-blocks")
+    rungs = ladder(leaves, rounds, "merkle-blocks")
     subroots = rungs[-1].select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("position"), "digest")
     n_trees = trees.count()
-    crowns = ladder(subroots.withColumn("count", F.lit(n_trees).cast("long")), "merkle-crowns")
+    crowns = ladder(subroots.withColumn("count", F.lit(n_trees).cast("long")), rounds, "merkle-crowns")
     root = (crowns[-1].first() or {"digest": None})["digest"]
 
     path = crowns[-1].select("tree", "position", F.col("digest").alias("top"), F.array().cast("array<string>").alias("path"))
     for members in crowns[-2::-1]:
-        path = outer_paths(members, path)
+        path = outer_paths(members, path, rounds)
     tops = subroots.select(F.col("position").alias("tree"), F.col("digest").alias("subroot"))
     path = path.select(F.col("position").alias("tree"), F.lit(0).cast("long").alias("position"), "path").join(tops, "tree").withColumnRenamed("subroot", "top")
     path = cut_lineage(path, "merkle-paths")
     for members in rungs[-2:0:-1]:
-        path = cut_lineage(outer_paths(members, path), "merkle-paths")
-    proven = proofs(leaves, path).withColumn("id", F.when(F.col("has_id"), F.col("id"))).drop("has_id")
+        path = cut_lineage(outer_paths(members, path, rounds), "merkle-paths")
+    proven = proofs(leaves, path, rounds).withColumn("id", F.when(F.col("has_id"), F.col("id"))).drop("has_id")
     return proven.withColumn("root", F.lit(root).cast("string")).withColumn("verified", F.col("folded_root") == F.col("root"))
