@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from rowharbor.functions.text import list_items, null_if_token, strip
@@ -23,10 +22,9 @@ def with_row_seq(df: DataFrame, order_column: str | None = None) -> DataFrame:
     if order_column:
         return df.withColumn(ROW_SEQ, F.col(order_column)).drop(order_column)
     row = F.monotonically_increasing_id()
-    try:
-        return df.select("*", F.struct("_metadata.file_path", "_metadata.file_block_start", row.alias("row")).alias(ROW_SEQ))
-    except AnalysisException:
-        return df.withColumn(ROW_SEQ, row)
+    if "_metadata#" in df._jdf.queryExecution().analyzed().metadataOutput().mkString(","):
+        row = F.struct("_metadata.file_path", "_metadata.file_block_start", row.alias("row"))
+    return df.withColumn(ROW_SEQ, row)
 
 
 def clean(df: DataFrame) -> DataFrame:

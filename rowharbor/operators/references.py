@@ -68,7 +68,7 @@ def _text_like(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, T.StringType)
 
 
-def _same_family(child: DataFrame, fk: str, parent: DataFrame, ref: str) -> bool:
+def same_family(child: DataFrame, fk: str, parent: DataFrame, ref: str) -> bool:
     whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
     a, b = child.schema[fk].dataType, parent.schema[ref].dataType
     if isinstance(a, whole) and isinstance(b, whole):
@@ -103,7 +103,7 @@ def with_hit(
 ) -> DataFrame:
     """Child rows plus a flag ``hit``: the value exists in the parent or is missing."""
     key = f"_ref_{hit}"
-    if _same_family(child, fk, parent, ref):
+    if same_family(child, fk, parent, ref):
         refs = parent.where(F.col(ref).isNotNull()).select(F.col(ref).alias(key))
         keys, rows, join_col = refs.distinct(), child, fk
     else:
@@ -236,6 +236,30 @@ def fk_cascade(
     return result
 
 
+def chained_orphans(rows: DataFrame, key: str, fk: str, lost: str, stored: DataFrame) -> DataFrame:
+    """Keys of rows that reach a lost row by following ``fk`` to ``key`` of the same rows, the lost ones left out.
+
+    ``key`` is unique in ``rows``; references that ``stored`` (one column) satisfies lead nowhere. Every round a row
+    takes over the reference of the row it refers to, so a round looks twice as far as the one before, and it is over
+    when a round finds nothing new. Rows that are settled take no further part.
+    """
+    refers = rows.select(F.col(key).alias("k"), F.col(fk).alias("next"), F.col(lost).alias("lost"))
+    known = stored.toDF("known").where("known IS NOT NULL").distinct()
+    found = refers.where("next IS NOT NULL AND NOT lost").join(known, F.col("next") == F.col("known"), "left_anti")
+    settled = F.lit(None).cast(rows.schema[fk].dataType)
+    state = found.unionByName(refers.where("lost").withColumn("next", settled))
+    state = cut_lineage(state, "references").withColumn("first", F.col("lost"))
+    before = -1
+    while (now := state.where("lost").count()) != before:
+        before = now
+        open_rows = state.where("next IS NOT NULL AND NOT lost")
+        ahead = state.select(F.col("k").alias("ahead"), F.col("next").alias("then"), F.col("lost").alias("then_lost"))
+        moved = open_rows.join(ahead, F.col("next") == F.col("ahead"), "left")
+        moved = moved.select("k", F.col("then").alias("next"), F.coalesce("then_lost", F.lit(False)).alias("lost"), "first")
+        state = cut_lineage(moved.unionByName(state.where("next IS NULL OR lost")), "references")
+    return state.where("lost AND NOT first").select("k")
+
+
 def delete_cascade(removed_keys: DataFrame, chain: Sequence[tuple[str, DataFrame, str, str]]) -> dict[str, DataFrame]:
     """What is left of each child once parent keys are deleted.
 

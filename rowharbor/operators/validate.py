@@ -141,3 +141,14 @@ def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
         if c not in df.columns
     }
     return df.withColumns(added) if added else df
+
+
+def range_reason(rows: DataFrame, schema: T.StructType, value: Callable[[str], Column] = F.col) -> Column:
+    """Reason of the first value that the stored column of its name cannot hold, or NULL."""
+    kinds = {f.name: f.dataType for f in schema}
+    tests = [
+        F.when(value(f.name).isNotNull() & value(f.name).try_cast(kinds[f.name]).isNull(), F.lit(RANGE_REASON % (f.name, kinds[f.name].simpleString())))
+        for f in rows.schema
+        if f.name in kinds and kinds[f.name] != f.dataType
+    ]
+    return F.coalesce(*tests) if tests else F.lit(None).cast("string")

@@ -20,15 +20,16 @@ from rowharbor.operators.clean import (
     with_row_seq,
 )
 from rowharbor.operators.coerce import REASON, STAGE, TYPED, check_types
-from rowharbor.operators.keys import dedupe_last, generate_keys
-from rowharbor.operators.merge import CHANGE, classify_changes, replace, upsert
-from rowharbor.operators.references import fk_all_or_nothing, fk_flags, missing_key_spread
-from rowharbor.operators.validate import RANGE_REASON, UNIQUE_REASON, constraint_reason, pk_reason
-from rowharbor.session import cut_lineage
+from rowharbor.operators.keys import generate_keys
+from rowharbor.operators.merge import ARRIVED, CHANGE, KEPT, STORED, arrived, merged_change, merged_value, side_by_side
+from rowharbor.operators.references import chained_orphans, fk_all_or_nothing, fk_flags, fk_reason, missing_key_spread, same_family
+from rowharbor.operators.validate import UNIQUE_REASON, constraint_reason, pk_reason, range_reason
+from rowharbor.session import cut_and_count, cut_lineage, fits_broadcast
 from rowharbor.spec import ForeignKey, SpecError, TableSpec
 
-#: Helper column: the first constraint a row breaks.
-RULE = "_rule_reason"
+#: Helper columns: the whole row, and the first constraint it breaks. Names of data columns are trimmed, so a leading blank sets these apart.
+ROW = " row"
+RULE = " rule"
 
 
 @dataclass
@@ -43,6 +44,8 @@ class LoadResult:
     notes: DataFrame
     changes: DataFrame
     replaced: bool = False
+    #: Rows by what became of them, as the writes counted them; ``kept`` are stored rows that the batch does not touch.
+    tally: dict[str, int] = field(default_factory=dict)
 
     def metrics(self) -> DataFrame:
         """Load metrics of this table."""
@@ -71,22 +74,22 @@ def judge(df: DataFrame, spec: TableSpec) -> DataFrame:
 
     A missing key is reported before a type. A broken constraint is noted in ``RULE`` but does not reject yet:
     of the rows of a key only the last is held against the constraints. All of it is a
-    chain of projections over the batch, without a shuffle.
+    chain of projections over the batch, without a shuffle; the columns go by their places, so that no name of the batch matters.
     """
     absent = [c for c in spec.pk if c not in df.columns]
     if absent:
         raise SpecError(f"{spec.name}: primary key columns absent from the rows: {absent}")
-    keyed = df.withColumn("_pk_reason", pk_reason(spec.pk))
     data = [c for c in df.columns if c != ROW_SEQ]
-    checked = check_types(keyed, spec.types, spec.keep_time, spec.real_bools).withColumnRenamed(REASON, "_type_reason")
-    rules = constraint_reason(spec, data, lambda c: F.col(f"{TYPED}.{c}"))
-    judged = checked.withColumn(RULE, rules)
-    stage = F.when(F.col("_pk_reason").isNotNull(), "pk").when(F.col("_type_reason").isNotNull(), "type")
-    reasoned = judged.withColumns({REASON: F.coalesce("_pk_reason", "_type_reason"), STAGE: stage})
+    place = {c: f"c{i}" for i, c in enumerate(data)}
+    placed = df.select(*[F.col(f"`{c}`").alias(place[c]) for c in data], F.col(ROW_SEQ), pk_reason(spec.pk).alias("pk_reason"))
+    checked = check_types(placed, {place[c]: w for c, w in spec.types.items() if c in place}, spec.keep_time, spec.real_bools)
+    typed = {c: F.col(f"{TYPED}.{place[c]}") for c in data}
+    stage = F.when(F.col("pk_reason").isNotNull(), "pk").when(F.col(REASON).isNotNull(), "type")
+    judged = checked.withColumns({STAGE: stage, REASON: F.coalesce("pk_reason", REASON), RULE: constraint_reason(spec, data, typed.__getitem__)})
     passed = F.col(STAGE).isNull()
-    return reasoned.select(
-        F.when(passed, F.struct(*[F.col(f"{TYPED}.{c}").alias(c) for c in data])).alias(TYPED),
-        F.when(~passed, F.struct(*[F.col(f"`{c}`") for c in data])).alias("_raw"),
+    return judged.select(
+        F.when(passed, F.struct(*[typed[c].alias(c) for c in data])).alias(TYPED),
+        F.when(~passed, F.struct(*[F.col(place[c]).alias(c) for c in data])).alias("_raw"),
         ROW_SEQ,
         RULE,
         REASON,
@@ -94,15 +97,18 @@ def judge(df: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
-def _out_of_range(rows: DataFrame, target: DataFrame) -> Column:
-    """Reason of the first value that the stored column cannot hold, or NULL."""
-    stored = {f.name: f.dataType for f in target.schema}
-    tests = [
-        F.when(F.col(c).isNotNull() & F.col(c).try_cast(stored[c]).isNull(), F.lit(RANGE_REASON % (c, stored[c].simpleString())))
-        for c in rows.columns
-        if c in stored and stored[c] != rows.schema[c].dataType
-    ]
-    return F.coalesce(*tests) if tests else F.lit(None).cast("string")
+def _last_rows(passed: DataFrame, spec: TableSpec, data: Sequence[str]) -> DataFrame:
+    """The last row of every key as a struct of the wanted columns, with JSON repaired and decimals cast."""
+    decimals = {f.name: f.dataType for f in spec.storage_schema() if f.name in spec.decimals}
+
+    def value(c: str) -> Column:
+        v = F.col(f"{TYPED}.`{c}`")
+        v = repair_json(v) if spec.types.get(c) == "dict" else v
+        return v.try_cast(decimals[c]) if c in decimals else v
+
+    last_first = Window.partitionBy(*[F.col(f"{TYPED}.`{c}`") for c in spec.pk]).orderBy(F.col(ROW_SEQ).desc())
+    last = passed.withColumn("_rn", F.row_number().over(last_first)).where("_rn = 1")
+    return last.select(F.struct(*[value(c).alias(c) for c in data]).alias(ROW), ROW_SEQ, RULE)
 
 
 def _check_uniques(rows: DataFrame, spec: TableSpec, target: DataFrame) -> DataFrame:
@@ -137,28 +143,42 @@ def _own_references(rows: DataFrame, spec: TableSpec, parents: Mapping[str, Data
 
 
 def _checked_references(rows: DataFrame, spec: TableSpec, parents: Mapping[str, DataFrame]) -> DataFrame:
-    """Foreign-key reasons; a row rejected for its own table takes the rows that refer to it along."""
-    checked = _accept_references(rows, spec, _own_references(rows, spec, parents))
-    if not any(fk.parent == spec.name for fk in spec.foreign_keys) or spec.fk_policy != "filter":
+    """Foreign-key reasons; a row rejected for its own table takes the rows that refer to it along.
+
+    Rows that break a constraint are no parents, and keep that reason.
+    """
+    unbroken = rows.where(F.col(RULE).isNull())
+    if spec.fk_policy != "filter":
+        checked = fk_all_or_nothing(unbroken, spec.foreign_keys, _own_references(unbroken, spec, parents))
+        text = f"Foreign key violation: an orphan row rejects the whole batch of {spec.name}"
+        checked = checked.withColumn(REASON, F.when(~F.col("accepted"), F.lit(text))).drop("accepted")
+        return checked.unionByName(rows.where(F.col(RULE).isNotNull()), allowMissingColumns=True)
+    checked = fk_flags(rows, spec.foreign_keys, _own_references(unbroken, spec, parents))
+    own = [fk for fk in spec.foreign_keys if fk.parent == spec.name and spec.name in parents and fk.column in rows.columns]
+    if not own:
+        return checked
+    checked = cut_lineage(checked, f"{spec.name}-own-references")
+    lost = F.coalesce(RULE, REASON).isNotNull()
+    if checked.where(lost).isEmpty():
         return checked
-    lost = -1
-    while True:
+    fk, stored = own[0], parents[spec.name]
+    if len(own) == 1 and list(spec.pk) == [fk.parent_column] and same_family(rows, fk.column, stored, fk.parent_column):
+        orphans = chained_orphans(checked.withColumn("lost", lost), fk.parent_column, fk.column, "lost", stored.select(fk.parent_column))
+        names = [f"`{fk.parent_column}`", "`orphan`"]
+        joined = checked.join(orphans.toDF("orphan"), F.col(names[0]) == F.col(names[1]), "left")
+        return joined.withColumn(REASON, F.coalesce(REASON, F.when(F.col("orphan").isNotNull(), fk_reason(fk)))).drop("orphan")
+    return _by_levels(checked, spec, parents)
+
+
+def _by_levels(checked: DataFrame, spec: TableSpec, parents: Mapping[str, DataFrame]) -> DataFrame:
+    """Repeat the check against what is left until nothing more goes, for tables with several references to themselves."""
+    before = -1
+    while (now := checked.where(F.col(REASON).isNotNull()).count()) != before:
+        before = now
+        left = checked.where(F.coalesce(RULE, REASON).isNull())
+        checked = fk_flags(checked.drop(REASON), spec.foreign_keys, _own_references(left, spec, parents))
         checked = cut_lineage(checked, f"{spec.name}-own-references")
-        now = checked.where(F.col(REASON).isNotNull()).count()
-        if now in (0, lost):
-            return checked
-        lost = now
-        left = checked.where(F.col(REASON).isNull()).drop(REASON)
-        checked = _accept_references(rows, spec, _own_references(left, spec, parents))
-
-
-def _accept_references(rows: DataFrame, spec: TableSpec, parents: Mapping[str, DataFrame]) -> DataFrame:
-    """Add the foreign-key reason. Policy ``skip`` rejects the whole batch on the first orphan."""
-    if spec.fk_policy == "filter":
-        return fk_flags(rows, spec.foreign_keys, parents)
-    checked = fk_all_or_nothing(rows, spec.foreign_keys, parents)
-    text = f"Foreign key violation: an orphan row rejects the whole batch of {spec.name}"
-    return checked.withColumn(REASON, F.when(~F.col("accepted"), F.lit(text))).drop("accepted")
+    return checked
 
 
 def load_table(
@@ -172,107 +192,133 @@ def load_table(
 ) -> LoadResult:
     """Run the whole load of one table and return its outcome without writing the target.
 
-    Two stages are written to the shared folder because several outputs read them: the
-    judged batch, and the surviving rows with their reference check.
+    Two tables are written to the shared folder: the judged batch, and the outcome, which holds every row of the new
+    table and every row that was rejected after typing. The writes count their rows as they go. Only tables with unique keys,
+    with references to themselves, or with a batch small enough to leave a large target where it is, write the rows in between.
     ``target`` may be a function from the batch's keys to the target rows that can hold
-    them, so that a bucketed target is read only where it is touched.
+    them, so that only those are read.
     """
     if mode not in ("incremental", "initial"):
         raise SpecError(f"unknown mode {mode!r}")
-    spark = batch.sparkSession
-    judged = cut_lineage(judge(prepare(batch, spec, seq), spec), f"{spec.name}-judged")
-    raw = judged.where(F.col(REASON).isNotNull()).select("_raw.*", REASON, STAGE)
-
-    passed = judged.where(F.col(REASON).isNull()).select(f"{TYPED}.*", ROW_SEQ, RULE)
-    if callable(target):
-        target = target(passed.select(*spec.pk))
-    kept = dedupe_last(passed, spec.pk)
-    data = [c for c in kept.columns if c not in (ROW_SEQ, RULE)]
+    spark, parents = batch.sparkSession, parents or {}
+    stages = {s: F.count_if(F.col(STAGE) == s) for s in ("pk", "type")}
+    counts = {"passed": F.count_if(F.col(STAGE).isNull()), **stages}
+    judged, read = cut_and_count(judge(prepare(batch, spec, seq), spec), f"{spec.name}-judged", counts)
+
+    passed = judged.where(F.col(STAGE).isNull()).select(TYPED, ROW_SEQ, RULE)
+    on_demand = callable(target)
+    if on_demand:
+        target = target(passed.select([F.col(f"{TYPED}.`{c}`").alias(c) for c in spec.pk]))
+    data = judged.schema[TYPED].dataType.fieldNames()
     if not spec.evolve:
         data = [c for c in data if c in target.columns]
         if not data:
             raise SpecError(f"{spec.name}: no column of the batch exists in the target")
-    rows = kept.select(*data, ROW_SEQ, RULE)
-    rows = rows.withColumns({c: repair_json(F.col(c)) for c, w in spec.types.items() if w == "dict" and c in data})
-    rows = rows.withColumns({c: F.col(c).try_cast(t) for c, t in _decimals(spec).items() if c in data})
-    rows = rows.withColumn(RULE, F.coalesce(RULE, _out_of_range(rows.select(*data), target)))
-    if spec.uniques:
-        stored = target.limit(0) if mode == "initial" else target
-        rows = _check_uniques(cut_lineage(rows, f"{spec.name}-kept"), spec, stored)
-    rows = cut_lineage(rows, f"{spec.name}-ruled")
-    broken = rows.where(F.col(RULE).isNotNull()).withColumns({REASON: F.col(RULE), STAGE: F.lit("constraint")}).drop(RULE)
-
-    referenced = _checked_references(rows.where(F.col(RULE).isNull()).drop(RULE), spec, parents or {})
-    marked = referenced.withColumn(STAGE, F.when(F.col(REASON).isNotNull(), F.lit("fk")))
-    survivors = cut_lineage(marked.unionByName(broken), f"{spec.name}-survivors")
-    clean_rows = survivors.where(F.col(REASON).isNull()).select(*data)
-    if dry_run:
-        changes = clean_rows.withColumn(CHANGE, F.lit("valid"))
-    elif mode == "initial":
-        changes = clean_rows.withColumn(CHANGE, F.lit("inserted"))
-    else:
-        changes = classify_changes(target, clean_rows, spec.pk)
-
-    replaced = False
+    checked = _checked_rows(passed, spec, data, target, parents, mode)
+    if mode == "incremental" and not (dry_run or on_demand) and fits_broadcast(judged) and not fits_broadcast(target):
+        checked = cut_lineage(checked, f"{spec.name}-checked")
+    wide = evolve_target(target, checked.select(f"{ROW}.*"))
+    outcome, ended = _write_outcome(checked, spec, data, target if mode == "incremental" and not dry_run else None, wide, dry_run)
+
+    stored = ~F.startswith(F.col(CHANGE), F.lit("rejected"))
+    rows = outcome.where(stored).select("stored.*")
     if dry_run:
         snapshot = target
-    elif mode == "initial":
-        replaced = not clean_rows.isEmpty()
-        snapshot = replace(evolve_target(target, clean_rows), clean_rows, spec.defaults)
     else:
-        snapshot = upsert(target, clean_rows, spec.pk, spec.defaults)
-
-    ruled = survivors.where(F.col(STAGE) == "constraint").drop(ROW_SEQ)
+        snapshot = rows if mode == "incremental" or ended["inserted"] else wide
+    raw = judged.where(F.col(STAGE).isNotNull()).select("_raw.*", REASON, STAGE)
+    late = {s: outcome.where(F.col(STAGE) == s).select("rejected.*", REASON, STAGE) for s in ("constraint", "fk")}
     kinds = {f.name: f.dataType for f in raw.schema}
+    ruled = late["constraint"]
     ruled = ruled.select([F.col(f"`{c}`").cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`") for c in ruled.columns])
-    rejected = raw.unionByName(ruled, allowMissingColumns=True)
-    fk_rejected = survivors.where(F.col(STAGE) == "fk").drop(ROW_SEQ)
-    counts = _status_counts(spark, spec, judged, survivors, changes)
-    notes = _notes(spark, spec, judged, survivors, counts, parents or {})
-    return LoadResult(spec.name, snapshot, rejected, fk_rejected, counts, notes, changes, replaced)
-
+    changes = outcome.where(stored & (F.col(CHANGE) != KEPT)).select("stored.*", CHANGE)
+
+    tally = {f"rejected_{s}": read[s] for s in stages} | ended
+    tally["deduplicated"] = read["passed"] - sum(n for s, n in ended.items() if s != KEPT)
+    listed = [(spec.name, s, n) for s, n in tally.items() if n and s != KEPT] or [(spec.name, "read", 0)]
+    return LoadResult(
+        table=spec.name,
+        snapshot=snapshot,
+        rejected=raw.unionByName(ruled, allowMissingColumns=True),
+        fk_rejected=late["fk"],
+        counts=spark.createDataFrame(listed, "table string, status string, n bigint"),
+        notes=_notes(spark, spec, judged, outcome, tally, parents),
+        changes=changes,
+        replaced=mode == "initial" and not dry_run and ended["inserted"] > 0,
+        tally=tally,
+    )
 
-def _decimals(spec: TableSpec) -> dict:
-    return {f.name: f.dataType for f in spec.storage_schema() if f.name in spec.decimals}
 
+def _checked_rows(passed: DataFrame, spec: TableSpec, data: Sequence[str], target: DataFrame, parents: Mapping[str, DataFrame], mode: str) -> DataFrame:
+    """``ROW``, ``ROW_SEQ``, stage and reason of the last row of every key."""
+    rows = _last_rows(passed, spec, data)
+    fields = rows.select(f"{ROW}.*")
+    value = lambda c: F.col(f"{ROW}.`{c}`")
+    rows = rows.withColumn(RULE, F.coalesce(RULE, range_reason(fields, target.schema, value)))
+    own = {fk.parent_column for fk in spec.foreign_keys if fk.parent == spec.name}
+    named = {fk.column for fk in spec.foreign_keys} | own | ({*spec.pk, *(c for u in spec.uniques for c in u)} if spec.uniques else set())
+    rows = rows.select("*", *[value(c).alias(c) for c in data if c in named])
+    if spec.uniques:
+        stored = target.limit(0) if mode == "initial" else target
+        rows = _check_uniques(cut_lineage(rows, f"{spec.name}-kept"), spec, stored)
+    elif spec.fk_policy != "filter" and spec.foreign_keys:
+        rows = cut_lineage(rows, f"{spec.name}-kept")
+    checked = _checked_references(rows, spec, parents)
+    stage = F.when(F.col(RULE).isNotNull(), "constraint").when(F.col(REASON).isNotNull(), "fk")
+    return checked.select(ROW, ROW_SEQ, stage.alias(STAGE), F.coalesce(RULE, REASON).alias(REASON))
 
-def _status_counts(
-    spark: SparkSession, spec: TableSpec, judged: DataFrame, survivors: DataFrame, changes: DataFrame
-) -> DataFrame:
-    """(table, status, n) where every read row is counted once; a handful of rows."""
 
-    def tally(df: DataFrame, status) -> dict[str, int]:
-        return {r["s"]: r["n"] for r in df.groupBy(status.alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
+def _write_outcome(
+    checked: DataFrame, spec: TableSpec, data: Sequence[str], target: DataFrame | None, wide: DataFrame, dry_run: bool
+) -> tuple[DataFrame, dict[str, int]]:
+    """Write the new table and the late rejects in one pass: ``stored`` or ``rejected`` row, change, reason, stage, place.
 
-    counts = tally(judged, F.coalesce(F.concat(F.lit("rejected_"), F.col(STAGE)), F.lit("passed")))
-    passed = counts.pop("passed", 0)
-    broken = survivors.where(F.col(STAGE).isNotNull()).select(F.concat(F.lit("rejected_"), F.col(STAGE)).alias(CHANGE))
-    ended = tally(broken.unionAll(changes.select(CHANGE)), F.col(CHANGE))
-    counts |= {**ended, "deduplicated": passed - sum(ended.values())}
-    rows = [(spec.name, s, n) for s, n in counts.items() if n] or [(spec.name, "read", 0)]
-    return spark.createDataFrame(rows, "table string, status string, n bigint")
+    Without a target every good row is inserted. Rejected rows do not meet the stored row of their key.
+    """
+    kinds = {f.name: f.dataType for f in wide.schema}
+    good = F.col(STAGE).isNull()
+    helpers = {ROW: F.when(~good, F.col(ROW)), " seq": F.col(ROW_SEQ), " stage": F.col(STAGE), " reason": F.col(REASON), " good": good}
+    typed = [F.col(f"{ROW}.`{c}`").try_cast(kinds[c]).alias(c) for c in data]
+    batch = checked.select(*typed, *[v.alias(n) for n, v in helpers.items()])
+    if target is None:
+        nulls = [F.lit(None).cast(f.dataType).alias(STORED + f.name) for f in wide.schema]
+        both = batch.select(*[F.col(f"`{c}`").alias(ARRIVED + c) for c in batch.columns], F.lit(True).alias(ARRIVED), *nulls, F.lit(None).cast("boolean").alias(STORED))
+    else:
+        both = side_by_side(wide, batch, spec.pk, mergeable=" good")
+    change = F.when(F.lit(dry_run), F.lit("valid")).otherwise(merged_change(data, spec.pk))
+    change = F.when(arrived(" stage").isNotNull(), F.concat(F.lit("rejected_"), arrived(" stage"))).otherwise(change)
+    row = F.struct(*[merged_value(f, data, spec.pk, spec.defaults) for f in wide.schema])
+    outcome = both.select(
+        F.when(arrived(" stage").isNull(), row).alias("stored"),
+        arrived(ROW).alias("rejected"),
+        change.alias(CHANGE),
+        arrived(" reason").alias(REASON),
+        arrived(" stage").alias(STAGE),
+        arrived(" seq").alias(ROW_SEQ),
+    )
+    ends = (KEPT, *M.LOADED, "valid", "rejected_constraint", "rejected_fk")
+    return cut_and_count(outcome, f"{spec.name}-outcome", {e: F.count_if(F.col(CHANGE) == e) for e in ends})
 
 
 def _notes(
-    spark: SparkSession, spec: TableSpec, judged: DataFrame, survivors: DataFrame, counts: DataFrame, parents: Mapping[str, DataFrame]
+    spark: SparkSession, spec: TableSpec, judged: DataFrame, outcome: DataFrame, tally: Mapping[str, int], parents: Mapping[str, DataFrame]
 ) -> DataFrame:
     """(table, reason, n, seq): reasons by kind with their row counts in order of their first row, then the notes of the run."""
-    reasons = judged.where(F.col(REASON).isNotNull()).select(REASON, ROW_SEQ)
-    reasons = reasons.unionAll(survivors.where(F.col(STAGE) == "constraint").select(REASON, ROW_SEQ))
+    reasons = judged.where(F.col(STAGE).isNotNull()).select(REASON, ROW_SEQ)
+    reasons = reasons.unionAll(outcome.where(F.col(STAGE) == "constraint").select(REASON, ROW_SEQ))
     kinds = reasons.groupBy(reason_kind(F.col(REASON)).alias("reason")).agg(F.count(F.lit(1)).alias("n"), F.min(ROW_SEQ).alias("first"))
     # A handful of rows: reasons are cut to their kinds.
     order = F.row_number().over(Window.partitionBy("table").orderBy("first", "reason")).cast("bigint")
     kinds = kinds.select(F.lit(spec.name).alias("table"), "reason", "n", "first").select("table", "reason", "n", order.alias("seq"))
-    by_status = {r["status"]: r["n"] for r in counts.collect()}
-    dropped, orphans = by_status.get("deduplicated", 0), by_status.get("rejected_fk", 0)
-    extra = M.standard_notes(dropped, orphans, spec.pk)
-    if "unchanged" in by_status and set(by_status) <= {"unchanged", "deduplicated"}:
+    extra = M.standard_notes(tally["deduplicated"], tally["rejected_fk"], spec.pk)
+    counted = {s for s, n in tally.items() if n and s != KEPT}
+    if "unchanged" in counted and counted <= {"unchanged", "deduplicated"}:
         extra.append(M.NOTE_IDEMPOTENT)
     unknown = sorted({fk.parent for fk in spec.foreign_keys if fk.parent not in parents})
     extra += [f"References to {name} were not checked: no such table" for name in unknown]
     if not extra:
         return kinds
-    last = (1 << 62)
+    last = 1 << 62
     rows = [(spec.name, text, 0, last + i) for i, text in enumerate(extra)]
     return kinds.unionByName(spark.createDataFrame(rows, "table string, reason string, n bigint, seq bigint"))
 
@@ -354,8 +400,6 @@ def load_all(
             result = load_table(
                 batches[spec.name], spec, stored[spec.name], stored, mode, dry_run, (seqs or {}).get(spec.name)
             )
-            if not dry_run:
-                result.snapshot = cut_lineage(result.snapshot, f"{spec.name}-snapshot")
             run.results[spec.name], stored[spec.name] = result, result.snapshot
             if result.replaced:
                 for name in _descendants(spec.name, specs) - set(run.results):

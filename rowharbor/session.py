@@ -7,8 +7,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def local_session(cores: str = "8", memory: str = "8g", app: str = "rowharbor") -> SparkSession:
@@ -60,3 +61,16 @@ def cut_lineage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def cut_and_count(df: DataFrame, label: str, counts: Mapping[str, Column]) -> tuple[DataFrame, dict[str, int]]:
+    """:func:`cut_lineage`, with aggregates of the rows that the same write observes."""
+    seen = Observation()
+    stored = cut_lineage(df.observe(seen, *[c.alias(name) for name, c in counts.items()]), label)
+    return stored, {name: seen.get[name] for name in counts}
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own estimate of the rows is within its broadcast limit."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit
