@@ -244,7 +244,7 @@ FLOW = TableSpec(
 def flow_table(spark, d, label):
     """A change table holding the upsert target."""
     path = scratch_path(spark, label)
-    write_changes(table(spark, d, "upsert_target"), path, "start")
+    write_changes(table(spark, d, "upsert_target"), path, "start", FLOW.pk)
     return path
 
 
@@ -302,3 +302,20 @@ def _stream_replay(spark, d):
     rows = spark.read.schema(schema).parquet(folder)
     counts = upsert_batch(rows, "redelivered", path, FLOW)
     return spark.createDataFrame(list(counts.items()), "status string, n bigint")
+
+
+#: Batches of the stream of many small files.
+MANY = 5
+
+
+@query("stream_many_batches", UPSERTED_SQL)
+def _stream_many(spark, d):
+    """The upsert batch in many files, one per micro-batch: each reads only the buckets of its keys."""
+    path = flow_table(spark, d, "many")
+    rows = table(spark, d, "upsert_incoming")
+    text = rows.select([F.col(c).cast("string").alias(c) for c in rows.columns])
+    folder = scratch_path(spark, "many-in")
+    text.repartitionByRange(MANY, F.col("order_id").cast("bigint")).write.parquet(folder)
+    stream = stream_files(spark, folder, text.schema)
+    stream_load(stream, path, FLOW, scratch_path(spark, "many-state")).awaitTermination()
+    return current_rows(spark, path, FLOW.pk)

@@ -39,18 +39,18 @@ def arrived(c: str) -> Column:
     return F.col(f"`{ARRIVED}{c}`")
 
 
-def side_by_side(target: DataFrame, incoming: DataFrame, pk: Sequence[str], mergeable: str | None = None) -> DataFrame:
+def side_by_side(target: DataFrame, incoming: DataFrame, pk: Sequence[str], mergeable: str | None = None, one_scan: bool = False) -> DataFrame:
     """Every stored row next to the arriving row of its key, and the arriving rows without one.
 
     ``mergeable`` names a true-or-false column of ``incoming``; rows where it is not true stand alone. The flags ``_t_``
-    and ``_i_`` say which sides a row has.
+    and ``_i_`` say which sides a row has. ``one_scan`` asks for the full join at any size, for a target that is dear to read.
     """
     left = _prefixed(target, STORED).withColumn(STORED, F.lit(True))
     right = _prefixed(incoming, ARRIVED).withColumn(ARRIVED, F.lit(True))
     match = reduce(and_, [stored(c) == arrived(c) for c in pk])
     if mergeable:
         match = match & arrived(mergeable)
-    if not fits_broadcast(incoming):
+    if one_scan or not fits_broadcast(incoming):
         return left.join(right, match, "full")
     kept = left.join(right.where(arrived(mergeable)) if mergeable else right, match, "left")
     known = left.select([stored(c) for c in pk]).join(right, match, "left_semi")

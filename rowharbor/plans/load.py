@@ -218,7 +218,7 @@ def load_table(
     if mode == "incremental" and not (dry_run or on_demand) and fits_broadcast(judged) and not fits_broadcast(target):
         checked = cut_lineage(checked, f"{spec.name}-checked")
     wide = evolve_target(target, checked.select(f"{ROW}.*"))
-    outcome, ended = _write_outcome(checked, spec, data, target if mode == "incremental" and not dry_run else None, wide, dry_run)
+    outcome, ended = _write_outcome(checked, spec, data, target if mode == "incremental" and not dry_run else None, wide, dry_run, on_demand)
 
     stored = ~F.startswith(F.col(CHANGE), F.lit("rejected"))
     rows = outcome.where(stored).select("stored.*")
@@ -269,7 +269,7 @@ def _checked_rows(passed: DataFrame, spec: TableSpec, data: Sequence[str], targe
 
 
 def _write_outcome(
-    checked: DataFrame, spec: TableSpec, data: Sequence[str], target: DataFrame | None, wide: DataFrame, dry_run: bool
+    checked: DataFrame, spec: TableSpec, data: Sequence[str], target: DataFrame | None, wide: DataFrame, dry_run: bool, one_scan: bool
 ) -> tuple[DataFrame, dict[str, int]]:
     """Write the new table and the late rejects in one pass: ``stored`` or ``rejected`` row, change, reason, stage, place.
 
@@ -284,7 +284,7 @@ def _write_outcome(
         nulls = [F.lit(None).cast(f.dataType).alias(STORED + f.name) for f in wide.schema]
         both = batch.select(*[F.col(f"`{c}`").alias(ARRIVED + c) for c in batch.columns], F.lit(True).alias(ARRIVED), *nulls, F.lit(None).cast("boolean").alias(STORED))
     else:
-        both = side_by_side(wide, batch, spec.pk, mergeable=" good")
+        both = side_by_side(wide, batch, spec.pk, mergeable=" good", one_scan=one_scan)
     change = F.when(F.lit(dry_run), F.lit("valid")).otherwise(merged_change(data, spec.pk))
     change = F.when(arrived(" stage").isNotNull(), F.concat(F.lit("rejected_"), arrived(" stage"))).otherwise(change)
     row = F.struct(*[merged_value(f, data, spec.pk, spec.defaults) for f in wide.schema])

@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from rowharbor.operators.merge import CHANGE, upsert
+from rowharbor.operators.merge import CHANGE, KEPT
 from rowharbor.plans.load import load_table
 from rowharbor.session import cut_lineage
 from rowharbor.sources.changes import current_rows, write_changes
@@ -43,24 +43,23 @@ def upsert_batch(
 ) -> dict[str, int]:
     """Load one batch into the change table at ``path``; returns its counts by status.
 
-    Stored rows are read for the keys of the batch only, and whole rows are written for the keys that change. A batch
-    that is loaded again leaves the same table and the same rejects.
+    The stored rows of the batch's keys are read once, from the buckets of those keys, and whole rows are written for the
+    keys that change. A batch that is loaded again leaves the same table and the same rejects.
     """
     spark = rows.sparkSession
-    empty = spark.createDataFrame([], spec.storage_schema())
 
     def held(keys: DataFrame) -> DataFrame:
         found = current_rows(spark, path, spec.pk, keys, without=batch)
-        return empty if found is None else found
+        return spark.createDataFrame([], spec.storage_schema()) if found is None else found
 
     outcome = load_table(rows, spec, held, parents, seq=seq)
     if rejects_folder:
         for kind, part in (("row", outcome.rejected), ("fk", outcome.fk_rejected)):
             write_rejects(part, f"{rejects_folder}/batch={batch}/kind={kind}", spec.name, mode="overwrite")
-    changed = cut_lineage(outcome.changes.where(F.col(CHANGE) != "unchanged").drop(CHANGE), f"{spec.name}-changed")
-    if not changed.isEmpty():
-        write_changes(cut_lineage(upsert(held(changed), changed, spec.pk, spec.defaults), f"{spec.name}-whole"), path, batch)
-    return {r["status"]: r["n"] for r in outcome.counts.collect()}
+    if outcome.tally["inserted"] or outcome.tally["updated"]:
+        changed = outcome.changes.where(F.col(CHANGE) != "unchanged").drop(CHANGE)
+        write_changes(changed, path, batch, spec.pk)
+    return {s: n for s, n in outcome.tally.items() if n and s != KEPT}
 
 
 def stream_load(

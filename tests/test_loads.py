@@ -12,11 +12,14 @@ from rowharbor.operators import merge as U
 from rowharbor.operators import metrics as M
 from rowharbor.operators.clean import evolve_schema
 from rowharbor.operators.validate import fill_defaults
+from rowharbor.plans import load
 from rowharbor.plans.load import error_records, load_all, load_table
-from rowharbor.session import scratch_path
+from rowharbor.session import cut_and_count, scratch_path
+from rowharbor.sources import changes
 from rowharbor.sources.changes import current_rows, rewrite, write_changes
 from rowharbor.sources.tables import read_rejects
 from rowharbor.spec import ForeignKey, SpecError, TableSpec
+from rowharbor.streaming import files
 from rowharbor.streaming.files import stream_files, stream_load, upsert_batch
 
 
@@ -262,6 +265,35 @@ def test_batches_touch_only_their_keys(spark):
     assert current_rows(spark, path, ["k"]).where("k = 7").first()["v"] == "z"
 
 
+def test_a_batch_reads_the_buckets_of_its_keys_once(spark, monkeypatch):
+    path = scratch_path(spark, "buckets")
+    write_changes(spark.range(5000).selectExpr("id AS k", "'a' AS v"), path, "start", ["k"])
+    held = current_rows(spark, path, ["k"], spark.createDataFrame([(7,)], "k long"))
+    read = held._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in read and "_bucket" in read.split("PartitionFilters: [")[1].split("]")[0]
+    assert held.collect() == [(7, "a")]
+    buckets = spark.read.parquet(path).groupBy("_bucket").count().collect()
+    assert len(buckets) == changes.BUCKETS and max(r["count"] for r in buckets) < 200
+
+    calls = []
+    monkeypatch.setattr(files, "current_rows", lambda *a, **k: calls.append(1) or current_rows(*a, **k))
+    scans = []
+    monkeypatch.setattr(load, "cut_and_count", lambda df, label, counts: scans.append(plan_of(df).count("FileScan parquet [k")) or cut_and_count(df, label, counts))
+    assert upsert_batch(spark.createDataFrame([("7", "b"), ("9999", "c")], "k string, v string"), "b2", path, FLOW) == {"inserted": 1, "updated": 1}
+    assert calls == [1] and scans == [0, 1]
+    assert changes.batches(spark, path) == {"start": 1, "b2": 2}
+
+
+def test_change_table_keeps_types_and_columns(spark):
+    path = scratch_path(spark, "kept-types")
+    write_changes(spark.createDataFrame([(1, "a", 2.5)], "k long, v string, x double"), path, "007", ["k"])
+    write_changes(spark.createDataFrame([("2", "b")], "k string, v string"), path, "7", ["k"])
+    assert rows(current_rows(spark, path, ["k"])) == [(1, "a", 2.5), (2, "b", None)]
+    assert changes.batches(spark, path) == {"007": 1, "7": 2}
+    with pytest.raises(Exception, match="k cannot hold x"):
+        write_changes(spark.createDataFrame([("x", "b")], "k string, v string"), path, "8", ["k"])
+
+
 def test_two_writers_do_not_meet(spark):
     path = stored(spark, "two", [(1, "a")])
     for name, key in (("x-0", "2"), ("y-0", "3")):
