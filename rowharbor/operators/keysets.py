@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 
@@ -11,13 +13,22 @@ def reconcile_keys(left: DataFrame, left_key: str, right: DataFrame, right_key:
     Both sides are stacked and reduced by key, which counts repeated keys before the
     single shuffle; NULL is not a key.
     """
-    marked = left.select(F.col(left_key).alias("key"), F.lit(True).alias("l"), F.lit(False).alias("r")).unionByName(
-        right.select(F.col(right_key).alias("key"), F.lit(False).alias("l"), F.lit(True).alias("r"))
-    )
-    return (
-        marked.where("key IS NOT NULL")
-        .groupBy("key")
-        .agg(F.bool_or("l").alias("in_left"), F.bool_or("r").alias("in_right"))
+    marked = left.select(F.col(left_key).alias("key"), F.lit(True).alias("l")).unionByName(right.select(F.col(right_key).alias("key"), F.lit(False).alias("l")))
+    return key_sides(marked)
+
+
+def key_sides(marked: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
+    """Which sides hold each ``key``, where ``l`` says which side a row is from; within each of ``groups``."""
+    return marked.where("key IS NOT NULL").groupBy(*groups, "key").agg(F.bool_or("l").alias("in_left"), F.bool_or(~F.col("l")).alias("in_right"))
+
+
+def side_counts(sides: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
+    """Missing, existing, referenced and loaded keys, per group or in one row."""
+    return sides.groupBy(*groups).agg(
+        F.count_if(F.expr("in_left AND NOT in_right")).alias("total_missing"),
+        F.count_if("in_right").alias("existing_count"),
+        F.count_if("in_left").alias("referenced_count"),
+        F.count_if(F.expr("in_left AND in_right")).alias("loaded_count"),
     )
 
 
@@ -33,12 +44,7 @@ def loaded_keys(referenced: DataFrame, ref_key: str, existing: DataFrame, key: s
 
 def missing_summary(referenced: DataFrame, ref_key: str, existing: DataFrame, key: str) -> DataFrame:
     """One row: missing, existing, referenced and loaded key counts."""
-    return reconcile_keys(referenced, ref_key, existing, key).agg(
-        F.count_if(F.expr("in_left AND NOT in_right")).alias("total_missing"),
-        F.count_if("in_right").alias("existing_count"),
-        F.count_if("in_left").alias("referenced_count"),
-        F.count_if(F.expr("in_left AND in_right")).alias("loaded_count"),
-    )
+    return side_counts(reconcile_keys(referenced, ref_key, existing, key))
 
 
 def missing_topk(referenced: DataFrame, ref_key: str, existing: DataFrame, key: str, k: int = 100) -> DataFrame:

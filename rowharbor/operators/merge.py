@@ -180,9 +180,10 @@ def verify_load(before: DataFrame, after: DataFrame, processed: DataFrame) -> Da
     counted = one.select(
         rows(before).alias("rows_before"), "rows_after", rows(processed).alias("rows_processed")
     ).withColumn("rows_added", F.col("rows_after") - F.col("rows_before"))
-    return counted.withColumn(
-        "warning",
-        F.when((F.col("rows_added") == 0) & (F.col("rows_processed") > 0), "no rows were added").when(
-            F.col("rows_added") < F.col("rows_processed"), "fewer rows added than processed"
-        ),
-    )
+    return counted.withColumn("warning", load_warning())
+
+
+def load_warning() -> Column:
+    """Text for a load that added fewer rows than it processed, from ``rows_added`` and ``rows_processed``."""
+    added, processed = F.col("rows_added"), F.col("rows_processed")
+    return F.when((added == 0) & (processed > 0), "no rows were added").when(added < processed, "fewer rows added than processed")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -21,9 +22,11 @@ from rowharbor.operators.clean import (
 )
 from rowharbor.operators.coerce import REASON, STAGE, TYPED, check_types
 from rowharbor.operators.keys import generate_keys
-from rowharbor.operators.merge import ARRIVED, CHANGE, KEPT, STORED, arrived, merged_change, merged_value, side_by_side
+from rowharbor.operators.keysets import key_sides, side_counts
+from rowharbor.operators.merge import ARRIVED, CHANGE, KEPT, STORED, arrived, load_warning, merged_change, merged_value, side_by_side
 from rowharbor.operators.references import chained_orphans, fk_all_or_nothing, fk_flags, fk_reason, missing_key_spread, same_family
 from rowharbor.operators.validate import UNIQUE_REASON, constraint_reason, pk_reason, range_reason
+from rowharbor.plans.order import load_order
 from rowharbor.session import cut_and_count, cut_lineage, fits_broadcast
 from rowharbor.spec import ForeignKey, SpecError, TableSpec
 
@@ -330,6 +333,9 @@ class RunResult:
     results: dict[str, LoadResult] = field(default_factory=dict)
     errors: dict[str, str] = field(default_factory=dict)
     emptied: dict[str, DataFrame] = field(default_factory=dict)
+    #: Descriptions of the tables that ran, in the order they ran in, and all tables as the run leaves them.
+    specs: list[TableSpec] = field(default_factory=list)
+    stored: dict[str, DataFrame] = field(default_factory=dict)
 
     def snapshots(self) -> dict[str, DataFrame]:
         """The tables that the run has changed: those loaded, and those emptied because a parent was replaced."""
@@ -363,6 +369,50 @@ class RunResult:
         ran = ran.withColumn("notes", F.coalesce("notes", F.lit("")))
         return ran.select(columns).unionByName(failed, allowMissingColumns=True)
 
+    def references(self) -> DataFrame:
+        """``table, column, parent, key, in_left, in_right``: every value that a loaded or orphaned row refers to, and every value there is.
+
+        All references of all tables are stacked and reduced in one aggregation; values are compared as text.
+        """
+        parts = []
+        for spec in self.specs:
+            result = self.results[spec.name]
+            for fk in spec.foreign_keys:
+                if fk.parent not in self.stored or fk.column not in result.changes.columns:
+                    continue
+                names = [F.lit(n).alias(c) for n, c in ((spec.name, "table"), (fk.column, "column"), (fk.parent, "parent"))]
+                for side, rows, column in (("l", result.changes, fk.column), ("l", result.fk_rejected, fk.column), ("r", self.stored[fk.parent], fk.parent_column)):
+                    if column in rows.columns:
+                        parts.append(rows.select(*names, F.col(f"`{column}`").cast("string").alias("key"), F.lit(side == "l").alias("l")))
+        if not parts:
+            raise SpecError("no table that was loaded refers to another")
+        return key_sides(reduce(DataFrame.unionAll, parts), ["table", "column", "parent"])
+
+    def missing_keys(self) -> DataFrame:
+        """Every referenced value that does not exist after the run."""
+        return self.references().where("in_left AND NOT in_right").select("table", "column", "parent", F.col("key").alias("value"))
+
+    def missing_summary(self) -> DataFrame:
+        """Per reference: missing, existing, referenced and loaded values."""
+        return side_counts(self.references(), ["table", "column", "parent"])
+
+    def issues(self) -> DataFrame:
+        """What is wrong with the rejected rows of each table, in plain words, and what to do about it."""
+        noted = reduce(DataFrame.unionByName, [r.notes for r in self.results.values()])
+        reasons = noted.groupBy("table").agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "reason"))), lambda x: x["reason"]).alias("reasons"))
+        return M.issues(self.metrics().join(reasons, "table").withColumn("sheet", F.col("table")))
+
+    def verification(self, spark: SparkSession) -> DataFrame:
+        """Rows before, after and added of every table that was merged into, from the counts of its load, with a warning where fewer were added than processed."""
+        rows = [
+            (name, r.tally[KEPT] + r.tally["updated"] + r.tally["unchanged"], r.tally["inserted"], sum(r.tally[s] for s in M.LOADED))
+            for name, r in self.results.items()
+            if not r.replaced
+        ]
+        counted = spark.createDataFrame(rows, "table string, rows_before bigint, rows_added bigint, rows_processed bigint")
+        counted = counted.withColumn("rows_after", F.col("rows_before") + F.col("rows_added"))
+        return counted.select("table", "rows_before", "rows_after", "rows_processed", "rows_added", load_warning().alias("warning"))
+
     def metrics(self) -> DataFrame:
         """Load metrics of all tables that ran."""
         parts = [r.counts for r in self.results.values()]
@@ -384,23 +434,28 @@ def load_all(
     seqs: Mapping[str, str] | None = None,
     category: str | None = None,
 ) -> RunResult:
-    """Load tables in the given order, each against the snapshots of those before it.
+    """Load tables, parents before the tables that refer to them, each against the snapshots of those before it.
 
-    A table that fails is recorded and the others go on. ``only`` narrows the run to
+    Where tables refer to each other in a circle, a parent that comes later counts with its stored rows and with the keys
+    that arrive for it. A table that fails is recorded and the others go on. ``only`` narrows the run to
     some tables and ``category`` to one load category; the others still serve as parents.
     """
     run = RunResult()
-    stored = dict(targets)
-    for spec in specs:
+    stored = run.stored
+    stored.update(targets)
+    ordered = load_order(specs)
+    for place, spec in enumerate(ordered):
         if (only is not None and spec.name not in only) or (category and spec.category != category):
             continue
         try:
             if spec.name not in batches:
                 raise SpecError(f"no batch named {spec.name!r}")
+            parents = stored | _later_parents(spec, ordered[place + 1 :], stored, batches)
             result = load_table(
-                batches[spec.name], spec, stored[spec.name], stored, mode, dry_run, (seqs or {}).get(spec.name)
+                batches[spec.name], spec, stored[spec.name], parents, mode, dry_run, (seqs or {}).get(spec.name)
             )
             run.results[spec.name], stored[spec.name] = result, result.snapshot
+            run.specs.append(spec)
             if result.replaced:
                 for name in _descendants(spec.name, specs) - set(run.results):
                     run.emptied[name] = stored[name] = stored[name].limit(0)
@@ -409,6 +464,23 @@ def load_all(
     return run
 
 
+def _later_parents(
+    spec: TableSpec, later: Sequence[TableSpec], stored: Mapping[str, DataFrame], batches: Mapping[str, DataFrame]
+) -> dict[str, DataFrame]:
+    """The key columns of parents that are loaded after ``spec``: the stored keys and those that arrive."""
+    found = {}
+    for parent in later:
+        columns = sorted({fk.parent_column for fk in spec.foreign_keys if fk.parent == parent.name})
+        if not columns or parent.name not in batches or parent.name not in stored:
+            continue
+        rows = prepare(batches[parent.name], parent)
+        columns = [c for c in columns if c in rows.columns]
+        typed = check_types(rows.select(columns), {c: parent.types[c] for c in columns if c in parent.types}, parent.keep_time, parent.real_bools)
+        held = stored[parent.name].select([F.col(f"`{c}`") for c in columns if c in stored[parent.name].columns])
+        found[parent.name] = held.unionByName(typed.select(f"{TYPED}.*"), allowMissingColumns=True)
+    return found
+
+
 def _descendants(name: str, specs: Sequence[TableSpec]) -> set[str]:
     """Tables that refer to a table, directly or through others; a replaced table takes their rows along."""
     found: set[str] = set()

@@ -39,6 +39,13 @@ def read_tables(
     return out
 
 
+def table_names(spark: SparkSession, folder: str, fmt: str = "parquet") -> list[str]:
+    """Names of the tables of a folder, sorted."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/*.{fmt}")
+    found = pattern.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(pattern)
+    return sorted(s.getPath().getName().removesuffix(f".{fmt}") for s in found or [])
+
+
 def loaded_counts(loaded: LoadedTables, spark: SparkSession) -> DataFrame:
     """Name, row count (NULL when the table failed) and error of every requested table, sorted by name."""
     schema = T.StructType(
