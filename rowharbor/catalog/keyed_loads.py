@@ -121,3 +121,29 @@ def _idempotent(spark, d):
     stored = U.upsert(target, incoming, KEY)
     counts = M.status_counts(U.classify_changes(stored, incoming, KEY), "orders", "change")
     return M.idempotent_note(M.load_metrics(counts))
+
+
+#: The target keeps order keys as 32-bit numbers of cents; some arriving prices are beyond them.
+NARROW_TARGET = "SELECT order_id, CAST(FLOOR(price) AS INT) AS price, status FROM {t}"
+WIDE_INCOMING = """SELECT order_id, CASE WHEN order_id % 7 = 0 THEN 9999999999 + order_id ELSE CAST(FLOOR(price) AS BIGINT) END AS price, status FROM {t}"""
+OVERFLOW = BOTH + f""", t AS ({NARROW_TARGET.format(t="upsert_target")}), i AS ({WIDE_INCOMING.format(t="upsert_incoming")}),
+    bad AS (SELECT * FROM i WHERE price > 2147483647), good AS (SELECT * FROM i WHERE price IS NULL OR price <= 2147483647)"""
+
+
+def overflow_sides(spark, d):
+    target, incoming = sides(spark, d)
+    return spark.sql(NARROW_TARGET, t=target), spark.sql(WIDE_INCOMING, t=incoming)
+
+
+@query(
+    "upsert_overflow",
+    OVERFLOW + " SELECT order_id, CAST(price AS INTEGER) AS price, status FROM good UNION ALL SELECT * FROM t WHERE order_id NOT IN (SELECT order_id FROM good)",
+)
+def _overflow(spark, d):
+    """Arriving values that the stored column cannot hold leave the stored row as it is."""
+    return U.upsert_or_reject(*overflow_sides(spark, d), KEY)[0]
+
+
+@query("upsert_overflow_rejected", OVERFLOW + " SELECT *, 'Value out of range in price(int)' AS rejection_reason FROM bad")
+def _overflow_rejected(spark, d):
+    return U.upsert_or_reject(*overflow_sides(spark, d), KEY)[1]

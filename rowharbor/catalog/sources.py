@@ -9,6 +9,7 @@ from rowharbor.catalog.conversions import COERCE_TYPES, TYPE_REASON_SQL
 from rowharbor.catalog.fixtures import TABLES, table, with_fixtures
 from rowharbor.operators import validate as V
 from rowharbor.operators.coerce import coerce_table
+from rowharbor.plans.order import read_batches
 from rowharbor.session import scratch_path
 from rowharbor.sources import tables as S
 from rowharbor.sources import text as X
@@ -146,3 +147,23 @@ def _stream_files(spark, d):
     )
     started.awaitTermination()
     return spark.read.parquet(target)
+
+
+#: Target tables and the names they are configured to be read under.
+CONFIGURED = {"orders": " ORDERS", "customer": "no such sheet", "line_item": "lineitem", "part": "Part ", "gone": "supp"}
+READ_UNDER = {"orders": "orders", "customer": "customer", "line_item": "lineitem", "part": "part"}
+
+
+@query(
+    "read_tables_tolerant",
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS target, '{n}' AS read_under, (SELECT COUNT(*) FROM {n}) AS n_rows, CAST(NULL AS VARCHAR) AS error" for t, n in READ_UNDER.items()
+    )
+    + " UNION ALL SELECT 'gone', NULL, NULL, 'no table named ''supp'' or ''gone''; close names: supplier'",
+)
+def _tolerant(spark, d):
+    """Tables under names that differ in case, blanks or are not there, with the fallback to the target's own name."""
+    loaded, names = read_batches(spark, d, CONFIGURED)
+    under = spark.createDataFrame(list(names.items()), "table_name string, read_under string")
+    counted = S.loaded_counts(loaded, spark).join(under, "table_name", "left")
+    return counted.select(F.col("table_name").alias("target"), "read_under", "n_rows", "error")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from rowharbor.catalog import query
@@ -15,6 +17,7 @@ from rowharbor.catalog.conversions import (
     sql_number_error,
 )
 from rowharbor.catalog.fixtures import table, with_fixtures
+from rowharbor.operators.keys import number_rows
 from rowharbor.operators.metrics import run_totals
 from rowharbor.plans.load import load_all, load_table
 from rowharbor.session import scratch_path
@@ -156,7 +159,7 @@ def _load_notes(spark, d):
 
 
 def star_specs() -> list[TableSpec]:
-    """Nations to line items in load order."""
+    """Nations to line items, parents first, with all their columns and references."""
     return [
         TableSpec("nation", ["n_nationkey"], {"n_nationkey": "int", "n_name": "str", "n_regionkey": "int"}),
         TableSpec(
@@ -165,6 +168,17 @@ def star_specs() -> list[TableSpec]:
             {"c_custkey": "int", "c_name": "str", "c_nationkey": "int", "c_acctbal": "float", "c_mktsegment": "str"},
             foreign_keys=[ForeignKey("c_nationkey", "nation", "n_nationkey")],
         ),
+        TableSpec(
+            "supplier",
+            ["s_suppkey"],
+            {"s_suppkey": "int", "s_name": "str", "s_nationkey": "int", "s_acctbal": "float"},
+            foreign_keys=[ForeignKey("s_nationkey", "nation", "n_nationkey")],
+        ),
+        TableSpec(
+            "part",
+            ["p_partkey"],
+            {"p_partkey": "int", "p_name": "str", "p_brand": "str", "p_type": "str", "p_size": "int", "p_retailprice": "float"},
+        ),
         TableSpec(
             "orders",
             ["o_orderkey"],
@@ -188,34 +202,56 @@ def star_specs() -> list[TableSpec]:
                 "l_linenumber": "int",
                 "l_quantity": "float",
                 "l_extendedprice": "float",
+                "l_discount": "float",
+                "l_tax": "float",
+                "l_returnflag": "str",
+                "l_linestatus": "str",
                 "l_shipdate": "date",
             },
-            foreign_keys=[ForeignKey("l_orderkey", "orders", "o_orderkey")],
+            foreign_keys=[
+                ForeignKey("l_orderkey", "orders", "o_orderkey"),
+                ForeignKey("l_partkey", "part", "p_partkey"),
+                ForeignKey("l_suppkey", "supplier", "s_suppkey"),
+            ],
         ),
     ]
 
 
-def star_run(spark, d):
-    specs = star_specs()
+#: What decides which of the line items of a key is the last.
+LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"]
+SUBSETS = {"nation": "nation_subset", "part": "part_subset"}
+
+
+def star_run(spark, d, specs=None, mode="initial"):
+    specs = specs or star_specs()
     batches = {}
     for spec in specs:
-        source = table(spark, d, "nation_subset" if spec.name == "nation" else spec.name)
-        batches[spec.name] = source.select([F.col(c).cast("string").alias(c) for c in spec.types])
+        source = table(spark, d, SUBSETS.get(spec.name, spec.name))
+        order = [F.struct(*LINE_ORDER).alias("line_order")] if spec.name == "lineitem" else []
+        batches[spec.name] = source.select([F.col(c).cast("string").alias(c) for c in spec.types] + order)
     targets = {s.name: spark.createDataFrame([], s.storage_schema()) for s in specs}
-    return load_all(batches, specs, targets, mode="initial")
-
-
-STAR_SQL = """WITH c AS (SELECT *, c_nationkey % 5 <> 0 AS ok FROM customer),
-o AS (SELECT o_orderkey, c.ok FROM orders JOIN c ON o_custkey = c_custkey),
-l AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem),
-lo AS (SELECT l.*, o.ok FROM l JOIN o ON l_orderkey = o_orderkey),
+    return load_all(batches, specs, targets, mode=mode, seqs={"lineitem": "line_order"})
+
+
+STAR_SQL = (
+    with_fixtures("part_subset")
+    + f""", c AS (SELECT *, c_nationkey % 5 <> 0 AS ok FROM customer),
+s AS (SELECT *, s_nationkey % 5 <> 0 AS ok FROM supplier),
+o AS (SELECT o_orderkey, o_custkey, c.ok FROM orders JOIN c ON o_custkey = c_custkey),
+l AS (SELECT * FROM lineitem QUALIFY ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber
+  ORDER BY {', '.join(f'{c} DESC' for c in LINE_ORDER)}) = 1),
+lo AS (SELECT l.*, o.ok AND s.ok AND p_partkey IS NOT NULL AS ok FROM l JOIN o ON l_orderkey = o_orderkey JOIN s ON l_suppkey = s_suppkey
+  LEFT JOIN part_subset ON l_partkey = p_partkey),
 m AS (
 SELECT 'nation' AS "table", COUNT(*) AS read_rows, COUNT(*) AS valid_rows, CAST(0 AS BIGINT) AS rejected_rows,
   CAST(0 AS BIGINT) AS deduplicated, COUNT(*) AS inserted FROM nation WHERE n_nationkey % 5 <> 0
+UNION ALL SELECT 'part', COUNT(*), COUNT(*), 0, 0, COUNT(*) FROM part_subset
 UNION ALL SELECT 'customer', COUNT(*), COUNT(*), COUNT(*) FILTER (WHERE NOT ok), 0, COUNT(*) FILTER (WHERE ok) FROM c
+UNION ALL SELECT 'supplier', COUNT(*), COUNT(*), COUNT(*) FILTER (WHERE NOT ok), 0, COUNT(*) FILTER (WHERE ok) FROM s
 UNION ALL SELECT 'orders', COUNT(*), COUNT(*), COUNT(*) FILTER (WHERE NOT ok), 0, COUNT(*) FILTER (WHERE ok) FROM o
 UNION ALL SELECT 'lineitem', (SELECT COUNT(*) FROM lineitem), COUNT(*), COUNT(*) FILTER (WHERE NOT ok),
   (SELECT COUNT(*) FROM lineitem) - COUNT(*), COUNT(*) FILTER (WHERE ok) FROM lo)"""
+)
 
 
 @query("load_all_metrics", STAR_SQL + " SELECT * FROM m")
@@ -234,6 +270,92 @@ def _load_all_totals(spark, d):
     return run_totals(star_run(spark, d).metrics())
 
 
+@query("load_all_lineitem", STAR_SQL + " SELECT * EXCLUDE (ok) REPLACE (CAST(l_shipdate AS DATE) AS l_shipdate, CAST(l_linenumber AS BIGINT) AS l_linenumber) FROM lo WHERE ok")
+def _load_all_lineitem(spark, d):
+    """The line items that are left once each of their three parents is checked."""
+    return star_run(spark, d).snapshots()["lineitem"]
+
+
+def circular_specs() -> list[TableSpec]:
+    """The same tables, children first, and nations that refer to their customers' table in a circle."""
+    specs = {s.name: s for s in reversed(star_specs())}
+    back = ForeignKey("n_nationkey", "customer", "c_nationkey")
+    specs["nation"] = replace(specs["nation"], foreign_keys=[back])
+    return list(specs.values())
+
+
+@query("load_all_any_order", STAR_SQL + " SELECT * FROM m")
+def _any_order(spark, d):
+    """Descriptions in reverse and with a circle: the same run, as every nation has customers."""
+    return star_run(spark, d, circular_specs()).metrics().drop("updated", "unchanged")
+
+
+def _missing_sql(child: str, column: str, parent: str, key: str, rows: str, keys: str) -> str:
+    return f"""SELECT '{child}' AS "table", '{column}' AS "column", '{parent}' AS parent,
+    (SELECT COUNT(*) FROM (SELECT {column} FROM {rows} EXCEPT SELECT {key} FROM {keys})) AS total_missing, (SELECT COUNT(DISTINCT {key}) FROM {keys}) AS existing_count,
+    (SELECT COUNT(DISTINCT {column}) FROM {rows}) AS referenced_count, (SELECT COUNT(*) FROM (SELECT {column} FROM {rows} INTERSECT SELECT {key} FROM {keys})) AS loaded_count"""
+
+
+STAR_REFERENCES = [
+    ("customer", "c_nationkey", "nation", "n_nationkey", "c", "(SELECT * FROM nation WHERE n_nationkey % 5 <> 0)"),
+    ("supplier", "s_nationkey", "nation", "n_nationkey", "s", "(SELECT * FROM nation WHERE n_nationkey % 5 <> 0)"),
+    ("orders", "o_custkey", "customer", "c_custkey", "o", "(SELECT * FROM c WHERE ok)"),
+    ("lineitem", "l_orderkey", "orders", "o_orderkey", "l", "(SELECT * FROM o WHERE ok)"),
+    ("lineitem", "l_partkey", "part", "p_partkey", "l", "part_subset"),
+    ("lineitem", "l_suppkey", "supplier", "s_suppkey", "l", "(SELECT * FROM s WHERE ok)"),
+]
+
+
+@query("load_all_missing", STAR_SQL + " " + " UNION ALL ".join(_missing_sql(*r) for r in STAR_REFERENCES))
+def _load_all_missing(spark, d):
+    """Per reference of a run: how many of the values it refers to exist after it."""
+    return star_run(spark, d).missing_summary()
+
+
+@query(
+    "load_all_missing_keys",
+    STAR_SQL
+    + " "
+    + " UNION ALL ".join(
+        f"""SELECT '{t}' AS "table", '{c}' AS "column", '{p}' AS parent, CAST({c} AS VARCHAR) AS value FROM (SELECT {c} FROM {rows} EXCEPT SELECT {k} FROM {keys})"""
+        for t, c, p, k, rows, keys in STAR_REFERENCES
+    ),
+)
+def _load_all_missing_keys(spark, d):
+    return star_run(spark, d).missing_keys()
+
+
+@query(
+    "load_all_verified",
+    STAR_SQL
+    + """, grown AS (SELECT "table", CAST(0 AS BIGINT) AS rows_before, inserted AS rows_after, inserted AS rows_processed, inserted AS rows_added FROM m)
+    SELECT *, CASE WHEN rows_added = 0 AND rows_processed > 0 THEN 'no rows were added' WHEN rows_added < rows_processed THEN 'fewer rows added than processed' END AS warning FROM grown""",
+)
+def _load_all_verified(spark, d):
+    """Row counts before and after every load of a run, as its own writes counted them."""
+    return star_run(spark, d, mode="incremental").verification(spark)
+
+
+#: A chain of every order to the one before it, broken where an order's key is a multiple of a thousand.
+CHAIN = TableSpec(
+    "chain", ["id"], {"id": "int", "before": "int"}, foreign_keys=[ForeignKey("before", "chain", "id")]
+)
+CHAIN_SQL = """WITH RECURSIVE n AS (SELECT ROW_NUMBER() OVER (ORDER BY o_orderkey) AS id FROM orders),
+r AS (SELECT id, CASE WHEN id = 1 THEN NULL WHEN id % 997 = 0 THEN -id ELSE id - 1 END AS before FROM n),
+good AS (SELECT id FROM r WHERE id < 997)
+SELECT id, before FROM r WHERE id IN (SELECT id FROM good)"""
+
+
+@query("fk_self_chain", CHAIN_SQL)
+def _self_chain(spark, d):
+    """Rows that refer to the row before them: all that follow a broken link go, in a few rounds for any length of the chain."""
+    order = number_rows(table(spark, d, "orders").select("o_orderkey"), "o_orderkey", 1, "id")
+    before = F.when(F.col("id") == 1, F.lit(None)).when(F.col("id") % 997 == 0, -F.col("id")).otherwise(F.col("id") - 1)
+    batch = order.select(F.col("id").cast("string").alias("id"), before.cast("string").alias("before"))
+    empty = spark.createDataFrame([], CHAIN.storage_schema())
+    return load_table(batch, CHAIN, empty, {"chain": empty}).snapshot
+
+
 FLOW = TableSpec(
     name="orders_flow",
     pk=["order_id"],

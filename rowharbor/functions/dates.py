@@ -1,7 +1,13 @@
-"""Text to date. A text that is not a usable date becomes NULL; nothing is rejected."""
+"""Text to date. A text that is not a usable date becomes NULL; nothing is rejected.
+
+Every layout is rewritten to year, month and day by one chain of replacements, each a no-op for the texts of other layouts, so a text
+passes through once and nothing is computed twice; the result depends on the text and the reference year alone.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
 from rowharbor.functions.text import VALUE_TOKENS, is_missing, strip
@@ -11,102 +17,60 @@ END_OF_TIME = "9999-12-31"
 LAST_YEAR = 2200
 FIRST_DAY = "1677-09-22"
 
+#: Two-digit years land within fifty years of this one.
+REFERENCE_YEAR = 2026
+
 _CLOCK = (
     r"[ T]+([01]?[0-9]|2[0-3]):([0-5]?[0-9])(?::([0-5]?[0-9])(?:\.([0-9]+))?)?"
     r"(?: ?([AaPp])[Mm])?(?: ?(?:Z|UTC|GMT|[+-][0-9]{2}:?[0-9]{2}))?$"
 )
 _ISO = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
-_YEAR_FIRST = r"^([0-9]{4})[-/.]([0-9]{1,2})[-/.]([0-9]{1,2})$"
-_COMPACT = r"^([0-9]{4})([0-9]{2})([0-9]{2})$"
-_NUMERIC = r"^([0-9]{1,2})[-/.]([0-9]{1,2})[-/.]([0-9]{4}|[0-9]{2})$"
-_YEAR_MONTH = r"^([0-9]{4})[-/]([0-9]{1,2})$"
-_MONTH_YEAR = r"^([0-9]{1,2})[-/]([0-9]{4})$"
-_YEAR = r"^([0-9]{4})$"
-_MONTH_NAME = (
-    r"(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec|january|february|march|april|june|july|august"
-    r"|sept|september|october|november|december)"
-)
+_ISO_WITH_CLOCK = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}" + _CLOCK
 _WEEKDAY = r"^(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*,? +"
+_MONTHS = "january february march april may june july august september october november december".split()
+#: The first three letters of a month that is written out, cut to three, or ``sept``.
+_NAME = r"(?=(?:" + "|".join([*_MONTHS, "sept", *(m[:3] for m in _MONTHS)]) + r")(?![a-z]))([a-z]{3})[a-z]*"
 _SEP = r"(?: *[-/., ] *|)"
-_DAY_NAME_YEAR = rf"^([0-9]{{1,2}})(?:st|nd|rd|th)?{_SEP}{_MONTH_NAME}{_SEP}([0-9]{{4}}|[0-9]{{2}})$"
-_NAME_DAY_YEAR = rf"^{_MONTH_NAME}{_SEP}([0-9]{{1,2}})(?:st|nd|rd|th)?[-/., ] *([0-9]{{4}}|[0-9]{{2}})$"
-_YEAR_NAME_DAY = rf"^([0-9]{{4}})[-/., ]+{_MONTH_NAME}[-/., ]+([0-9]{{1,2}})$"
-_NAME_YEAR = rf"^{_MONTH_NAME}[-/., ]+([0-9]{{4}})$"
-
-
-def _quote(pattern: str) -> str:
-    """A pattern as a SQL string."""
-    return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _part(text: str, pattern: str, group: int) -> str:
-    return f"regexp_extract({text}, {_quote(pattern)}, {group})"
-
-
-def _ymd(year: str, month: str, day: str) -> str:
-    """Date of three texts, NULL when there is no such day."""
-    return f"try_cast(concat_ws('-', {year}, lpad({month}, 2, '0'), lpad({day}, 2, '0')) AS date)"
-
-
-def _full_year(y: str) -> str:
-    """Two-digit years land within fifty years of today."""
-    guess = f"2000 + try_cast({y} AS int)"
-    near = f"if({guess} >= year(current_date()) + 50, {guess} - 100, {guess})"
-    return f"if(length({y}) = 4, {y}, cast({near} AS string))"
+_DAY = r"([0-9]{1,2})(?:st|nd|rd|th)?"
+_YEAR = r"([0-9]{4}|[0-9]{2})"
+
+#: Layouts, and where year, month and day stand in them. The first that matches turns the text into ``year|month|day``.
+_LAYOUTS = (
+    (rf"^{_DAY}{_SEP}{_NAME}{_SEP}{_YEAR}$", "$3|$2|$1"),
+    (rf"^{_NAME}{_SEP}{_DAY}[-/., ] *{_YEAR}$", "$3|$1|$2"),
+    (rf"^([0-9]{{4}})[-/., ]+{_NAME}[-/., ]+([0-9]{{1,2}})$", "$1|$2|$3"),
+    (rf"^{_NAME}[-/., ]+([0-9]{{4}})$", "$2|$1|1"),
+    (r"^([0-9]{4})[-/.]([0-9]{1,2})[-/.]([0-9]{1,2})$", "$1|$2|$3"),
+    (rf"^(0?[0-9]|1[0-2])[-/.]([0-9]{{1,2}})[-/.]{_YEAR}$", "$3|$1|$2"),
+    (rf"^([0-9]{{1,2}})[-/.]([0-9]{{1,2}})[-/.]{_YEAR}$", "$3|$2|$1"),
+    (r"^([0-9]{4})([0-9]{2})([0-9]{2})$", "$1|$2|$3"),
+    (r"^([0-9]{4})[-/]([0-9]{1,2})$", "$1|$2|1"),
+    (r"^([0-9]{1,2})[-/]([0-9]{4})$", "$2|$1|1"),
+    (r"^([0-9]{4})$", "$1|1|1"),
+)
+#: Days outside of what is kept, by their text: years after ``LAST_YEAR`` and days before ``FIRST_DAY``.
+_NOT_KEPT = r"^(?!1677-09-2[2-9]|1677-09-30|1677-1[0-2]|167[89]|16[89]|1[7-9]|2[01]|2200)"
 
 
-def _month_number(name: str) -> str:
-    return f"cast((instr('janfebmaraprmayjunjulaugsepoctnovdec', left({name}, 3)) + 2) div 3 AS string)"
+def _below(n: int) -> str:
+    """Pattern of the two-digit numbers below ``n``."""
+    tens, ones = divmod(n, 10)
+    parts = ([f"[0-{tens - 1}][0-9]"] if tens else []) + ([f"{tens}[0-{ones - 1}]"] if ones else [])
+    return "|".join(parts) or "(?!)"
 
 
-def _numeric_day(t: str) -> str:
-    """SQL for the date of a text made of digits and separators."""
-    a, b, y = (_part(t, _NUMERIC, i) for i in (1, 2, 3))
-    year = _full_year(y)
-    return (
-        f"CASE WHEN {t} RLIKE {_quote(_YEAR_FIRST)} THEN {_ymd(*(_part(t, _YEAR_FIRST, i) for i in (1, 2, 3)))}"
-        f" WHEN {t} RLIKE {_quote(_NUMERIC)} THEN if(try_cast({a} AS int) <= 12, {_ymd(year, a, b)}, {_ymd(year, b, a)})"
-        f" WHEN {t} RLIKE {_quote(_COMPACT)} THEN {_ymd(*(_part(t, _COMPACT, i) for i in (1, 2, 3)))}"
-        f" WHEN {t} RLIKE {_quote(_YEAR_MONTH)} THEN {_ymd(_part(t, _YEAR_MONTH, 1), _part(t, _YEAR_MONTH, 2), '1')}"
-        f" WHEN {t} RLIKE {_quote(_MONTH_YEAR)} THEN {_ymd(_part(t, _MONTH_YEAR, 2), _part(t, _MONTH_YEAR, 1), '1')}"
-        f" WHEN {t} RLIKE {_quote(_YEAR)} THEN {_ymd(t, '1', '1')} END"
-    )
-
-
-def _named_day(t: str) -> str:
-    """SQL for the date of a lower-case text that names the month."""
-    layouts = (
-        (_DAY_NAME_YEAR, 3, 2, 1),
-        (_NAME_DAY_YEAR, 3, 1, 2),
-        (_YEAR_NAME_DAY, 1, 2, 3),
-        (_NAME_YEAR, 2, 1, None),
-    )
-    cases = [
-        f"WHEN {t} RLIKE {_quote(p)} THEN "
-        + _ymd(_full_year(_part(t, p, y)), _month_number(_part(t, p, m)), _part(t, p, d) if d else "1")
-        for p, y, m, d in layouts
-    ]
-    return "CASE " + " ".join(cases) + " END"
-
-
-def _let(name: str, value: str, body: str) -> str:
-    """SQL that computes ``value`` once for a ``body`` that names it."""
-    return f"transform(array({value}), {name} -> {body})[0]"
-
-
-#: Lambda from a text to its date. A lambda is computed per row outside generated code,
-#: which keeps the code of the common layout small enough to be compiled.
-_ANY_DAY = "whole -> " + _let(
-    "bare",
-    f"regexp_replace(whole, {_quote(_CLOCK)}, '')",
-    "CASE WHEN bare RLIKE '[A-Za-z]' THEN "
-    + _let("named", f"regexp_replace(lower(bare), {_quote(_WEEKDAY)}, '')", _named_day("named"))
-    + f" ELSE {_numeric_day('bare')} END",
-)
-_KEPT_DAY = f"day -> year(day) <= {LAST_YEAR} AND day >= DATE '{FIRST_DAY}'"
+def _day_text(text: Column, reference_year: int) -> Column:
+    """``yyyy-MM-dd`` of a text in any layout; anything else for a text that is no date or not kept."""
+    century, turn = divmod(reference_year + 50, 100)
+    steps = [(_CLOCK, ""), (_WEEKDAY, ""), *_LAYOUTS, (rf"^({_below(turn)})\|", f"{century}$1|"), (r"^([0-9]{2})\|", f"{century - 1}$1|")]
+    found = F.regexp_replace(text, *steps[0])
+    found = reduce(lambda t, step: F.regexp_replace(t, *step), steps[1:], F.lower(found))
+    found = reduce(lambda t, m: F.replace(t, F.lit(f"|{m[1][:3]}|"), F.lit(f"|{m[0]:02}|")), enumerate(_MONTHS, 1), found)
+    dashed = F.translate(F.regexp_replace(found, r"\|(?=[0-9](?:\||$))", "|0"), "-|", "x-")
+    return F.regexp_replace(dashed, _NOT_KEPT, "x")
 
 
-def to_date(c: Column) -> Column:
+def to_date(c: Column, reference_year: int = REFERENCE_YEAR) -> Column:
     """Date part of a text.
 
     Any text holding the end-of-time marker is that date; years after 2200, days
@@ -114,18 +78,18 @@ def to_date(c: Column) -> Column:
     first, or day first when ``a`` is above 12.
     """
     text = strip(c)
-    days = F.call_function("transform", F.array(text), F.expr(_ANY_DAY))
-    other = F.get(F.call_function("filter", days, F.expr(_KEPT_DAY)), F.lit(0))
+    # The common layout needs no parsing beyond the cast; its texts sort like its days.
+    kept = lambda day: F.when(day.between(FIRST_DAY, f"{LAST_YEAR}-12-31"), day.try_cast("date"))
     return (
         F.when(is_missing(c, VALUE_TOKENS), F.lit(None).cast("date"))
         .when(F.contains(c, F.lit(END_OF_TIME)), F.lit(END_OF_TIME).cast("date"))
-        # The common layout needs no parsing beyond the cast; its texts sort like its days.
-        .when(text.rlike(_ISO), F.when(text.between(FIRST_DAY, f"{LAST_YEAR}-12-31"), text.try_cast("date")))
-        .when(text.rlike("[0-9]"), other)
+        .when(text.rlike(_ISO), kept(text))
+        .when(text.rlike(_ISO_WITH_CLOCK), kept(F.left(text, F.lit(10))))
+        .when(text.rlike("[0-9]"), F.try_to_date(_day_text(text, reference_year), "yyyy-MM-dd"))
     )
 
 
-def to_datetime(c: Column) -> Column:
+def to_datetime(c: Column, reference_year: int = REFERENCE_YEAR) -> Column:
     """As :func:`to_date` but keeping the time of day as written (no time zone)."""
     text = strip(c)
     g = F.regexp_extract
@@ -144,4 +108,4 @@ def to_datetime(c: Column) -> Column:
         fraction,
     )
     clock = F.when(text.rlike(_CLOCK) & ~F.contains(c, F.lit(END_OF_TIME)), clock).otherwise(F.lit("00:00:00"))
-    return F.concat_ws(" ", to_date(c).cast("string"), clock).try_cast("timestamp_ntz")
+    return F.concat_ws(" ", to_date(c, reference_year).cast("string"), clock).try_cast("timestamp_ntz")

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rowharbor.functions.dates import to_date, to_datetime
+from rowharbor.functions.dates import REFERENCE_YEAR, to_date, to_datetime
 from rowharbor.functions.json_text import to_json_or_array
 from rowharbor.functions.numbers import digits, float_problem, int_problem, parse_float, parse_int
 from rowharbor.functions.text import VALUE_TOKENS, null_if_token, to_bool
@@ -26,13 +26,13 @@ def _cell_text(c: Column, word: str) -> Column:
     return digits(text) if word in ("int", "float") else null_if_token(text, VALUE_TOKENS)
 
 
-def _value(text: Column, word: str, keep_time: bool, real_bools: bool) -> Column:
+def _value(text: Column, word: str, keep_time: bool, real_bools: bool, reference_year: int) -> Column:
     if word == "int":
         return parse_int(text)
     if word == "float":
         return parse_float(text)
     if word == "date":
-        return to_datetime(text) if keep_time else to_date(text)
+        return to_datetime(text, reference_year) if keep_time else to_date(text, reference_year)
     if word == "dict":
         return to_json_or_array(text)
     if word == "bool" and real_bools:
@@ -48,7 +48,9 @@ def _problem(text: Column, value: Column, word: str) -> Column | None:
     return F.when(text.isNotNull() & value.isNull(), message)
 
 
-def check_types(df: DataFrame, types: Mapping[str, str], keep_time: bool = False, real_bools: bool = False) -> DataFrame:
+def check_types(
+    df: DataFrame, types: Mapping[str, str], keep_time: bool = False, real_bools: bool = False, reference_year: int = REFERENCE_YEAR
+) -> DataFrame:
     """Add the typed row as a struct and the reason of the first failing column in declared order.
 
     Cell text, value and reason are three projections in a row, so every cell is
@@ -58,7 +60,7 @@ def check_types(df: DataFrame, types: Mapping[str, str], keep_time: bool = False
     present = {c: w for c, w in types.items() if c in df.columns}
     texts = df.withColumns({_IN + c: _cell_text(F.col(f"`{c}`"), w) for c, w in present.items()})
     values = texts.withColumns(
-        {_OUT + c: _value(F.col(f"`{_IN}{c}`"), w, keep_time, real_bools) for c, w in present.items()}
+        {_OUT + c: _value(F.col(f"`{_IN}{c}`"), w, keep_time, real_bools, reference_year) for c, w in present.items()}
     )
     problems = [
         p

@@ -85,7 +85,7 @@ def judge(df: DataFrame, spec: TableSpec) -> DataFrame:
     data = [c for c in df.columns if c != ROW_SEQ]
     place = {c: f"c{i}" for i, c in enumerate(data)}
     placed = df.select(*[F.col(f"`{c}`").alias(place[c]) for c in data], F.col(ROW_SEQ), pk_reason(spec.pk).alias("pk_reason"))
-    checked = check_types(placed, {place[c]: w for c, w in spec.types.items() if c in place}, spec.keep_time, spec.real_bools)
+    checked = check_types(placed, {place[c]: w for c, w in spec.types.items() if c in place}, spec.keep_time, spec.real_bools, spec.reference_year)
     typed = {c: F.col(f"{TYPED}.{place[c]}") for c in data}
     stage = F.when(F.col("pk_reason").isNotNull(), "pk").when(F.col(REASON).isNotNull(), "type")
     judged = checked.withColumns({STAGE: stage, REASON: F.coalesce("pk_reason", REASON), RULE: constraint_reason(spec, data, typed.__getitem__)})

@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, types as T
 
+from rowharbor.functions.dates import REFERENCE_YEAR
+
 #: The type words a table description may use.
 TYPE_WORDS = ("int", "float", "date", "dict", "str", "bool")
 
@@ -62,6 +64,8 @@ class TableSpec:
     evolve: bool = True
     keep_time: bool = False
     real_bools: bool = False
+    #: Two-digit years land within fifty years of this one.
+    reference_year: int = REFERENCE_YEAR
 
     def __post_init__(self) -> None:
         if not self.pk:

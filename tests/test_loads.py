@@ -14,7 +14,10 @@ from rowharbor.operators.clean import evolve_schema
 from rowharbor.operators.validate import fill_defaults
 from rowharbor.plans import load
 from rowharbor.plans.load import error_records, load_all, load_table
-from rowharbor.session import cut_and_count, scratch_path
+from rowharbor.plans.order import load_order
+from rowharbor import session
+from rowharbor.operators import references
+from rowharbor.session import cut_and_count, cut_lineage, scratch_path
 from rowharbor.sources import changes
 from rowharbor.sources.changes import current_rows, rewrite, write_changes
 from rowharbor.sources.tables import read_rejects
@@ -353,3 +356,110 @@ def test_run_record_rules(spark):
 def test_no_window_without_a_partition(spark, sf_dir):
     df = spark.createDataFrame([(0, None)], "_row_seq long, id string")
     assert "Window" not in plan_of(K.generate_keys(df, "id"))
+
+
+def test_load_order():
+    spec = lambda name, *parents: TableSpec(name, ["k"], {"k": "int"}, foreign_keys=[ForeignKey("k", p, "k") for p in parents])
+    names = lambda *specs: [s.name for s in load_order(specs)]
+    assert names(spec("c", "b"), spec("b", "a"), spec("a")) == ["a", "b", "c"]
+    assert names(spec("y"), spec("x"), spec("z", "y")) == ["y", "x", "z"]
+    assert names(spec("a", "a", "elsewhere"), spec("b", "a")) == ["a", "b"]
+    circle = [spec("hangs", "r"), spec("r", "q"), spec("q", "p"), spec("p", "r", "top"), spec("top")]
+    assert names(*circle) == names(*reversed(circle)) == ["top", "p", "q", "r", "hangs"]
+    assert names() == []
+
+
+def test_a_circle_of_tables_loads_in_any_order(spark):
+    a = TableSpec("a", ["k"], {"k": "int", "b": "int"}, foreign_keys=[ForeignKey("b", "b", "k")])
+    b = TableSpec("b", ["k"], {"k": "int", "a": "int"}, foreign_keys=[ForeignKey("a", "a", "k")])
+    batches = {"a": spark.createDataFrame([("1", "1"), ("2", "9")], "k string, b string"), "b": spark.createDataFrame([("1", "1"), ("3", "2")], "k string, a string")}
+    empty = {s.name: spark.createDataFrame([], s.storage_schema()) for s in (a, b)}
+    for specs in ([a, b], [b, a]):
+        run = load_all(batches, specs, empty)
+        assert not run.errors and rows(run.snapshots()["a"]) == [(1, 1)] and rows(run.snapshots()["b"]) == [(1, 1)]
+        assert rows(run.missing_keys()) == [("a", "b", "b", "9"), ("b", "a", "a", "2")]
+        assert rows(run.verification(spark).drop("warning")) == [("a", 0, 1, 1, 1), ("b", 0, 1, 1, 1)]
+
+
+def test_run_lists_issues(spark):
+    spec = TableSpec("t", ["k"], {"k": "int", "n": "float"})
+    batch = spark.createDataFrame([("1", "x"), ("", "2"), ("3", "3")], "k string, n string")
+    run = load_all({"t": batch}, [spec], {"t": spark.createDataFrame([], spec.storage_schema())})
+    assert len(run.issues().collect()) == 2 and {r["table"] for r in run.issues().collect()} == {"t"}
+
+
+def test_long_chain_of_own_references(spark, monkeypatch):
+    chain = TableSpec("chain", ["id"], {"id": "int", "up": "int"}, foreign_keys=[ForeignKey("up", "chain", "id")])
+    stored = spark.createDataFrame([(-5, None)], chain.storage_schema())
+    batch = spark.range(10_000).selectExpr("CAST(id AS string) AS id", "CAST(CASE id WHEN 0 THEN -1 WHEN 9000 THEN -5 ELSE id - 1 END AS string) AS up")
+    rounds = []
+    monkeypatch.setattr(references, "cut_lineage", lambda df, label: rounds.append(label) or cut_lineage(df, label))
+    out = load_table(batch, chain, stored, {"chain": stored})
+    assert out.tally["rejected_fk"] == 9000 and out.tally["inserted"] == 1000
+    assert rounds.count("references") <= 20
+    assert out.fk_rejected.where("id = 8999").first()["rejection_reason"] == "Foreign key violation: up=8998 not found in chain.id"
+
+
+def test_own_references_against_brute_force(spark):
+    chain = TableSpec("chain", ["id"], {"id": "int", "up": "int"}, foreign_keys=[ForeignKey("up", "chain", "id")])
+    two = TableSpec("chain", ["id"], {"id": "int", "up": "int", "aside": "int"}, foreign_keys=[ForeignKey("up", "chain", "id"), ForeignKey("aside", "chain", "id")])
+    rng = random.Random(5)
+    for spec, width in ((chain, 1), (two, 2)):
+        data = [(i, *[rng.choice([None, rng.randrange(130), i, rng.randrange(100)]) for _ in range(width)]) for i in range(100)]
+        held = {100, 101, 110}
+        good = {r[0]: r[1:] for r in data}
+        while lost := {k for k, ups in good.items() if any(u is not None and u not in held and u not in good for u in ups)}:
+            good = {k: v for k, v in good.items() if k not in lost}
+        batch = spark.createDataFrame([tuple(None if v is None else str(v) for v in r) for r in data], ", ".join(f"{c} string" for c in spec.types))
+        stored = spark.createDataFrame([(k, *[None] * width) for k in held], spec.storage_schema())
+        out = load_table(batch, spec, stored, {"chain": stored})
+        assert {r["id"] for r in out.snapshot.collect()} == held | set(good)
+
+
+def test_names_of_the_batch_do_not_clash(spark):
+    names = ["_rule_reason", "_pk_reason", "_typed", "_raw", "_rn", "_hit0", "_spread", "_t_", "_i_k", "stored", "rejected", "seq", "c0"]
+    spec = TableSpec("t", ["k"], {"k": "int", "p": "int"}, foreign_keys=[ForeignKey("p", "u", "k")])
+    batch = spark.createDataFrame([("1", "1", *names), ("2", "9", *names), ("x", "1", *names)], ", ".join(f"`{c}` string" for c in ["k", "p", *names]))
+    parent = spark.createDataFrame([(1,)], "k long")
+    target = spark.createDataFrame([(1, 1, "old")], "k long, p long, _typed string")
+    out = load_table(batch, spec, target, {"u": parent})
+    assert out.tally["updated"] == 1 and out.tally["rejected_fk"] == 1 and out.tally["rejected_type"] == 1
+    assert out.snapshot.select(names).collect() == [tuple(names)]
+    assert out.rejected.select(names).collect() == out.fk_rejected.select(names).collect() == [tuple(names)]
+
+
+def test_upsert_without_broadcast_reads_each_side_once(spark, conf, tmp_path):
+    spark.range(100).selectExpr("id AS k", "id AS v").write.parquet(f"{tmp_path}/t")
+    spark.range(50, 150).selectExpr("id AS k", "-id AS v").write.parquet(f"{tmp_path}/b")
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    target, batch = spark.read.parquet(f"{tmp_path}/t"), spark.read.parquet(f"{tmp_path}/b")
+    for df in (U.upsert(target, batch, ["k"]), U.classify_changes(target, batch, ["k"]), U.change_counts(target, batch, ["k"])):
+        plan = plan_of(df)
+        assert plan.count("FileScan") == 2 and plan.count("Join") == 1 and "Broadcast" not in plan
+    assert U.upsert(target, batch, ["k"]).agg(F.sum("v")).first()[0] == sum(range(50)) - sum(range(50, 150))
+
+
+def test_values_out_of_range_are_never_stored_as_null(spark, conf):
+    target = spark.createDataFrame([(1, 5)], "k int, v int")
+    for ansi in ("true", "false"):
+        conf(spark__sql__ansi__enabled=ansi)
+        for row in ((1, 9999999999), (9999999999, 1)):
+            batch = spark.createDataFrame([row], "k long, v long")
+            for load in (lambda: U.upsert(target, batch, ["k"]).collect(), lambda: U.replace(target, batch).collect()):
+                with pytest.raises(Exception, match="cannot hold 9999999999"):
+                    load()
+            snapshot, rejected = U.upsert_or_reject(target, batch, ["k"])
+            assert snapshot.collect() == [(1, 5)] and rejected.count() == 1
+
+
+def test_a_load_writes_twice(spark, monkeypatch):
+    spec = TableSpec("t", ["k"], {"k": "int", "v": "str"})
+    written = []
+    monkeypatch.setattr(load, "cut_lineage", lambda df, label: written.append(label) or session.cut_lineage(df, label))
+    monkeypatch.setattr(load, "cut_and_count", lambda df, label, counts: written.append(label) or cut_and_count(df, label, counts))
+    target = cut_lineage(spark.createDataFrame([(1, "a"), (5, "e")], "k long, v string"), "target")
+    out = load_table(spark.createDataFrame([("1", "b"), ("2", "c"), ("2", "d"), ("x", "y")], "k string, v string"), spec, target)
+    assert written == ["t-judged", "t-outcome"]
+    assert {s: n for s, n in out.tally.items() if n} == {"kept": 1, "updated": 1, "inserted": 1, "deduplicated": 1, "rejected_type": 1}
+    empty = load_table(target.limit(0), spec, target)
+    assert {s: n for s, n in empty.tally.items() if n} == {"kept": 2} and empty.snapshot.count() == 2
