@@ -7,7 +7,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
@@ -47,9 +48,30 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Folder of this driver's named scratch, apart from that of other drivers.
+_RUN = uuid.uuid4().hex
+_under: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path inside the shared folder that no earlier run has used."""
-    return f"{shared_folder(spark)}/rowharbor/{label}-{uuid.uuid4().hex}"
+    return "/".join([shared_folder(spark), "rowharbor", *_under[-1:], f"{label}-{uuid.uuid4().hex}"])
+
+
+@contextmanager
+def scratch_under(name: str) -> Iterator[None]:
+    """Scratch written within is kept together, so that :func:`drop_scratch` can delete it by name."""
+    _under.append(f"{_RUN}-{name}")
+    try:
+        yield
+    finally:
+        _under.pop()
+
+
+def drop_scratch(spark: SparkSession, name: str) -> None:
+    """Delete what was written under a name. DataFrames that still read it stop working."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/rowharbor/{_RUN}-{name}")
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame, label: str) -> DataFrame:

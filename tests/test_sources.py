@@ -9,6 +9,7 @@ from rowharbor.functions import messages as G
 from rowharbor.session import scratch_path
 from rowharbor.sources import tables as S
 from rowharbor.sources import text as X
+from rowharbor.session import cut_lineage, drop_scratch, scratch_under
 from rowharbor.spec import SpecError
 
 
@@ -104,3 +105,16 @@ def test_reason_kinds_do_not_quote_values(spark):
         "Foreign key violation: a not found in t.x",
         reasons[3],
     ]
+
+
+def test_scratch_is_dropped_by_name(spark):
+    with scratch_under("one"):
+        first = cut_lineage(spark.range(3), "kept")
+        with scratch_under("two"):
+            second = cut_lineage(spark.range(4), "kept")
+    outside = cut_lineage(spark.range(5), "kept")
+    drop_scratch(spark, "one")
+    assert (second.count(), outside.count()) == (4, 5)
+    with pytest.raises(Exception, match="(?i)not.exist"):
+        first.collect()
+    drop_scratch(spark, "never written")
