@@ -1,6 +1,7 @@
 """Byte-level BPE with a local rank file: encoding of whole texts and decoding to raw bytes.
 
-Long texts are cut before encoding, only where no match of the split pattern can reach across: between
+A long run of blanks is one match of the pattern but for its last character where text follows; it is encoded without the
+splitter, which would look ahead from every place of it. Other long texts are cut before encoding, only where no match of the split pattern can reach across: between
 a printable ASCII character and a following blank or line feed, and between an ASCII letter and an ASCII digit. The
 pattern looks ahead but never back, so each cut piece is split exactly as it would be within the whole text.
 
@@ -29,6 +30,11 @@ from rowharbor.llm.arrow_tasks import SLICE_ROWS, map_rows
 #: Code points after which a long text is cut at the next safe place.
 CUT_AFTER = 1 << 16
 
+#: White space as the split pattern knows it, and the length of a run that is not left to the splitter.
+BLANKS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_RUN = 4096
+_LONG_BLANKS = re.compile(f"[{BLANKS}]{{{LONG_RUN},}}")
+
 SAFE = re.compile(r"[!-~](?=[ \n])|[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])")
 
 
@@ -81,6 +87,14 @@ def encode_text(encoding: tiktoken.Encoding, text: str | None, cut_after: int =
         # Every other part is a name.
         parts = _names(tuple(added)).split(text)
         return [i for k, part in enumerate(parts) for i in ([added[part]] if k % 2 else encode_text(encoding, part, cut_after))]
+    if len(text) >= LONG_RUN and (run := _LONG_BLANKS.search(text)):
+        ids, start = [], 0
+        while run:
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            ids += encode_text(encoding, text[start : run.start()], cut_after)
+            ids += encoding._encode_single_piece(text[run.start() : end])
+            start, run = end, _LONG_BLANKS.search(text, run.end())
+        return ids + encode_text(encoding, text[start:], cut_after)
     if len(text) <= cut_after:
         return encoding.encode_ordinary(text)
     return [i for piece in safe_pieces(text, cut_after) for i in encoding.encode_ordinary(piece)]

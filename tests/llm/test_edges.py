@@ -266,3 +266,19 @@ def test_repeated_substrings_of_narrow_width(spark, monkeypatch, group):
 def test_no_clash(docs):
     assert set(minhash.near_duplicates(docs).columns) == {"doc_id", "n_shingles", "component_id", "kept"}
     assert docs.where(F.col("doc_id").isNull()).count() == 2
+
+
+def test_runs_of_blanks_of_any_length(spark, vocabulary):
+    plain = bpe.encoder(vocabulary.value, public_tokenizers.PATTERN)
+    for blank in (" ", "\n", "\r\x0b", "\u3000", " \n\t"):
+        for n in (bpe.LONG_RUN - 1, bpe.LONG_RUN, bpe.LONG_RUN + 1, 20_000):
+            run = (blank * n)[:n]
+            for text in (run, "a" + run, run + "b", "it's" + run + "'s 12" + run + run + "\x1c" + run, run[1:] + "\x1c" + run + "é"):
+                assert bpe.encode_text(plain, text) == plain.encode_ordinary(text)
+                assert bpe.encode_text(plain, text, 50) == plain.encode_ordinary(text)
+    millions = [" " * 5_000_000 + "x", "a" + "\n" * 5_000_000, "字" * 1_000_000, "\u3000" * 5_000_000]
+    docs = spark.createDataFrame(list(enumerate(millions)), "doc_id long, text string")
+    found = bpe.decode_documents(bpe.encode_documents(docs, vocabulary, public_tokenizers.PATTERN), vocabulary, public_tokenizers.PATTERN)
+    assert {r.doc_id: bytes(r.decoded).decode() for r in found.select("doc_id", "decoded").collect()} == dict(enumerate(millions))
+    pieces = packing.pack_documents(docs, vocabulary, public_tokenizers.PATTERN, added={"<|endoftext|>": 50256})
+    assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == {0, 1, 2, 3}
