@@ -284,17 +284,19 @@ def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
     return connected_components(cut_lineage(near.select("a", "b"), "line-links"))
 
 
-def repeated_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, max_documents: int = MAX_DOCUMENTS) -> DataFrame:
+def repeated_lines(
+    docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, max_documents: int = MAX_DOCUMENTS, row_id: str | None = None
+) -> DataFrame:
     """``row_id, doc_id, n_lines, n_repeated, removed, removed_short``: numbers of the lines (from 0) to be removed, per row.
 
     ``n_repeated`` counts the lines of ``min_chars`` or more whose class has another line, ``removed`` lists those that go and
-    ``removed_short`` the shorter ones; ``row_id`` is the input's where it has one.
+    ``removed_short`` the shorter ones; ``row_id`` names a column that tells the rows apart, without which they are numbered.
     """
-    row_id = F.col("row_id") if "row_id" in docs.columns else F.monotonically_increasing_id()
+    own_id = F.col(row_id) if row_id else F.monotonically_increasing_id()
     parts = F.split(F.col("text"), "\n")
     long = F.filter(F.transform(parts, lambda x, i: F.struct(i.alias("line"), F.xxhash64(x).alias("id"), (F.length(x) >= min_chars).alias("long"))), lambda s: s["long"])
     short = F.filter(F.transform(parts, lambda x, i: F.struct(i.alias("line"), F.xxhash64(x).alias("id"), ((F.length(x) < min_chars) & ~_blank(x)).alias("short"))), lambda s: s["short"])
-    rows = docs.select(row_id.alias("row_id"), "doc_id", F.coalesce(F.size(parts), F.lit(0)).alias("n"), long.alias("lines"), short.alias("short"))
+    rows = docs.select(own_id.alias("row_id"), "doc_id", F.coalesce(F.size(parts), F.lit(0)).alias("n"), long.alias("lines"), short.alias("short"))
     rows = cut_lineage(rows, "lines")
     classes = cut_lineage(line_classes(docs, edits, min_chars), "classes")
     places = rows.select("row_id", "doc_id", F.explode("lines").alias("s")).select("row_id", "doc_id", "s.line", "s.id")
@@ -336,7 +338,7 @@ def remove_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
     """The documents without the lines that are repeated too widely; ``n_chars`` follows the text where the input has it."""
     columns = docs.columns
     packed = cut_lineage(docs.select(F.struct(*columns).alias("doc"), F.monotonically_increasing_id().alias("row_id")), "numbered")
-    found = repeated_lines(packed.select("row_id", "doc.doc_id", "doc.text"), edits, min_chars, max_documents)
+    found = repeated_lines(packed.select("row_id", "doc.doc_id", "doc.text"), edits, min_chars, max_documents, "row_id")
     found = found.select("row_id", F.concat("removed", "removed_short").alias("removed"))
     cuts = cut_lineage(found.where(F.size("removed") > 0), "cuts")
     joined = packed.join(cuts, "row_id", "left")

@@ -119,3 +119,11 @@ def test_middles(spark):
     rows = [("", ""), ("a", ""), ("abc", "abc"), ("abxc", "abyyc"), ("aaa", "aaaa"), ("é\U0001f600x", "é\U0001f600y"), ("abab", "ab"), ("x" * 3000 + "1", "x" * 3000 + "2y")]
     got = spark.createDataFrame(rows, "l string, r string").select(lines.middles(F.col("l"), F.col("r")).alias("m")).collect()
     assert [tuple(r.m) for r in got] == [("", ""), ("a", ""), ("", ""), ("x", "yy"), ("", "a"), ("x", "y"), ("ab", ""), ("1", "2y")]
+
+
+def test_a_column_named_row_id_is_data(spark):
+    line = "a line of more than twenty-four characters that stands in ten documents"
+    docs = spark.createDataFrame([(i, f"{line}\nown {i}", 7) for i in range(10)], "doc_id long, text string, row_id int")
+    assert sorted(r.removed for r in lines.repeated_lines(docs).collect()) == [[]] + [[0]] * 9
+    left = lines.remove_lines(docs)
+    assert left.columns == ["doc_id", "text", "row_id"] and sum(line in r.text for r in left.collect()) == 1
