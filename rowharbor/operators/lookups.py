@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from rowharbor.functions.numbers import parse_number
@@ -13,6 +15,9 @@ NAME_LIMIT = 31
 PREFIX_CHECK = 25
 CLOSE_MATCHES = 5
 
+#: Characters of the runs by which names are listed.
+GRAM = 3
+
 
 def description_map(dim: DataFrame, description: str, id_column: str, order_column: str) -> DataFrame:
     """One id per description as it stands; the last row in ``order_column`` wins."""
@@ -151,18 +156,30 @@ def match_names(requested: DataFrame, name: str, available: DataFrame, available
     return best.select("requested_name", "_best.matched_name", "_best.tier")
 
 
-def _substrings(c: Column) -> Column:
-    """Every distinct substring of a name, the empty one included."""
-    size = F.char_length(c)
-    pieces = F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), F.greatest(size, F.lit(1))),
-            lambda start: F.transform(
-                F.sequence(F.lit(0), size - start + 1), lambda n: F.substring(c, start, n)
-            ),
-        )
-    )
-    return F.array_distinct(pieces)
+def _grams(c: Column, sizes: Sequence[int]) -> Column:
+    """The distinct runs of so many characters of a name; size 0 is the empty run."""
+    length = F.char_length(c)
+
+    def of(n: int) -> Column:
+        places = F.when(length >= n, F.sequence(F.lit(1), length - (n - 1))).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: F.substring(c, i, F.lit(n)))
+
+    return F.array_distinct(F.concat(*[F.array(F.lit("")) if n == 0 else of(n) for n in sizes]))
+
+
+def _contained(needles: DataFrame, needle: str, stacks: DataFrame, stack: str) -> DataFrame:
+    """Pairs of columns of both sides where a needle of more than ``GRAM`` characters lies within a stack.
+
+    A stack is listed under each of its grams, and a needle looks into the list of that of its grams that the fewest stacks have;
+    a needle with a gram that no stack has is settled by that. The pairs of a list are verified.
+    """
+    lists = stacks.select(*stacks.columns, F.explode(_grams(F.col(stack), [GRAM])).alias("_gram"))
+    sizes = lists.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    long = needles.where(F.char_length(needle) > GRAM)
+    asked = long.select(F.col(needle).alias("_needle"), F.explode(_grams(F.col(needle), [GRAM])).alias("_gram")).distinct()
+    rarest = asked.join(sizes, "_gram", "left").groupBy("_needle").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_gram")).alias("_best"))
+    keyed = long.join(rarest.where("_best.n > 0").select("_needle", "_best._gram"), F.col(needle) == F.col("_needle")).drop("_needle")
+    return keyed.join(lists, "_gram").where(F.contains(F.col(stack), F.col(needle))).drop("_gram")
 
 
 def _first_k(names: DataFrame, key: str, k: int, position: str | None = None) -> DataFrame:
@@ -177,10 +194,9 @@ def close_matches(
 ) -> DataFrame:
     """Up to ``k`` available names, in their order, that contain the requested name or lie within it.
 
-    Containment is equality with a substring, so both directions are equi-joins that
-    produce true matches only. Of the names behind one substring only the first ``k``
-    can be wanted, so no more than those enter the join. Meant for names, whose
-    substrings are few.
+    Names are listed by their runs of three characters, and the rarest run of the shorter text says which list to look
+    into, so work grows with the lengths of the names. A text of up to three characters is a run itself: of the names
+    that hold it, only the first ``k`` can be wanted.
     """
     wanted = (
         requested.select(F.col(name).alias("requested_name"))
@@ -191,12 +207,19 @@ def close_matches(
     base = available.select(F.col(available_name).alias("close_match"), F.col(order).alias("_order")).where(
         "close_match IS NOT NULL"
     )
-    low = base.withColumn("_low", F.lower("close_match"))
-    parts = _first_k(low.select("close_match", "_order", F.explode(_substrings(F.col("_low"))).alias("_part")), "_part", k)
-    containing = parts.join(wanted, F.col("_part") == F.col("_want")).select("requested_name", "close_match", "_order")
-    want_parts = wanted.select("requested_name", F.explode(_substrings(F.col("_want"))).alias("_part"))
-    firsts = _first_k(low, "_low", k)
-    contained = want_parts.join(firsts, F.col("_part") == F.col("_low")).select("requested_name", "close_match", "_order")
+    shown = ["requested_name", "close_match", "_order"]
+    short = range(GRAM + 1)
+    # Of equal names only the first can be wanted.
+    firsts = _first_k(base.withColumn("_low", F.lower("close_match")), "_low", k)
+
+    by_run = _first_k(firsts.select("close_match", "_order", F.explode(_grams(F.col("_low"), short)).alias("_run")), "_run", k)
+    holds_short = by_run.join(wanted, F.col("_run") == F.col("_want")).select(shown)
+    holds_long = _contained(wanted, "_want", firsts, "_low").select(shown)
+
+    wanted_runs = wanted.select("requested_name", F.explode(_grams(F.col("_want"), short)).alias("_run"))
+    within_short = wanted_runs.join(firsts, F.col("_run") == F.col("_low")).select(shown)
+    within_long = _contained(firsts, "_low", wanted, "_want").select(shown)
+    containing, contained = holds_short.unionByName(holds_long), within_short.unionByName(within_long)
     pairs = containing.unionByName(contained).distinct()
     ranked = _first_k(pairs, "requested_name", k, "position")
     return ranked.select("requested_name", "position", "close_match")

@@ -222,17 +222,21 @@ def fk_cascade(
 ) -> dict[str, tuple[DataFrame, DataFrame]]:
     """Check tables in load order, each against the rows its parents have left.
 
-    Rejecting a parent row makes its children orphans in turn.
+    Rejecting a parent row makes its children orphans in turn. What the levels below need of a checked table, its
+    referenced columns, is written once; the rows of a table are read where they are and joined with the keys of their parents.
     """
-    valid: dict[str, DataFrame] = {}
+    asked = {fk.parent: set() for keys in fks.values() for fk in keys}
+    for keys in fks.values():
+        for fk in keys:
+            asked[fk.parent].add(fk.parent_column)
+    left: dict[str, DataFrame] = {}
     result: dict[str, tuple[DataFrame, DataFrame]] = {}
     for name, rows in tables:
-        flagged = fk_flags(rows, fks.get(name, ()), valid, mark_empty=False)
-        if any(fk.parent in valid for fk in fks.get(name, ())):
-            # Written once: both halves and all levels below read it, none repeats the levels above.
-            flagged = cut_lineage(flagged, f"{name}-checked")
-        valid[name] = flagged.where(F.col(REASON).isNull()).drop(REASON)
-        result[name] = valid[name], flagged.where(F.col(REASON).isNotNull())
+        own = fks.get(name, ())
+        result[name] = fk_split_many(rows, own, left, mark_empty=False)
+        columns = sorted(asked.get(name, set()) & set(rows.columns))
+        checked = any(fk.parent in left and fk.column in rows.columns for fk in own)
+        left[name] = cut_lineage(result[name][0].select(columns), f"{name}-keys") if checked and columns else rows
     return result
 
 

@@ -217,3 +217,11 @@ def test_first_failing_column_is_reported(spark):
     assert rejected.columns == ["a", "b", "other", "rejection_reason"]
     quoted = spark.createDataFrame([("it's",)], "a string")
     assert coerce_table(quoted, {"a": "float"})[1].first()["rejection_reason"].endswith('float: "it\'s"')
+
+
+def test_two_digit_years_follow_the_reference_year_alone(spark):
+    df = spark.createDataFrame([("1/2/75",), ("1/2/76",), ("5 mar 30",)], "v string")
+    years = lambda **k: [r[0].year for r in df.select(to_date(F.col("v"), **k)).collect()]
+    assert years() == [2075, 1976, 2030] and years(reference_year=1990) == [1975, 1976, 2030] and years(reference_year=1950) == [1975, 1976, 1930]
+    plan = df.select(to_date(F.col("v")), to_datetime(F.col("v")))._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and "current_date" not in plan

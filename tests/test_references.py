@@ -235,6 +235,31 @@ def test_close_matches_against_brute_force(spark):
     assert {w: got.get(w, []) for w in wanted} == {w: [a for a in known if w in a or a in w][:5] for w in wanted}
 
 
+def test_close_matches_of_long_and_odd_names(spark):
+    rng = random.Random(9)
+    long = ["".join(rng.choice("abcdefgh ") for _ in range(2000)) for _ in range(40)]
+    known = [*long, long[0][500:900], long[1][3:7].upper(), "", " ", "a", "Ab", "abc", "zz", "zzz", "É😀x😀", "abc", "abc", "abc", "abc", "abc", "abc"]
+    asked = [long[2][10:1500], long[3], "x" + long[4] + "y", "", "  ", "b", "AB ", "abc", "zzzz", "😀X", "no such", "zzz zz", long[5][:3], long[6][:4]]
+    got = {}
+    result = L.close_matches(spark.createDataFrame([(w,) for w in asked], "n string"), "n", spark.createDataFrame([(a, i) for i, a in enumerate(known)], "a string, o int"), "a", "o")
+    for r in result.orderBy("requested_name", "position").collect():
+        got.setdefault(r["requested_name"], []).append(r["close_match"])
+    plain = {w: [a for a in known if w.lower().strip() in a.lower() or a.lower() in w.lower().strip()][:5] for w in asked}
+    assert {w: got.get(w, []) for w in asked} == plain
+
+
+def test_cascade_writes_only_keys(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(R, "cut_lineage", lambda df, label: written.append((label, df.columns)) or df)
+    top = spark.createDataFrame([(1,)], "k long")
+    middle = spark.createDataFrame([(10, 1, "a"), (20, 2, "b")], "k long, up long, v string")
+    low = spark.createDataFrame([(100, 10), (200, 20), (300, None)], "k long, up long")
+    fks = {"middle": [ForeignKey("up", "top", "k")], "low": [ForeignKey("up", "middle", "k")]}
+    found = R.fk_cascade([("top", top), ("middle", middle), ("low", low)], fks)
+    assert written == [("middle-keys", ["k"])]
+    assert sorted(r["k"] for r in found["low"][0].collect()) == [100, 300] and [r["k"] for r in found["low"][1].collect()] == [200]
+
+
 def test_primary_key_split(spark):
     rows = spark.createDataFrame([("1", "a"), ("", "a"), (None, "nan"), ("NaN", "b")], "x string, y string")
     valid, rejected = split_pk(rows, ["x", "y"])
