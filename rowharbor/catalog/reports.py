@@ -185,6 +185,7 @@ def _sorted(spark, d):
     return M.sorted_report(run_records(spark, d))
 
 
+# The wording of issues and actions in the SQL of this module, as in ``functions/messages.py``.
 @query(
     "issues",
     with_fixtures("raw_reasons")

@@ -17,6 +17,7 @@ from rowharbor.catalog.conversions import (
     sql_number_error,
 )
 from rowharbor.catalog.fixtures import table, with_fixtures
+from rowharbor.functions.messages import ACTION_REASON_FORMAT, ACTION_REASON_MISSING, ACTION_REASON_OTHER, REASON_FORMAT
 from rowharbor.operators.keys import number_rows
 from rowharbor.operators.metrics import run_totals
 from rowharbor.plans.load import load_all, load_table
@@ -158,6 +159,22 @@ def _load_notes(spark, d):
     return orders_load(spark, d).notes.select("reason", "n")
 
 
+@query(
+    "load_all_actions",
+    LOAD_SQL
+    + f""" SELECT 'orders' AS sheet, 'orders' AS "table", issue, action_needed FROM (
+      SELECT 'Missing Required Data: Some rows are missing values in the ''o_orderkey'' column(s).' AS issue, '{ACTION_REASON_MISSING}' AS action_needed
+      UNION ALL SELECT '{REASON_FORMAT}', '{ACTION_REASON_FORMAT}'
+      UNION ALL SELECT 'Data Quality Issue: Deduplicated ' || ((SELECT COUNT(*) FROM passed) - (SELECT COUNT(*) FROM kept))
+        || ' duplicate rows on keys [''o_orderkey'']', '{ACTION_REASON_OTHER}'
+      UNION ALL SELECT 'Data Quality Issue: ' || (SELECT COUNT(*) FROM bad) || ' rows rejected due to missing foreign key references', '{ACTION_REASON_OTHER}')""",
+)
+def _load_all_actions(spark, d):
+    """What a run has to say about its rejected rows, in plain words, each with what to do."""
+    targets = {"orders": spark.sql(TARGET_SQL, orders=table(spark, d, "orders")), "customer": table(spark, d, "customer_subset")}
+    return load_all({"orders": table(spark, d, "raw_orders")}, [ORDERS], targets, seqs={"orders": "row_seq"}).issues()
+
+
 def star_specs() -> list[TableSpec]:
     """Nations to line items, parents first, with all their columns and references."""
     return [
