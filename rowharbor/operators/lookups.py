@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from rowharbor.functions.numbers import parse_number
 from rowharbor.functions.text import VALUE_TOKENS, is_missing, strip
-from rowharbor.operators.references import missing_key_spread
+from rowharbor.operators.references import keyed_join
 
 #: Limits of the name matching tiers.
 NAME_LIMIT = 31
@@ -26,10 +26,10 @@ def description_map(dim: DataFrame, description: str, id_column: str, order_colu
 
 
 def _left_lookup(rows: DataFrame, value: Column, keys: DataFrame, key: str) -> DataFrame:
-    """Left join on a text value; rows without a value are spread, hot values can be split."""
+    """Left join on a text value; partitions of hot values and of rows without one can be split."""
     valued = rows.withColumn("_value", value)
-    left, right, condition, helpers = missing_key_spread(valued, keys, ["_value"], [key])
-    return left.join(right, condition, "left").drop(*helpers, key)
+    right, condition = keyed_join(valued, keys, ["_value"], [key])
+    return valued.join(right, condition, "left").drop(key)
 
 
 def lookup_id(

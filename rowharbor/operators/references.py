@@ -5,17 +5,15 @@ picks the join: broadcast where it measured the key set to be small, sort-merge
 otherwise. No side is ever broadcast by a hint. For the sort-merge case the joins are
 laid out so that a value held by a large share of the child is split over tasks:
 
-* rows whose key is missing match nothing; they carry a spread number so that they
-  are not all hashed to the same task;
-* the distinct keys get their own exchange (the spread number is part of the join
-  key), which is the shape adaptive execution needs to split a hot child partition.
+* the distinct keys get their own exchange, which is the shape adaptive execution needs to split a hot child partition;
+* rows whose key is missing match nothing; they share a partition, which is split in the same way.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -25,8 +23,6 @@ from rowharbor.session import cut_lineage
 from rowharbor.spec import ForeignKey, SpecError
 
 REASON = "rejection_reason"
-_CHILD_SPREAD = "_spread"
-_KEY_SPREAD = "_key_spread"
 
 #: Wording of a foreign-key rejection.
 FK_REASON = "Foreign key violation: "
@@ -37,26 +33,15 @@ FK_EMPTY_PARENT = " (reference table is empty)"
 _NUMERIC_KEY = r"^-?([0-9]+\.?[0-9]*|\.[0-9]+)$"
 
 
-def missing_key_spread(
-    rows: DataFrame, keys: DataFrame, row_cols: Sequence[str], key_cols: Sequence[str]
-) -> tuple[DataFrame, DataFrame, Column, list[str]]:
-    """Prepare an equi-join of ``rows`` with the unique ``keys``.
+def keyed_join(rows: DataFrame, keys: DataFrame, row_cols: Sequence[str], key_cols: Sequence[str]) -> tuple[DataFrame, Column]:
+    """The unique ``keys``, prepared for an equi-join with ``rows``, and the join condition.
 
-    Returns both sides, the join condition, and the helper columns to drop.
+    Keys that come from an aggregation lie where the join wants them already, and a join without an exchange of its own on
+    both sides cannot be split. The keys pass through an expression that gives them back unchanged but hides this.
     """
-    hashable = [f.name for f in rows.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    any_missing = reduce(or_, [F.col(f"`{c}`").isNull() for c in row_cols])
-    spread = F.xxhash64(*[F.col(f"`{c}`") for c in hashable])
-
-    def zero(columns: Sequence[str]) -> Column:
-        # Always zero, but not a constant to the optimizer: it has to stay a join key.
-        return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.lit(1))
-
-    left = rows.withColumn(_CHILD_SPREAD, F.when(any_missing, spread).otherwise(zero(row_cols)))
-    right = keys.withColumn(_KEY_SPREAD, zero(key_cols))
-    condition = reduce(and_, [left[r] == right[k] for r, k in zip(row_cols, key_cols)])
-    condition = condition & (left[_CHILD_SPREAD] == right[_KEY_SPREAD])
-    return left, right, condition, [_CHILD_SPREAD, _KEY_SPREAD]
+    unchanged = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in key_cols]), F.lit(1)) == 0
+    right = keys.withColumns({k: F.when(unchanged, F.col(f"`{k}`")) for k in key_cols})
+    return right, reduce(and_, [rows[f"`{r}`"] == right[f"`{k}`"] for r, k in zip(row_cols, key_cols)])
 
 
 def reference_keys(parent: DataFrame, column: str) -> DataFrame:
@@ -112,11 +97,10 @@ def with_hit(
         rows = child.withColumn(
             join_col, F.when(~is_missing(F.col(fk), REFERENCE_TOKENS), F.col(fk).cast("string"))
         )
-    left, right, condition, helpers = missing_key_spread(rows, keys.withColumn(hit, F.lit(True)), [join_col], [key])
-    joined = left.join(right, condition, "left")
+    right, condition = keyed_join(rows, keys.withColumn(hit, F.lit(True)), [join_col], [key])
+    joined = rows.join(right, condition, "left")
     found = F.col(join_col).isNull() | F.col(hit).isNotNull()
-    dropped = [*helpers, key] + ([join_col] if join_col != fk else [])
-    return joined.withColumn(hit, found).drop(*dropped)
+    return joined.withColumn(hit, found).drop(key, *([join_col] if join_col != fk else []))
 
 
 def _empty_suffix(parent: DataFrame, ref: str) -> Column:
@@ -275,9 +259,9 @@ def delete_cascade(removed_keys: DataFrame, chain: Sequence[tuple[str, DataFrame
     keys = removed_keys
     for name, rows, fk, own_key in chain:
         gone = keys.select(F.col(keys.columns[0]).alias("_gone")).where("_gone IS NOT NULL").distinct()
-        rows_s, gone_s, condition, helpers = missing_key_spread(rows, gone, [fk], ["_gone"])
-        left[name] = rows_s.join(gone_s, condition, "left_anti").drop(*helpers)
-        keys = rows_s.join(gone_s, condition, "left_semi").select(own_key)
+        gone, condition = keyed_join(rows, gone, [fk], ["_gone"])
+        left[name] = rows.join(gone, condition, "left_anti")
+        keys = rows.join(gone, condition, "left_semi").select(own_key)
     return left
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rowharbor.functions.text import KEY_TOKENS, is_missing
 from rowharbor.operators.coerce import REASON, STAGE
-from rowharbor.operators.references import missing_key_spread
+from rowharbor.operators.references import keyed_join
 from rowharbor.spec import SpecError, TableSpec
 
 #: Wording of rejections.
@@ -71,14 +71,8 @@ def check_unique(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         .where("_n > 1")
         .select(*[F.col(c).alias(f"_dup_{c}") for c in columns])
     )
-    spread_rows, spread_keys, condition, helpers = missing_key_spread(
-        complete, repeated, list(columns), [f"_dup_{c}" for c in columns]
-    )
-    return (
-        spread_rows.join(spread_keys, condition, "left_semi")
-        .drop(*helpers)
-        .withColumn(REASON, F.lit(UNIQUE_REASON % ", ".join(columns)))
-    )
+    keys, condition = keyed_join(complete, repeated, list(columns), [f"_dup_{c}" for c in columns])
+    return complete.join(keys, condition, "left_semi").withColumn(REASON, F.lit(UNIQUE_REASON % ", ".join(columns)))
 
 
 def check_length(df: DataFrame, lengths: Mapping[str, int]) -> DataFrame:

@@ -24,7 +24,7 @@ from rowharbor.operators.coerce import REASON, STAGE, TYPED, check_types
 from rowharbor.operators.keys import generate_keys
 from rowharbor.operators.keysets import key_sides, side_counts
 from rowharbor.operators.merge import ARRIVED, CHANGE, KEPT, STORED, arrived, load_warning, merged_change, merged_value, side_by_side
-from rowharbor.operators.references import chained_orphans, fk_all_or_nothing, fk_flags, fk_reason, missing_key_spread, same_family
+from rowharbor.operators.references import chained_orphans, fk_all_or_nothing, fk_flags, fk_reason, keyed_join, same_family
 from rowharbor.operators.validate import UNIQUE_REASON, constraint_reason, pk_reason, range_reason
 from rowharbor.plans.order import load_order
 from rowharbor.session import cut_and_count, cut_lineage, fits_broadcast
@@ -129,10 +129,10 @@ def _check_uniques(rows: DataFrame, spec: TableSpec, target: DataFrame) -> DataF
         if all(c in target.columns for c in (*columns, *spec.pk)):
             kept = target.join(rows.select(*spec.pk), list(spec.pk), "left_anti").dropna(subset=list(columns))
             used = repeated.unionByName(kept.select(*columns)).distinct()
-        left, right, condition, helpers = missing_key_spread(rows, used.toDF(*names).withColumn("_taken", F.lit(True)), list(columns), names)
+        right, condition = keyed_join(rows, used.toDF(*names).withColumn("_taken", F.lit(True)), list(columns), names)
         text = F.lit(UNIQUE_REASON % ", ".join(columns))
-        rows = left.join(right, condition, "left").withColumn(RULE, F.coalesce(RULE, F.when(F.col("_taken"), text)))
-        rows = rows.drop(*helpers, *names, "_taken")
+        rows = rows.join(right, condition, "left").withColumn(RULE, F.coalesce(RULE, F.when(F.col("_taken"), text)))
+        rows = rows.drop(*names, "_taken")
     return rows
 
 
