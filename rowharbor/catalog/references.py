@@ -85,6 +85,19 @@ def _fk_all(spark, d):
     return R.fk_flags(lines, LINE_FKS, line_parents(spark, d), all_reasons=True)
 
 
+@query(
+    "fk_orphan_pairs",
+    MANY
+    + """ SELECT 'l_orderkey' AS "column", CAST(l_orderkey AS VARCHAR) AS value FROM flagged WHERE r1 IS NOT NULL
+    UNION SELECT 'l_partkey', CAST(l_partkey AS VARCHAR) FROM flagged WHERE r2 IS NOT NULL
+    UNION SELECT 'l_suppkey', CAST(l_suppkey AS VARCHAR) FROM flagged WHERE r3 IS NOT NULL""",
+)
+def _fk_orphan_pairs(spark, d):
+    """The missing values of three keys, from one scan of the line items."""
+    names = F.array(*[F.lit(fk.column) for fk in LINE_FKS])
+    return R.orphan_pairs(table(spark, d, "lineitem"), LINE_FKS, line_parents(spark, d)).select(F.get(names, "ref").alias("column"), "value")
+
+
 @query(
     "fk_empty_parent",
     """SELECT o_orderkey, o_custkey, 'Foreign key violation: o_custkey=' || CAST(o_custkey AS VARCHAR)

@@ -155,6 +155,60 @@ def fk_flags(
     return flagged.withColumns(out).drop(*[f"_hit{i}" for i in range(len(tested))])
 
 
+def _numbered(number: Column) -> Column:
+    """A match key that equal numbers share."""
+    return F.concat(F.lit("n"), (number + F.lit(0.0)).cast("string"))
+
+
+def orphan_pairs(child: DataFrame, fks: Sequence[ForeignKey], parents: Mapping[str, DataFrame]) -> DataFrame:
+    """``ref, value``: the values of all keys (``ref`` counts them) that their parents lack, from one scan of the child and one join.
+
+    The distinct (key, value) pairs of the child meet the stacked keys of all parents. Where child and parent differ in type, a value
+    also matches as a number, so it takes part under two keys.
+    """
+    mixed = {i for i, fk in enumerate(fks) if not same_family(child, fk.column, parents[fk.parent], fk.parent_column)}
+    values, known = [], []
+    for i, fk in enumerate(fks):
+        own, parent = F.col(fk.column), parents[fk.parent].where(F.col(fk.parent_column).isNotNull())
+        ref = F.col(fk.parent_column)
+        values.append(F.struct(F.lit(i).alias("ref"), (F.when(~is_missing(own, REFERENCE_TOKENS), own.cast("string")) if i in mixed else own.cast("string")).alias("value")))
+        keys = F.array(ref.cast("string"))
+        if i in mixed:
+            number = F.when(ref.rlike(_NUMERIC_KEY), ref.try_cast("double")) if _text_like(parent, fk.parent_column) else ref.cast("double")
+            keys = F.array_compact(F.array(F.concat(F.lit("t"), ref.cast("string")), _numbered(number)))
+        known.append(parent.select(F.lit(i).alias("ref"), F.explode(keys).alias("key")))
+    pairs = child.select(F.explode(F.array(*values)).alias("p")).select("p.*").where("value IS NOT NULL").distinct()
+    both = F.array_compact(F.array(F.concat(F.lit("t"), F.col("value")), _numbered(parse_number(strip(F.col("value"))))))
+    asked = F.when(F.col("ref").isin(*mixed), both).otherwise(F.array("value")) if mixed else F.array("value")
+    keyed = pairs.select("ref", "value", F.explode(asked).alias("key"))
+    there = reduce(DataFrame.unionAll, known).distinct().withColumn("there", F.lit(True))
+    found = keyed.join(there, ["ref", "key"], "left").groupBy("ref", "value").agg(F.bool_or(F.col("there").isNotNull()).alias("found"))
+    return found.where("NOT found").select("ref", "value")
+
+
+def _orphan_flags(child: DataFrame, fks: Sequence[ForeignKey], parents: Mapping[str, DataFrame], mark_empty: bool) -> DataFrame:
+    """:func:`fk_flags` by the values that are missing, which are worked out and written once for all that read the result.
+
+    They are mostly few, so the child meets them where it is; keys without orphans take no join.
+    """
+    tested = [fk for fk in fks if fk.column in child.columns and fk.parent in parents]
+    reasons, flagged = [], child
+    if tested:
+        orphans = cut_lineage(orphan_pairs(child, tested, parents), "orphans")
+        broken = {r["ref"] for r in orphans.groupBy("ref").count().collect()}  # at most a row per key
+        for i in sorted(broken):
+            fk, key, hit = tested[i], f" orphan{i}", f" hit{i}"
+            mixed = not same_family(child, fk.column, parents[fk.parent], fk.parent_column)
+            kind = "string" if mixed else child.schema[fk.column].dataType
+            own = orphans.where(F.col("ref") == i).select(F.col("value").cast(kind).alias(key), F.lit(True).alias(hit))
+            value = F.col(f"`{fk.column}`").cast("string") if mixed else F.col(f"`{fk.column}`")
+            flagged = flagged.join(own, value == own[f"`{key}`"], "left")
+            reasons.append(F.when(F.col(f"`{hit}`"), fk_reason(fk, parents[fk.parent], mark_empty)))
+        flagged = flagged.withColumn(REASON, F.coalesce(*reasons) if reasons else F.lit(None).cast("string"))
+        return flagged.drop(*[f" {n}{i}" for i in broken for n in ("orphan", "hit")])
+    return flagged.withColumn(REASON, F.lit(None).cast("string"))
+
+
 def fk_split_many(
     child: DataFrame,
     fks: Sequence[ForeignKey],
@@ -164,13 +218,17 @@ def fk_split_many(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows that satisfy every foreign key, and the others with their first reason.
 
-    Policy ``skip`` lets all rows pass unchecked.
+    All keys are checked together when this is called, and both halves read the same outcome. Policy ``skip`` lets all
+    rows pass unchecked.
     """
     if policy == "skip":
         return child, child.limit(0).withColumn(REASON, F.lit(None).cast("string"))
     if policy != "filter":
         raise SpecError(f"unknown foreign key policy {policy!r}")
-    flagged = fk_flags(child, fks, parents, mark_empty=mark_empty)
+    return _halves(_orphan_flags(child, fks, parents, mark_empty))
+
+
+def _halves(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     return flagged.where(F.col(REASON).isNull()).drop(REASON), flagged.where(F.col(REASON).isNotNull())
 
 
@@ -190,15 +248,13 @@ def orphan_values(child: DataFrame, fk: ForeignKey, parent: DataFrame) -> DataFr
 def fk_all_or_nothing(child: DataFrame, fks: Sequence[ForeignKey], parents: Mapping[str, DataFrame]) -> DataFrame:
     """Rows marked ``accepted``: all true, or all false as soon as one row is an orphan.
 
-    The child itself is not joined: one scalar per key tells whether orphans exist.
+    The child itself is not joined: one scalar tells whether any key has orphans.
     """
     tested = [fk for fk in fks if fk.column in child.columns and fk.parent in parents]
-    orphans = [
-        orphan_values(child, fk, parents[fk.parent]).limit(1).agg(F.count(F.lit(1)).alias("n")).scalar()
-        for fk in tested
-    ]
-    accepted = reduce(and_, [n == 0 for n in orphans]) if orphans else F.lit(True)
-    return child.withColumn("accepted", accepted)
+    if not tested:
+        return child.withColumn("accepted", F.lit(True))
+    some = orphan_pairs(child, tested, parents).limit(1).agg(F.count(F.lit(1)).alias("n")).scalar()
+    return child.withColumn("accepted", some == 0)
 
 
 def fk_cascade(
@@ -217,7 +273,7 @@ def fk_cascade(
     result: dict[str, tuple[DataFrame, DataFrame]] = {}
     for name, rows in tables:
         own = fks.get(name, ())
-        result[name] = fk_split_many(rows, own, left, mark_empty=False)
+        result[name] = _halves(fk_flags(rows, own, left, mark_empty=False))
         columns = sorted(asked.get(name, set()) & set(rows.columns))
         checked = any(fk.parent in left and fk.column in rows.columns for fk in own)
         left[name] = cut_lineage(result[name][0].select(columns), f"{name}-keys") if checked and columns else rows

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rowharbor.operators import lookups as L
 from rowharbor.operators import references as R
 from rowharbor.operators.validate import check_unique, constraint_reason, split_pk
+from rowharbor.session import cut_lineage
 from rowharbor.spec import ForeignKey, SpecError, TableSpec
 
 
@@ -235,6 +236,36 @@ def test_close_matches_against_brute_force(spark):
     assert {w: got.get(w, []) for w in wanted} == {w: [a for a in known if w in a or a in w][:5] for w in wanted}
 
 
+def test_all_keys_are_checked_in_one_join(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(R, "cut_lineage", lambda df, label: written.append(df) or cut_lineage(df, label))
+    child = spark.createDataFrame(
+        [(1, 1, "1", "x", 5), (2, 9, "1.0", "y", 5), (3, None, "nan", None, 5), (4, 1, "2", "z", None), (5, 8, "-0", "q", 6)],
+        "i int, a int, b string, c string, d long",
+    )
+    parents = {
+        "p": spark.createDataFrame([(1,), (1,), (None,)], "id long"),
+        "n": spark.createDataFrame([(1.0,), (0.0,)], "id double"),
+        "t": spark.createDataFrame([("x",), ("y",)], "id string"),
+    }
+    fks = [ForeignKey("a", "p", "id"), ForeignKey("b", "n", "id"), ForeignKey("c", "t", "id"), ForeignKey("d", "absent", "id")]
+    valid, rejected = R.fk_split_many(child, fks, parents)
+    assert len(written) == 1 and plan_of(written[0]).count("Scan ExistingRDD[i#") == 1
+    assert sorted(r["i"] for r in valid.collect()) == [1, 3] and valid.columns == child.columns
+    reason = {r["i"]: r["rejection_reason"] for r in rejected.collect()}
+    assert reason == {
+        2: "Foreign key violation: a=9 not found in p.id",
+        4: "Foreign key violation: b=2 not found in n.id",
+        5: "Foreign key violation: a=8 not found in p.id",
+    }
+    lazily = R.fk_flags(child, fks, parents).where("rejection_reason IS NOT NULL").collect()
+    assert {r["i"]: r["rejection_reason"] for r in lazily} == reason
+    clean = R.fk_split_many(child.where("i = 1"), fks, parents)
+    assert "Join" not in plan_of(clean[0]) and clean[0].count() == 1 and clean[1].count() == 0
+    assert [r["accepted"] for r in R.fk_all_or_nothing(child.where("i IN (1, 3)"), fks, parents).collect()] == [True, True]
+    assert not any(r["accepted"] for r in R.fk_all_or_nothing(child, fks, parents).collect())
+
+
 def test_close_matches_of_long_and_odd_names(spark):
     rng = random.Random(9)
     long = ["".join(rng.choice("abcdefgh ") for _ in range(2000)) for _ in range(40)]
