@@ -5,7 +5,8 @@ segment that is moved by a bounded shift. Each distinct line is indexed by its s
 as long or up to ``edits`` shorter, at the shifts that the other segments leave possible. Lines that share a key are
 candidates; a list of up to ``SHORT_LIST`` gives its pairs. The lines of longer lists are compared by stricter keys instead: cut into
 ``PIECES`` pieces, two lines within ``edits`` edits agree in all pieces but ``edits``, up to small shifts between those, so
-everything outside each choice of pieces is a key. Candidates that share too few of some evenly spaced pieces are dropped,
+everything outside each choice of pieces is a key. Of those, only lines pair whose letter counts differ by no more than the edits
+can make them differ, which an index entry tells without the text. Candidates that share too few of some evenly spaced pieces are dropped,
 the others verified by banded bit-parallel edit distance: the band of ``2 * edits + 1`` diagonals lies in
 one integer, updated once per code point.
 
@@ -39,6 +40,8 @@ MAX_DOCUMENTS = 6
 SHORT_LIST = 64
 #: Pieces into which the lines of longer lists are cut.
 PIECES = 8
+#: Letters that are counted together.
+LETTERS = ("ae", "bi", "co", "du", "fs", "gt", "hn", "jr", "kl", "mv", "pw", "qx", "yz", "éè", "0123456789", " ")
 HOLES = "array<struct<n:int,more:int,own:int,parts:array<struct<a:int,b:int,d:int>>>>"
 #: Tables of at most so many rows of 16 bytes are broadcast.
 BROADCAST_ROWS = 1 << 20
@@ -99,11 +102,20 @@ def _shared_entries(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     return lists.where("members = 2").select("a", "b"), cut_lineage(entries.join(_sized(larger), "key"), "entries")
 
 
-def _pairs(entries: DataFrame) -> DataFrame:
-    """``a, b`` of each index entry with all entries of its key."""
-    owns = entries.where("own = 1").select("key", F.col("id").alias("x"))
+def letter_counts(text: Column) -> Column:
+    """How often the letters of each group stand in a text."""
+    return F.array(*[(F.length(text) - F.length(F.translate(text, letters + letters.upper() if letters.isalpha() else letters, ""))).cast("int") for letters in LETTERS])
+
+
+def _pairs(entries: DataFrame, edits: int) -> DataFrame:
+    """``a, b`` of each index entry with all entries of its key. Entries may have ``letters``: an edit changes two counts by one at most."""
+    own = ["key", F.col("id").alias("x")] + [F.col("letters").alias("others")] * ("letters" in entries.columns)
     # Two index entries of a key meet once.
-    return entries.join(owns, "key").where("id > x OR (own = 0 AND id != x)").select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b"))
+    met = entries.join(entries.where("own = 1").select(own), "key").where("id > x OR (own = 0 AND id != x)")
+    if "letters" in entries.columns:
+        apart = [F.abs(F.col("letters")[i] - F.col("others")[i]) for i in range(len(LETTERS))]
+        met = met.where(reduce(Column.__add__, apart) <= 2 * edits)
+    return met.select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b"))
 
 
 def candidate_pairs(source, edits: int) -> DataFrame:
@@ -111,13 +123,14 @@ def candidate_pairs(source, edits: int) -> DataFrame:
     keyed = cut_lineage(keyed_lines(source(None), edits).dropDuplicates(["id"]), "line-keys")
     entries = keyed.select("id", F.posexplode("keys").alias("slot", "key")).where("key IS NOT NULL")
     pairs, shared = _shared_entries(entries.select("id", "key", (F.col("slot") <= edits + 1).cast("int").alias("own")))
-    found = pairs.unionByName(_pairs(shared.where(F.col("members") <= SHORT_LIST)))
+    found = pairs.unionByName(_pairs(shared.where(F.col("members") <= SHORT_LIST), edits))
     ids = cut_lineage(shared.where(F.col("members") > SHORT_LIST).select("id").distinct(), "long-lists")
     if not ids.isEmpty():
         texts = source(_sized(ids)).dropDuplicates(["id"])
-        holes = texts.select("id", F.explode(hole_keys(F.col("text"), edits)).alias("k")).select("id", "k.key", "k.own").where("key IS NOT NULL")
+        counted = texts.select("id", letter_counts(F.col("text")).alias("letters"), hole_keys(F.col("text"), edits).alias("keys"))
+        holes = counted.select("id", "letters", F.explode("keys").alias("k")).select("id", "letters", "k.key", "k.own").where("key IS NOT NULL")
         pairs, shared = _shared_entries(cut_lineage(holes, "hole-keys"))
-        found = found.unionByName(pairs).unionByName(_pairs(shared))
+        found = found.unionByName(pairs).unionByName(_pairs(shared, edits))
     return cut_lineage(found.distinct(), "candidates")
 
 

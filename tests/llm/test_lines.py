@@ -127,3 +127,19 @@ def test_a_column_named_row_id_is_data(spark):
     assert sorted(r.removed for r in lines.repeated_lines(docs).collect()) == [[]] + [[0]] * 9
     left = lines.remove_lines(docs)
     assert left.columns == ["doc_id", "text", "row_id"] and sum(line in r.text for r in left.collect()) == 1
+
+
+def test_an_edit_changes_letter_counts_by_two_at_most(spark):
+    rng = random.Random(4)
+    letters = "abcxyzAÉé 019字\U0001f600"
+    pairs = []
+    for _ in range(300):
+        a = [rng.choice(letters) for _ in range(rng.randint(0, 30))]
+        b = list(a)
+        for _ in range(lines.EDITS):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randint(0, 1)] = [rng.choice(letters)] * rng.randint(0, 1)
+        pairs.append(("".join(a), "".join(b)))
+    found = spark.createDataFrame(pairs, "a string, b string").select(lines.letter_counts(F.col("a")).alias("a"), lines.letter_counts(F.col("b")).alias("b")).collect()
+    assert all(sum(abs(x - y) for x, y in zip(r.a, r.b, strict=True)) <= 2 * lines.EDITS for r in found)
+    assert found[0].a != found[1].a
