@@ -198,7 +198,7 @@ def repeated_cells(partials: DataFrame) -> DataFrame:
 def merged_sketch(docs: DataFrame, width: int) -> bytes:
     """One bit per cell of all rows, set where it counts two or more: ``DEPTH * width / 8`` bytes."""
     bits = np.zeros((DEPTH * width // SEGMENT, SEGMENT // 8), np.uint8)
-    for row in repeated_cells(partial_sketches(docs, width)).toLocalIterator():
+    for row in cut_lineage(repeated_cells(partial_sketches(docs, width)), "sketch").collect():  # as many bytes as are returned
         bits[row["segment"]] = np.frombuffer(row["bits"], np.uint8)
     return bits.tobytes()
 
