@@ -64,7 +64,6 @@ def test_op6_pieces(spark, docs):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
     pieces, sequences = {}, {}
     for r in run(spark, "op6_cost_balanced_packing"):
         pieces.setdefault(r.doc_id, []).append(r)
