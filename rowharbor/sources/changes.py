@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from rowharbor.operators.clean import evolve_target
 from rowharbor.operators.keys import dedupe_last
 from rowharbor.operators.merge import as_stored
+from rowharbor.session import ROW_GROUP
 
 VERSION = "_version"
 BATCH = "_batch"
@@ -86,7 +87,7 @@ def write_changes(rows: DataFrame, path: str, batch: str, pk: Sequence[str] | No
         rows = table.unionByName(as_stored(rows, table.schema), allowMissingColumns=True)
     version = held.get(batch, max(held.values(), default=0) + 1)
     placed = rows.withColumn(BUCKET, bucket(pk) if pk else F.lit(None).cast("int"))
-    placed.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(_folder(path, version, batch))
+    placed.hint("rebalance", BUCKET).write.option("parquet.block.size", ROW_GROUP).mode("overwrite").partitionBy(BUCKET).parquet(_folder(path, version, batch))
 
 
 def rewrite(spark: SparkSession, path: str, pk: Sequence[str], to: str) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rowharbor.operators.merge import CHANGE, KEPT
 from rowharbor.plans.load import load_table
-from rowharbor.session import cut_lineage
+from rowharbor.session import ROW_GROUP, cut_lineage
 from rowharbor.sources.changes import current_rows, write_changes
 from rowharbor.sources.tables import write_rejects
 from rowharbor.spec import TableSpec
@@ -81,7 +81,8 @@ def stream_load(
 
     def load(rows: DataFrame, batch_id: int) -> None:
         query = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        stable = cut_lineage(rows, f"{spec.name}-batch")
+        # A batch is often a single file, written by one task: its copy is what the tasks of the load share out.
+        stable = cut_lineage(rows, f"{spec.name}-batch", ROW_GROUP)
         upsert_batch(stable, f"{query}-{batch_id}", path, spec, parents() if parents else None, seq, rejects_folder)
 
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
