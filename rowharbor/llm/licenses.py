@@ -15,7 +15,6 @@ results; of detections with equal span and priority the label first in the alpha
 from __future__ import annotations
 
 import json
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -102,7 +101,6 @@ WORDINGS = [
 
 FAMILY = "array<struct<label:string,keywords:array<string>,rules:array<struct<priority:int,weight:double,pattern:string>>>>"
 NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]++"
 
 
 def _whole_words(pattern: str) -> str:
@@ -124,6 +122,14 @@ def rule_table() -> list[dict]:
     return families
 
 
+def keyword_pattern() -> str:
+    """A keyword of any license after a blank. Alternatives share their first letter, as most words start with none or few of them."""
+    by_letter: dict[str, set[str]] = {}
+    for keyword in (k for f in rule_table() for k in f["keywords"]):
+        by_letter.setdefault(keyword[0], set()).add(keyword[1:])
+    return f" (?:{'|'.join(f'{first}(?:{"|".join(sorted(rests))})' for first, rests in sorted(by_letter.items()))})"
+
+
 def _blanks(text: Column) -> Column:
     return (F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))).cast("bigint")
 
@@ -167,12 +173,13 @@ def detect_licenses(docs: DataFrame) -> DataFrame:
     """``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, detections`` of every document."""
     text = F.coalesce(F.col("text"), F.lit(""))
     words = F.concat(F.lit(" "), F.trim(F.regexp_replace(lower_ascii(text), NOT_WORD, " ")), F.lit(" "))
-    base = docs.select("doc_id", F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("n_words"), words.alias("words"))
-    places = [F.split("words", _whole_words(p), -1).alias(f"p{i}") for i, p in enumerate(BASE_PHRASES)]
-    base = base.select("doc_id", "n_words", "words", *places)
+    base = docs.select("doc_id", words.alias("words"))
+    # One blank before every word and one at the end; without words there are two.
+    n_words = F.when(F.col("words") == "  ", F.lit(0)).otherwise(_blanks(F.col("words")) - 1).cast("bigint")
+    places = [F.when(F.contains("words", F.lit(f" {p} ")), F.split("words", _whole_words(p), -1)).otherwise(F.array("words")).alias(f"p{i}") for i, p in enumerate(BASE_PHRASES)]
+    base = base.select("doc_id", n_words.alias("n_words"), "words", *places)
     # What :func:`detections` asks first, in generated code: without a keyword of any license nothing is found.
-    keywords = sorted({k for f in rule_table() for k in f["keywords"]})
-    any_keyword = reduce(Column.__or__, [F.contains(F.col("words"), F.lit(f" {k}")) for k in keywords])
+    any_keyword = F.regexp_like(F.col("words"), F.lit(keyword_pattern()))
     base = base.withColumn("found", F.when(any_keyword, detections(F.col("words"))).otherwise(F.array()))
     base = base.withColumn("detections", unsuppressed(F.col("found")))
     count, first, last, labels = [], [], [], []
