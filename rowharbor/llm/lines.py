@@ -7,8 +7,8 @@ candidates; a list of up to ``SHORT_LIST`` gives its pairs. The lines of longer
 ``PIECES`` pieces, two lines within ``edits`` edits agree in all pieces but ``edits``, up to small shifts between those, so
 everything outside each choice of pieces is a key. Of those, only lines pair whose letter counts differ by no more than the edits
 can make them differ, which an index entry tells without the text. Candidates that share too few of some evenly spaced pieces are dropped,
-the others verified by banded bit-parallel edit distance: the band of ``2 * edits + 1`` diagonals lies in
-one integer, updated once per code point.
+the others verified by banded edit distance; for texts beyond ``NATIVE_CHARS`` it is bit-parallel: the band of ``2 * edits + 1``
+diagonals lies in one integer, updated once per code point.
 
 Linked lines and equal lines form classes. Of a class that stands in more than ``max_documents`` documents, the occurrence of the
 smallest document id and line number stays and all others are removed; other lines stay. Lines under ``min_chars`` that are not
@@ -43,6 +43,8 @@ PIECES = 8
 #: Letters that are counted together.
 LETTERS = ("ae", "bi", "co", "du", "fs", "gt", "hn", "jr", "kl", "mv", "pw", "qx", "yz", "éè", "0123456789", " ")
 HOLES = "array<struct<n:int,more:int,own:int,parts:array<struct<a:int,b:int,d:int>>>>"
+#: Code points up to which Spark's own edit distance is the faster one; its time grows with their square.
+NATIVE_CHARS = 1024
 #: Tables of at most so many rows of 16 bytes are broadcast.
 BROADCAST_ROWS = 1 << 20
 
@@ -81,12 +83,15 @@ def line_slots(text: Column, salt: Column, edits: int) -> list[tuple[Column, Col
 
 
 def keyed_lines(lines: DataFrame, edits: int) -> DataFrame:
-    """``id, keys`` of ``id, text``, without texts: a key for every slot, the index keys first, NULL where there is none.
+    """``id, keys`` of ``id, text``, once per id and without texts: a key for every slot, the index keys first, NULL where there is none.
 
-    Plain expressions without lambdas, so that all keys of a line are worked out in generated code.
+    Plain expressions without lambdas, so that all keys of a line are worked out in generated code. Equal lines have equal
+    keys; as plain numbers these are hashed together, where arrays would have to be sorted.
     """
-    keys = [F.when(exists, key) for exists, key in line_slots(F.col("text"), F.lit(0), edits)]
-    return lines.select("id", F.array(*keys).alias("keys"))
+    keys = [F.when(exists, key).alias(f"k{i}") for i, (exists, key) in enumerate(line_slots(F.col("text"), F.lit(0), edits))]
+    names = [f"k{i}" for i in range(len(keys))]
+    once = lines.select("id", *keys).groupBy("id").agg(*[F.min(k).alias(k) for k in names])
+    return once.select("id", F.array(*names).alias("keys"))
 
 
 def _sized(df: DataFrame) -> DataFrame:
@@ -120,7 +125,7 @@ def _pairs(entries: DataFrame, edits: int) -> DataFrame:
 
 def candidate_pairs(source, edits: int) -> DataFrame:
     """``a, b`` (a < b) of lines that share a key. ``source(ids)`` gives ``id, text`` of the lines with these ids, or of all for None."""
-    keyed = cut_lineage(keyed_lines(source(None), edits).dropDuplicates(["id"]), "line-keys")
+    keyed = cut_lineage(keyed_lines(source(None), edits), "line-keys")
     entries = keyed.select("id", F.posexplode("keys").alias("slot", "key")).where("key IS NOT NULL")
     pairs, shared = _shared_entries(entries.select("id", "key", (F.col("slot") <= edits + 1).cast("int").alias("own")))
     found = pairs.unionByName(_pairs(shared.where(F.col("members") <= SHORT_LIST), edits))
@@ -171,6 +176,17 @@ def hole_keys(text: Column, edits: int) -> Column:
 def banded_distance(left: Column, right: Column, edits: int) -> Column:
     """Edit distance of two texts whose lengths differ by ``edits`` at most; any value above ``edits`` only says that it is larger.
 
+    Spark's own function runs in generated code and stays within the band, but seeks the start of the band anew for every
+    code point; so longer texts are folded, without what they share at both ends.
+    """
+    native = F.levenshtein(left, right, edits)
+    folded = _let(middles(left, right), lambda m: folded_distance(m["left"], m["right"], edits))
+    return F.when((F.length(left) <= NATIVE_CHARS) & (F.length(right) <= NATIVE_CHARS), F.when(native < 0, edits + 1).otherwise(native)).otherwise(folded)
+
+
+def folded_distance(left: Column, right: Column, edits: int) -> Column:
+    """Edit distance of two texts whose lengths differ by ``edits`` at most; any value above ``edits`` only says that it is larger.
+
     Bit t of a vector belongs to row j - edits + t of column j. ``up`` and ``down`` hold where a cell is one
     more or one less than the cell above; the score follows the main diagonal and is led to the last row at the end.
     """
@@ -292,8 +308,7 @@ def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
     held = cut_lineage(source(_sized(ids)).dropDuplicates(["id"]), "pair-texts")
     both = pairs.join(held.select(F.col("id").alias("a"), F.col("text").alias("left")), "a").join(held.select(F.col("id").alias("b"), F.col("text").alias("right")), "b")
     likely = both.where(F.abs(F.length("left") - F.length("right")) <= edits).where(plausible(F.col("left"), F.col("right"), edits))
-    likely = likely.select("a", "b", middles(F.col("left"), F.col("right")).alias("m"))
-    near = likely.where(banded_distance(F.col("m.left"), F.col("m.right"), edits) <= edits)
+    near = likely.where(banded_distance(F.col("left"), F.col("right"), edits) <= edits)
     return connected_components(cut_lineage(near.select("a", "b"), "line-links"))
 
 
@@ -307,9 +322,10 @@ def repeated_lines(
     """
     own_id = F.col(row_id) if row_id else F.monotonically_increasing_id()
     parts = F.split(F.col("text"), "\n")
-    long = F.filter(F.transform(parts, lambda x, i: F.struct(i.alias("line"), F.xxhash64(x).alias("id"), (F.length(x) >= min_chars).alias("long"))), lambda s: s["long"])
-    short = F.filter(F.transform(parts, lambda x, i: F.struct(i.alias("line"), F.xxhash64(x).alias("id"), ((F.length(x) < min_chars) & ~_blank(x)).alias("short"))), lambda s: s["short"])
-    rows = docs.select(own_id.alias("row_id"), "doc_id", F.coalesce(F.size(parts), F.lit(0)).alias("n"), long.alias("lines"), short.alias("short"))
+    kind = lambda x: F.when(F.length(x) >= min_chars, "long").when(~_blank(x), "short")
+    marked = F.transform(parts, lambda x, i: F.struct(i.alias("line"), F.xxhash64(x).alias("id"), kind(x).alias("kind")))
+    rows = docs.select(own_id.alias("row_id"), "doc_id", F.coalesce(F.size(parts), F.lit(0)).alias("n"), marked.alias("marked"))
+    rows = rows.select("row_id", "doc_id", "n", F.filter("marked", lambda s: s["kind"] == "long").alias("lines"), F.filter("marked", lambda s: s["kind"] == "short").alias("short"))
     rows = cut_lineage(rows, "lines")
     classes = cut_lineage(line_classes(docs, edits, min_chars), "classes")
     places = rows.select("row_id", "doc_id", F.explode("lines").alias("s")).select("row_id", "doc_id", "s.line", "s.id")
