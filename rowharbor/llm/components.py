@@ -1,7 +1,7 @@
 """Connected components of a link table by alternating large and small stars.
 
-Each round hangs the larger neighbours of every node on its smallest neighbour, then the smaller ones, until
-nothing changes; long chains shrink by half per round or better. Tables are written between steps, so rounds do not
+Each round hangs the larger neighbours of every node on its smallest neighbour, then the smaller ones, until only stars
+are left, which the first table of a round tells; long chains shrink by half per round or better. Tables are written between steps, so rounds do not
 repeat earlier work, survive lost executors, and join two plain exchanges, of which adaptive execution splits hot partitions.
 """
 
@@ -16,30 +16,29 @@ from rowharbor.session import cut_lineage
 def connected_components(links: DataFrame) -> DataFrame:
     """``node, component`` for every node of ``links`` (``a, b``, any order); the component is its smallest node.
 
-    NULLs and links of a node to itself are passed over; nodes without any link are not in the result.
+    NULLs and links of a node to itself are passed over; nodes without any link are not in the result. Links may come twice.
     """
     edges = links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    edges = cut_lineage(edges.distinct(), "links")
-    state = _state(edges)
-    while state[0]:
-        edges = _small_star(_large_star(edges))
-        before, state = state, _state(edges)
-        if state == before:
-            break
-    roots = edges.select(F.col("b").alias("node")).distinct()
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots.withColumn("component", F.col("node")))
+    edges = cut_lineage(edges, "links")
+    while True:
+        both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
+        least = cut_lineage(_least(both), "least")
+        if least.where("open").isEmpty():
+            return least.select(F.col("u").alias("node"), F.col("m").alias("component"))
+        edges = _small_star(_large_star(both, least))
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _least(both: DataFrame) -> DataFrame:
+    """``u, m, open``: the smallest of a node and its neighbours. A node is open if it has several neighbours and a smaller one
+    among them; where no node is, every node but the smallest of its component hangs on that one alone."""
+    found = both.groupBy("u").agg(F.min("v").alias("low"), F.max("v").alias("high"))
+    return found.select("u", F.least("u", "low").alias("m"), ((F.col("low") < F.col("u")) & (F.col("low") != F.col("high"))).alias("open"))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node, to the smallest of the node and its neighbours."""
-    both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    least = cut_lineage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
-    hung = both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    return cut_lineage(hung.distinct(), "links")
+def _large_star(both: DataFrame, least: DataFrame) -> DataFrame:
+    """Every larger neighbour of a node, to the smallest of the node and its neighbours; no more edges than there were."""
+    hung = both.where(F.col("v") > F.col("u")).join(least.select("u", "m"), "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    return cut_lineage(hung, "links")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

@@ -242,7 +242,9 @@ def near_duplicates(docs: DataFrame, k: int = K, width: int = WORDS, similarity:
     copies = member.where("doc_id != id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
     components = cut_lineage(connected_components(links), "components")
     more = cut_lineage(residual_links(lists, sizes, texts, components, width, similarity), "links")
-    found = cut_lineage(connected_components(links.unionByName(more).unionByName(copies)), "components")
+    # What the links have joined hangs together already.
+    joined = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    found = cut_lineage(connected_components(joined.unionByName(more).unionByName(copies)), "components")
     out = rows.select("doc_id", "n_shingles").join(found, F.col("doc_id") == F.col("node"), "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
